@@ -88,7 +88,7 @@ def regex_first(c: str | Column, pattern: str) -> Column:
 def parse_month_day_year(c: str | Column) -> Column:
     """``SAFE.PARSE_DATETIME('%b %e, %Y', TRIM(x))``: 'May 29, 2026' / 'Jun  3, 2026' → date, else NULL."""
     s = F.regexp_replace(trimmed(c), r"\s+", " ")
-    return F.try_to_date(s, F.lit(MONTH_DAY_YEAR_FORMAT))
+    return F.try_to_date(s, MONTH_DAY_YEAR_FORMAT)
 
 
 def parse_iso_offset(c: str | Column) -> Column:

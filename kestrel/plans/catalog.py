@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.plans import enrollment, meals, operations
+from kestrel.plans import assessments, enrollment, meals, operations
 from kestrel.session import configure
 from kestrel.sources.registry import load_inputs
 
@@ -21,6 +21,13 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "meal_coverage_roster": (meals.meal_coverage_roster, ["roster", "meal_applications"]),
     "meals_with_application": (meals.meals_with_application, ["meal_applications", "meal_participation"]),
     "enrollment_demographics": (enrollment.enrollment_demographics, ["roster", "budget"]),
+    "interim_ica": (assessments.interim_ica, ["state_results_pascal", "roster"]),
+    "unified_assessments": (assessments.unified_assessments, assessments.UNIFIED_INPUTS),
+    "assessments_elementary": (assessments.assessments_elementary, assessments.UNIFIED_INPUTS),
+    "assessments_middle": (assessments.assessments_middle, assessments.UNIFIED_INPUTS),
+    "assessments_high": (assessments.assessments_high, assessments.UNIFIED_INPUTS),
+    "curriculum_assessments": (assessments.curriculum_assessments, assessments.UNIFIED_INPUTS),
+    "verified_assessments": (assessments.verified_assessments, assessments.UNIFIED_INPUTS + ["diagnostics"]),
 }
 
 
