@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.plans import assessments, enrollment, meals, operations
+from kestrel.plans import assessments, enrollment, meals, operations, state_testing
 from kestrel.session import configure
 from kestrel.sources.registry import load_inputs
 
@@ -28,6 +28,10 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "assessments_high": (assessments.assessments_high, assessments.UNIFIED_INPUTS),
     "curriculum_assessments": (assessments.curriculum_assessments, assessments.UNIFIED_INPUTS),
     "verified_assessments": (assessments.verified_assessments, assessments.UNIFIED_INPUTS + ["diagnostics"]),
+    "cast_tabular": (state_testing.cast_tabular, ["state_results_snake", "state_results_pascal", "roster", "cast_archive"]),
+    "sbac_tabular": (state_testing.sbac_tabular, ["state_results_snake", "state_results_2324", "state_results_pascal",
+                                                  "roster", "intervention", "sbac_archive"]),
+    "elpac_growth": (state_testing.elpac_growth, ["state_results_pascal", "state_results_snake", "roster", "cut_scores"]),
 }
 
 
