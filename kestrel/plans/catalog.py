@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.plans import assessments, enrollment, meals, operations, state_testing
+from kestrel.plans import alignment, assessments, enrollment, meals, operations, quality, state_testing
 from kestrel.session import configure
 from kestrel.sources.registry import load_inputs
 
@@ -32,6 +32,21 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "sbac_tabular": (state_testing.sbac_tabular, ["state_results_snake", "state_results_2324", "state_results_pascal",
                                                   "roster", "intervention", "sbac_archive"]),
     "elpac_growth": (state_testing.elpac_growth, ["state_results_pascal", "state_results_snake", "roster", "cut_scores"]),
+    "align_and_stack_two_years": (alignment.align_and_stack_two_years, ["state_results_snake", "state_results_pascal"]),
+    "roster_subject_assignment": (alignment.roster_subject_assignment, ["stored_grades", "roster_snapshots"]),
+    "check_roster_source": (quality.roster_source_checks, ["roster"]),
+    "check_state_results_source": (quality.state_results_source_checks, ["state_results_snake"]),
+    "check_school_coverage": (quality.school_coverage, ["state_results_snake"]),
+    "check_elpac_reload_duplicates": (quality.elpac_reload_duplicates, ["state_results_pascal"]),
+    "check_cast_duplicates": (quality.cast_duplicates, ["state_results_snake", "state_results_pascal", "roster", "cast_archive"]),
+    "check_sbac_duplicates": (quality.sbac_duplicates, ["state_results_snake", "state_results_2324", "state_results_pascal",
+                                                        "roster", "intervention", "sbac_archive"]),
+    "check_elpac_duplicates": (quality.elpac_duplicates, ["state_results_pascal", "state_results_snake", "roster", "cut_scores"]),
+    "check_state_testing_years": (quality.state_testing_year_checks, ["state_results_snake", "state_results_2324",
+                                                                      "state_results_pascal", "roster", "intervention",
+                                                                      "sbac_archive", "cast_archive"]),
+    "check_meals": (quality.meal_checks, ["roster", "meal_applications"]),
+    "check_ixl_scores": (quality.ixl_checks, ["ixl_scores", "ixl_skill_names", "ixl_archive"]),
 }
 
 
