@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kestrel.sources.fixtures import ADAPTERS, Adapter
 
@@ -26,8 +25,20 @@ def register(logical_name: str, path: str) -> None:
     _REGISTERED[logical_name] = path
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """The base table as a DataFrame; one reader per (session, path), reused by every adapter."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def build_adapter(spark: SparkSession, sf_dir: str, adapter: Adapter) -> DataFrame:
@@ -35,8 +46,8 @@ def build_adapter(spark: SparkSession, sf_dir: str, adapter: Adapter) -> DataFra
     for br in adapter.branches:
         df = read_table(spark, sf_dir, br.table)
         if br.where:
-            df = df.where(F.expr(br.where))
-        frames.append(df.select([F.expr(e).alias(name) for name, e in br.columns]))
+            df = df.where(br.where)
+        frames.append(df.selectExpr(*[f"{e} AS {_q(name)}" for name, e in br.columns]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
