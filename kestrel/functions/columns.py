@@ -112,7 +112,8 @@ def school_year_from_date(d: str | Column) -> Column:
     """July-June school year: 2025-07-01 → '2025-2026', 2025-06-30 → '2024-2025'."""
     d = col(d)
     start = F.when(F.month(d) >= 7, F.year(d)).otherwise(F.year(d) - 1)
-    return F.format_string("%d-%d", start, start + 1)
+    # format_string prints a NULL argument as the text 'null': keep a missing date NULL
+    return F.when(d.isNotNull(), F.format_string("%d-%d", start, start + 1))
 
 
 def school_year_from_roster_year(y: str | Column) -> Column:

@@ -1,11 +1,14 @@
 """Reusable relational operators (DataFrame in, DataFrame out)."""
 
 from kestrel.operators.dedupe import keep_best
-from kestrel.operators.joins import anti_any_key, band_join, conditional_key_join, overlay, split_null_keys
+from kestrel.operators.joins import (
+    anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay, split_null_keys,
+)
 from kestrel.operators.stack import align_to, stack_tagged, union_all, union_distinct
 from kestrel.operators.rollup import subgroup_counts
 
 __all__ = [
-    "keep_best", "anti_any_key", "band_join", "conditional_key_join", "overlay", "split_null_keys",
+    "keep_best", "anti_any_key", "band_join", "conditional_key_join", "full_outer_null_safe", "overlay",
+    "split_null_keys",
     "align_to", "stack_tagged", "union_all", "union_distinct", "subgroup_counts",
 ]

@@ -30,6 +30,19 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(all_set), df.where(~all_set)
 
 
+def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left FULL OUTER JOIN right ON left_key = right_key`` with NULL-key rows routed around the join.
+
+    A NULL key never matches, so such rows come out unpaired either way; appending them after
+    the join keeps a hot NULL group out of one shuffle partition (AQE does not split skewed
+    full outer joins).  Column names of the two sides must be disjoint.
+    """
+    lm, ln = split_null_keys(left, [left_key])
+    rm, rn = split_null_keys(right, [right_key])
+    joined = lm.join(rm, lm[left_key] == rm[right_key], "full")
+    return joined.unionByName(ln, allowMissingColumns=True).unionByName(rn, allowMissingColumns=True)
+
+
 def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Left rows that match no right row on any of the ``(left_key, right_key)`` pairs."""
     out = left

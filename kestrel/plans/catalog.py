@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.plans import alignment, assessments, enrollment, meals, operations, quality, state_testing
+from kestrel.plans import alignment, assessments, enrollment, meals, operations, primitives, quality, state_testing
 from kestrel.session import configure
 from kestrel.sources.registry import load_inputs
 
@@ -47,6 +47,25 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
                                                                       "sbac_archive", "cast_archive"]),
     "check_meals": (quality.meal_checks, ["roster", "meal_applications"]),
     "check_ixl_scores": (quality.ixl_checks, ["ixl_scores", "ixl_skill_names", "ixl_archive"]),
+    # single-operator queries (each operator alone over whole inputs)
+    "keep_best_latest": (primitives.keep_best_latest, ["state_results_pascal"]),
+    "keep_best_ranked": (primitives.keep_best_ranked, ["meal_applications"]),
+    "keep_best_richest": (primitives.keep_best_richest, ["diagnostics"]),
+    "anti_any_key": (primitives.anti_any_key_query, ["sbac_archive", "state_results_snake"]),
+    "overlay_archive": (primitives.overlay_archive, ["state_results_snake", "cast_archive"]),
+    "conditional_key_join": (primitives.conditional_key_join_query, ["state_results_pascal", "state_results_snake"]),
+    "band_lookup_join": (primitives.band_lookup_join, ["state_results_snake", "cut_scores"]),
+    "full_outer_coalesce": (primitives.full_outer_coalesce, ["state_results_snake"]),
+    "roster_right_join": (primitives.roster_right_join, ["state_results_snake", "roster"]),
+    "latest_snapshot": (primitives.latest_snapshot, ["stored_grades"]),
+    "max_per_key": (primitives.max_per_key, ["state_results_snake"]),
+    "distinct_rows": (primitives.distinct_rows, ["state_results_pascal"]),
+    "subgroup_counts": (primitives.subgroup_counts, ["roster"]),
+    "safe_cast_suite": (primitives.safe_cast_suite, ["state_results_pascal"]),
+    "text_suite": (primitives.text_suite, ["roster"]),
+    "date_suite": (primitives.date_suite, ["meal_applications"]),
+    "conditional_suite": (primitives.conditional_suite, ["roster"]),
+    "grade_band": (primitives.grade_band_query, ["state_results_snake"]),
 }
 
 

@@ -17,7 +17,7 @@ from kestrel.functions.columns import norm, qcol, safe_double, trimmed, typed_nu
 from kestrel.functions.rules import (
     advanced_elpi, cast_teacher, elpac_track, elpi_growth_category, elpi_level, elpi_level_rank, grade_band,
 )
-from kestrel.operators.joins import band_join, conditional_key_join, overlay, split_null_keys
+from kestrel.operators.joins import band_join, conditional_key_join, full_outer_null_safe, overlay, split_null_keys
 from kestrel.operators.stack import union_distinct
 from kestrel.plans.reloads import latest_reload
 from kestrel.sources.fixtures import CAST_NAMES, EXCEPTION_STATE_ID, EXCEPTION_STUDENT_NUMBER
@@ -130,7 +130,7 @@ def _ela_math_full_join(ela: DataFrame, math: DataFrame) -> DataFrame:
     """ELA FULL OUTER JOIN Math on state id; NULL ids never match, so each stays its own row."""
     e = ela.withColumnRenamed("studentidentifier", "e_sid").withColumnRenamed("student_number", "e_sn")
     m = math.withColumnRenamed("studentidentifier", "m_sid").withColumnRenamed("student_number", "m_sn")
-    j = e.join(m, e["e_sid"] == m["m_sid"], "full")
+    j = full_outer_null_safe(e, m, "e_sid", "m_sid")
     rest = [c for c in ela.columns if c not in ("studentidentifier", "student_number")] + \
            [c for c in math.columns if c not in ("studentidentifier", "student_number")]
     return j.select(
@@ -167,7 +167,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     )
     e23 = e23.select(F.col("studentidentifier").alias("e_sid"), "ela_level", "ela_dfs", F.col("proficiency").alias("e_prof"))
     m23 = m23.select(F.col("studentidentifier").alias("m_sid"), "math_level", "math_dfs", F.col("proficiency").alias("m_prof"))
-    prior_2324 = e23.join(m23, e23["e_sid"] == m23["m_sid"], "full").select(
+    prior_2324 = full_outer_null_safe(e23, m23, "e_sid", "m_sid").select(
         F.coalesce("e_sid", "m_sid").alias("p_sid"),
         F.col("ela_level").alias(PRIOR[0]), F.col("ela_dfs").alias(PRIOR[1]),
         F.col("math_level").alias(PRIOR[2]), F.col("math_dfs").alias(PRIOR[3]),
