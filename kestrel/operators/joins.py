@@ -1,5 +1,11 @@
 """Join operators the source models need beyond plain equi-joins.
 
+* ``equi_join``      — equi-join whose NULL-key rows are *salted*: they can never match, so instead
+                       of hashing them all to one shuffle partition (a hot NULL group would land in
+                       one task) each gets a bucket 1..N from a hash of its row, while matchable rows
+                       carry bucket 0 on both sides.  Same rows, one scan, no hot partition.
+* ``full_outer_null_safe`` — ``FULL OUTER JOIN`` with both sides salted (AQE does not split skewed
+                       full outer joins).
 * ``anti_any_key``   — keep left rows matching the right side on *none* of several keys
                        (``ON a.k1 = b.k1 OR a.k2 = b.k2 ... WHERE b IS NULL``).  An OR condition
                        plans as a nested-loop join; chained ``left_anti`` equi-joins on the
@@ -8,39 +14,53 @@
 * ``conditional_key_join`` — left join whose key switches per row (an exception list joins on
                        one id, everyone else on another): computed (kind, value) key pair.
 * ``band_join``      — left join to a small lookup on an equality key plus ``x BETWEEN lo AND hi``.
-* ``split_null_keys``— rows with a NULL key can never match an equi-join; route them around the
-                       join so a hot NULL group never lands in one shuffle partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions.columns import col
+#: NULL-key rows are spread over this many hash buckets (per join)
+NULL_KEY_BUCKETS = 64
+_LS, _RS = "__kestrel_lsalt", "__kestrel_rsalt"
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every key non-null, rows with some NULL key)."""
-    all_set = F.lit(True)
-    for k in keys:
-        all_set = all_set & F.col(k).isNotNull()
-    return df.where(all_set), df.where(~all_set)
+def null_key_salt(df: DataFrame, keys: Sequence[str], buckets: int = NULL_KEY_BUCKETS) -> Column:
+    """0 when every key is set; else a bucket 1..``buckets`` from a hash of the whole row (deterministic)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
 
 
-def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``left FULL OUTER JOIN right ON left_key = right_key`` with NULL-key rows routed around the join.
+def equi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str,
+              buckets: int = NULL_KEY_BUCKETS) -> DataFrame:
+    """``left JOIN right ON l.a = r.b AND ...`` (``how``: inner, left, left_anti, left_semi, full) with salted NULL keys.
 
-    A NULL key never matches, so such rows come out unpaired either way; appending them after
-    the join keeps a hot NULL group out of one shuffle partition (AQE does not split skewed
-    full outer joins).  Column names of the two sides must be disjoint.
+    Key names of the two sides must differ.  Rows of a side that the join does not preserve and
+    that have a NULL key are filtered out before the shuffle (they can never match).
     """
-    lm, ln = split_null_keys(left, [left_key])
-    rm, rn = split_null_keys(right, [right_key])
-    joined = lm.join(rm, lm[left_key] == rm[right_key], "full")
-    return joined.unionByName(ln, allowMissingColumns=True).unionByName(rn, allowMissingColumns=True)
+    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+    preserve_left = how in ("left", "left_outer", "left_anti", "full", "full_outer", "outer")
+    preserve_right = how in ("full", "full_outer", "outer")
+    l2 = left.withColumn(_LS, null_key_salt(left, lkeys, buckets) if preserve_left else F.lit(0))
+    if not preserve_left:
+        l2 = l2.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in lkeys]))
+    if preserve_right:
+        r2 = right.withColumn(_RS, null_key_salt(right, rkeys, buckets))
+    else:
+        r2 = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rkeys])).withColumn(_RS, F.lit(0))
+    cond = reduce(lambda a, b: a & b, [l2[a] == r2[b] for a, b in on]) & (l2[_LS] == r2[_RS])
+    out = l2.join(r2, cond, how)
+    return out.drop(_LS) if how in ("left_anti", "left_semi") else out.drop(_LS, _RS)
+
+
+def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left FULL OUTER JOIN right ON left_key = right_key``; NULL keys never pair and are spread, not piled up."""
+    return equi_join(left, right, [(left_key, right_key)], "full")
 
 
 def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -48,9 +68,8 @@ def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, s
     out = left
     for i, (lk, rk) in enumerate(pairs):
         key = f"__kestrel_anti_{i}"
-        keys = right.select(F.col(rk).alias(key)).where(F.col(key).isNotNull()).distinct()
-        matchable, unmatchable = split_null_keys(out, [lk])
-        out = matchable.join(keys, matchable[lk] == keys[key], "left_anti").unionByName(unmatchable)
+        keys = right.select(F.col(rk).alias(key)).distinct()
+        out = equi_join(out, keys, [(lk, key)], "left_anti")
     return out
 
 
@@ -73,34 +92,31 @@ def conditional_key_join(
 ) -> DataFrame:
     """Join ``(l.id = r.id AND l.id IN exceptions) OR (l.id NOT IN exceptions AND l.number = r.number)``.
 
-    Three-valued logic is kept: a NULL ``left_id`` satisfies neither branch.  Right rows are
-    emitted once under their number and, only for exception ids, once more under their id.
+    Three-valued logic is kept: a NULL ``left_id`` satisfies neither branch.  Each right row is
+    exploded (one scan) into its key under its number and, only for exception ids, under its id.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type {how!r}")
     exc = [F.lit(x) for x in exception_ids]
     lid = F.col(left_id)
     l_kind = F.when(lid.isin(*exc), F.lit("id")).when(lid.isNotNull(), F.lit("number"))
     l_val = F.when(lid.isin(*exc), lid).when(lid.isNotNull(), F.col(left_number))
-    lkeys = ["__kestrel_kind", "__kestrel_val"] + [a for a, _ in also_on]
     l2 = left.withColumn("__kestrel_kind", l_kind).withColumn("__kestrel_val", l_val.cast("bigint"))
 
-    r_num = right.withColumn("__kestrel_rkind", F.lit("number")).withColumn("__kestrel_rval", F.col(right_number).cast("bigint"))
-    r_id = (
-        right.where(F.col(right_id).isin(*exc))
-        .withColumn("__kestrel_rkind", F.lit("id"))
-        .withColumn("__kestrel_rval", F.col(right_id).cast("bigint"))
+    rid = F.col(right_id)
+    keys = F.array(
+        F.struct(F.lit("number").alias("k"), F.col(right_number).cast("bigint").alias("v")),
+        F.struct(F.lit("id").alias("k"), F.when(rid.isin(*exc), rid).cast("bigint").alias("v")),
     )
-    r2 = r_num.unionByName(r_id).where(F.col("__kestrel_rval").isNotNull())
-
-    cond = (F.col("__kestrel_kind") == F.col("__kestrel_rkind")) & (F.col("__kestrel_val") == F.col("__kestrel_rval"))
-    for a, b in also_on:
-        cond = cond & (l2[a] == r2[b])
-    matchable, unmatchable = split_null_keys(l2, lkeys)
-    joined = matchable.join(r2, cond, how)
-    if how == "left":
-        joined = joined.unionByName(unmatchable, allowMissingColumns=True)
-    elif how != "inner":
-        raise ValueError(f"unsupported join type {how!r}")
-    return joined.drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
+    r2 = (
+        right.withColumn("__kestrel_rkey", F.explode(keys))
+        .where(F.col("__kestrel_rkey.v").isNotNull())
+        .withColumn("__kestrel_rkind", F.col("__kestrel_rkey.k"))
+        .withColumn("__kestrel_rval", F.col("__kestrel_rkey.v"))
+        .drop("__kestrel_rkey")
+    )
+    on = [("__kestrel_kind", "__kestrel_rkind"), ("__kestrel_val", "__kestrel_rval"), *also_on]
+    return equi_join(l2, r2, on, how).drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
 
 
 def band_join(

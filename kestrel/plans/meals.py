@@ -12,7 +12,7 @@ from kestrel.functions.rules import (
     APPLICATION_STATUS_ORDER, ELIGIBILITY_CATEGORY_ORDER, RANK_DEFAULT, eligibility_category, homeless_backfill,
 )
 from kestrel.operators.dedupe import keep_best
-from kestrel.operators.joins import split_null_keys
+from kestrel.operators.joins import equi_join
 from kestrel.sources.registry import Inputs
 
 BACKFILL_YEAR = "2026-2027"
@@ -136,13 +136,8 @@ def meals_with_application(inputs: Inputs) -> DataFrame:
     p = p.withColumn("student_id_int", round_to_long("student_id")).withColumn(
         "academic_year", school_year_from_date(F.to_date(F.col("participation_date"), "yyyy-MM-dd"))
     )
-    # rows without a student id can never match: keep them out of the join's shuffle
-    matchable, unmatchable = split_null_keys(p, ["student_id_int"])
-    j = matchable.join(
-        latest,
-        (matchable["student_id_int"] == latest["a_student_id"]) & (matchable["academic_year"] == latest["a_academic_year"]),
-        "left",
-    ).unionByName(unmatchable, allowMissingColumns=True)
+    # rows without a student id can never match: salted so they do not pile up in one partition
+    j = equi_join(p, latest, [("student_id_int", "a_student_id"), ("academic_year", "a_academic_year")], "left")
     return j.select(
         F.col("student_id_int").alias("student_id"), "participation_date", "meal_type", "school", "grade",
         "eligibility_at_meal", "application_status", "application_eligibility_type", "application_date",

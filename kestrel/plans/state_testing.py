@@ -17,9 +17,10 @@ from kestrel.functions.columns import norm, qcol, safe_double, trimmed, typed_nu
 from kestrel.functions.rules import (
     advanced_elpi, cast_teacher, elpac_track, elpi_growth_category, elpi_level, elpi_level_rank, grade_band,
 )
-from kestrel.operators.joins import band_join, conditional_key_join, full_outer_null_safe, overlay, split_null_keys
+from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay
 from kestrel.operators.stack import union_distinct
 from kestrel.plans.reloads import latest_reload
+from kestrel.session import reuse
 from kestrel.sources.fixtures import CAST_NAMES, EXCEPTION_STATE_ID, EXCEPTION_STUDENT_NUMBER
 from kestrel.sources.registry import Inputs
 
@@ -36,7 +37,7 @@ def _roster(inputs: Inputs, year: str, extra: list[str]) -> DataFrame:
 def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int]) -> DataFrame:
     """roster LEFT JOIN scores ON number (the source's RIGHT JOIN), tested grades only."""
     r = roster.where(F.col("grade_level").isin(grades))
-    return r.join(scores, scores["student_number"] == r["st_student_number"], "left")
+    return equi_join(r, scores, [("st_student_number", "student_number")], "left")
 
 
 # ---- CAST ------------------------------------------------------------------------------------------
@@ -80,7 +81,8 @@ def cast_tabular(inputs: Inputs) -> DataFrame:
     teacher = cast_teacher("grade_level", "math_teacher", "science_teacher").alias("teacher")
     r2425 = _roster(inputs, "24-25", ["science_teacher", "math_teacher"]).withColumn("teacher", teacher)
     r2526 = _roster(inputs, "25-26", ["science_teacher", "math_teacher"]).withColumn("teacher", teacher)
-    live_2425 = _cast_live(r2425, c2425, "24-25", fill_number=False)
+    # read by the union and by the archive overlay (materialised when large)
+    live_2425 = reuse(_cast_live(r2425, c2425, "24-25", fill_number=False), "cast_live_2425")
     live_2526 = _cast_live(r2526, c2526, "25-26", fill_number=True)
     h = inputs["cast_archive"]
     archived = h.select(
@@ -155,7 +157,8 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     math = _subject_scores(summative.where(F.col("subject") == "Math"), "math", sid="studentidentifier",
                            name="assessmentname", level="scalescoreachievementlevel", score="scalescore",
                            lexile="lexilemeasure", domains=[(d, d) for d in MATH_DOMAINS]).distinct()
-    joined = _ela_math_full_join(ela, math)
+    # read by the 24-25 rows and by the 25-26 prior-year lookup (materialised when large)
+    joined = reuse(_ela_math_full_join(ela, math), "sbac_2425_scores")
 
     # prior year of 24-25: the 23-24 file, ELA ⟗ Math on state id
     e23, m23 = _snake_pair(
@@ -173,7 +176,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         F.col("math_level").alias(PRIOR[2]), F.col("math_dfs").alias(PRIOR[3]),
         F.col("e_prof").alias(PRIOR[4]), F.col("m_prof").alias(PRIOR[5]),
     )
-    stacked_2425 = joined.join(prior_2324, joined["studentidentifier"] == prior_2324["p_sid"], "left").drop("p_sid")
+    stacked_2425 = equi_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
 
     # prior year of 25-26: the 24-25 scores, maxed per student number column by column
     prior_2425 = joined.where(F.col("student_number").isNotNull()).groupBy(
@@ -213,7 +216,9 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     r2425 = _roster(inputs, "24-25", teachers)
     j25 = _roster_join(r2425, stacked_2425, SBAC_GRADES)
     j25 = j25.join(intervention, j25["st_student_number"] == intervention["i_number"], "left")
-    live_2425 = out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention"))
+    # read by the union and by the archive overlay (materialised when large)
+    live_2425 = reuse(
+        out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention")), "sbac_live_2425")
 
     r2526 = _roster(inputs, "25-26", teachers)
     j26 = _roster_join(r2526, stacked_2526.select([F.col(c) for c in stacked_2526.columns]), SBAC_GRADES)
@@ -286,9 +291,7 @@ def elpac_growth(inputs: Inputs, exceptions: dict[int, int] | None = None) -> Da
         right_number="p_number", exception_ids=list(exceptions), also_on=[("elpac_track", "prev_year_elpac_track")],
     )
     st = _roster(inputs, "25-26", ["english_teacher", "year"])
-    matchable, unmatchable = split_null_keys(j, ["roster_student_number"])
-    j = matchable.join(st, matchable["roster_student_number"] == st["st_student_number"], "left").unionByName(
-        unmatchable, allowMissingColumns=True)
+    j = equi_join(j, st, [("roster_student_number", "st_student_number")], "left")
     j = j.withColumn("student_number", F.coalesce("st_student_number", "roster_student_number", "student_number"))
     j = j.withColumn("elpi_eligible", F.when(F.col("p_sid").isNotNull(), 1).otherwise(0))
 

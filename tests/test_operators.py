@@ -123,3 +123,41 @@ def test_checks_contract(spark):
     # NULL passes accepted_values and accepted_range; the duplicate key (1, a) has 2 rows
     assert out == {"not_null:k": 1, "accepted_values:v": 1, "accepted_range:s": 1, "unique_combination:k+v": 2}
     assert duplicate_keys(df, ["k"]).collect()[0].row_count == 2
+
+
+def test_equi_join_salting_matches_plain_join(spark):
+    from kestrel.operators.joins import equi_join
+
+    rng = random.Random(5)
+    left = spark.createDataFrame(list(zip(range(500), _rand_keys(rng, 500, 30, 0.4), [rng.choice("ab") for _ in range(500)])),
+                                 "lid int, lk int, lt string")
+    right = spark.createDataFrame(list(zip(range(90), _rand_keys(rng, 90, 30, 0.4), [rng.choice("ab") for _ in range(90)])),
+                                  "rid int, rk int, rt string")
+    for how in ["inner", "left", "full", "left_anti", "left_semi"]:
+        got = equi_join(left, right, [("lk", "rk"), ("lt", "rt")], how)
+        plain = left.join(right, (left.lk == right.rk) & (left.lt == right.rt), how)
+        assert sorted(got.columns) == sorted(plain.columns), how
+        assert rows(got.select(plain.columns)) == rows(plain), how
+
+
+def test_null_key_rows_spread_over_partitions(spark):
+    from kestrel.operators.joins import equi_join
+
+    left = spark.range(4000).selectExpr("id", "CAST(NULL AS BIGINT) AS k")
+    right = spark.range(10).selectExpr("id AS rid", "id AS rk")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        j = equi_join(left, right, [("k", "rk")], "left")
+        sizes = j.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 4000 and max(sizes) < 4000  # not all in one partition
+
+
+def test_spread_only_when_undersplit(spark, tmp_path):
+    from kestrel.sources.registry import spread_if_undersplit
+
+    small = str(tmp_path / "small")
+    spark.range(10).write.parquet(small)
+    df = spark.read.parquet(small)
+    assert spread_if_undersplit(spark, df, small) is df  # below the size floor: untouched
