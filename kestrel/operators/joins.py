@@ -29,30 +29,35 @@ NULL_KEY_BUCKETS = 64
 _LS, _RS = "__kestrel_lsalt", "__kestrel_rsalt"
 
 
-def null_key_salt(df: DataFrame, keys: Sequence[str], buckets: int = NULL_KEY_BUCKETS) -> Column:
-    """0 when every key is set; else a bucket 1..``buckets`` from a hash of the whole row (deterministic)."""
+def null_key_salt(df: DataFrame, keys: Sequence[str], buckets: int = NULL_KEY_BUCKETS,
+                  spread_by: Sequence[str] | None = None) -> Column:
+    """0 when every key is set; else a bucket 1..``buckets`` from a hash of ``spread_by`` (deterministic).
+
+    ``spread_by`` defaults to the first three non-key columns: a few columns spread a NULL group
+    well enough, and hashing every column would defeat column pruning below the join.  The 0 is
+    written as ``pmod(hash(keys), 1)``: a literal (or anything the optimizer can reduce to one,
+    e.g. on a non-nullable key) would be folded out of the join keys into a residual condition,
+    and the shuffle would again hash on the bare key.
+    """
+    spread = list(spread_by) if spread_by else [c for c in df.columns if c not in set(keys)][:3]
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+    spread_hash = F.xxhash64(*[F.col(f"`{c}`") for c in spread or keys])
+    zero = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1))
+    return F.when(any_null, F.pmod(spread_hash, F.lit(buckets)) + 1).otherwise(zero)
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str,
-              buckets: int = NULL_KEY_BUCKETS) -> DataFrame:
+              buckets: int = NULL_KEY_BUCKETS, spread_by: Sequence[str] | None = None) -> DataFrame:
     """``left JOIN right ON l.a = r.b AND ...`` (``how``: inner, left, left_anti, left_semi, full) with salted NULL keys.
 
-    Key names of the two sides must differ.  Rows of a side that the join does not preserve and
-    that have a NULL key are filtered out before the shuffle (they can never match).
+    Key names of the two sides must differ.  ``spread_by`` names left-side columns that spread
+    the left side's NULL-key rows (see ``null_key_salt``).
     """
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
-    preserve_left = how in ("left", "left_outer", "left_anti", "full", "full_outer", "outer")
-    preserve_right = how in ("full", "full_outer", "outer")
-    l2 = left.withColumn(_LS, null_key_salt(left, lkeys, buckets) if preserve_left else F.lit(0))
-    if not preserve_left:
-        l2 = l2.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in lkeys]))
-    if preserve_right:
-        r2 = right.withColumn(_RS, null_key_salt(right, rkeys, buckets))
-    else:
-        r2 = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rkeys])).withColumn(_RS, F.lit(0))
+    # Both sides carry the salt; NULL-key rows of a side the join does not preserve are dropped
+    # by Spark's inferred IS NOT NULL filters before the shuffle.
+    l2 = left.withColumn(_LS, null_key_salt(left, lkeys, buckets, spread_by))
+    r2 = right.withColumn(_RS, null_key_salt(right, rkeys, buckets))
     cond = reduce(lambda a, b: a & b, [l2[a] == r2[b] for a, b in on]) & (l2[_LS] == r2[_RS])
     out = l2.join(r2, cond, how)
     return out.drop(_LS) if how in ("left_anti", "left_semi") else out.drop(_LS, _RS)

@@ -143,15 +143,19 @@ def test_equi_join_salting_matches_plain_join(spark):
 def test_null_key_rows_spread_over_partitions(spark):
     from kestrel.operators.joins import equi_join
 
-    left = spark.range(4000).selectExpr("id", "CAST(NULL AS BIGINT) AS k")
+    left = spark.range(4000).selectExpr("id", "CASE WHEN id >= 0 THEN NULL ELSE id END AS k")  # NULL, not foldable
     right = spark.range(10).selectExpr("id AS rid", "id AS rk")
+    # a shuffled join (no broadcast, no AQE re-planning), so partition sizes show the key distribution
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         j = equi_join(left, right, [("k", "rk")], "left")
+        assert "SortMergeJoin" in j._jdf.queryExecution().executedPlan().toString()
         sizes = j.rdd.glom().map(len).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 4000 and max(sizes) < 4000  # not all in one partition
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 4000 and max(sizes) < 4000 / 4  # spread, not all in one partition
 
 
 def test_spread_only_when_undersplit(spark, tmp_path):
