@@ -69,6 +69,16 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
 }
 
 
+#: views the source project switches off (disabled, or body commented out); built here, skipped by ``build_all``
+DISABLED_IN_SOURCE = {"meals_with_application", "align_and_stack_two_years", "roster_subject_assignment"}
+#: persisted as a table (full overwrite); every other model is a view, re-evaluated when read
+TABLES = {"grade_audit"}
+
+
+def is_enabled(name: str) -> bool:
+    return name not in DISABLED_IN_SOURCE
+
+
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn, names = CATALOG[name]
 
@@ -78,3 +88,23 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     run.__name__ = name
     return run
+
+
+def build(spark: SparkSession, name: str, sf_dir: str, table_root: str) -> DataFrame:
+    """Materialise one model as the source project declares it: a table (overwrite) or a temp view."""
+    from kestrel.sources.sinks import as_table, as_view
+
+    df = runner(name)(spark, sf_dir)
+    if name in TABLES:
+        path = f"{table_root.rstrip('/')}/{name}"
+        as_table(df, path)
+        return as_view(spark.read.parquet(path), name)
+    return as_view(df, name)
+
+
+def build_all(spark: SparkSession, sf_dir: str, table_root: str, *, include_disabled: bool = False) -> list[str]:
+    """Build every enabled model (views are lazy; tables are written once)."""
+    names = [n for n in CATALOG if include_disabled or is_enabled(n)]
+    for n in names:
+        build(spark, n, sf_dir, table_root)
+    return names

@@ -12,17 +12,36 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel.sources.fixtures import ADAPTERS, Adapter
 
 Inputs = Mapping[str, DataFrame]
 
-_REGISTERED: dict[str, str] = {}
+_REGISTERED: dict[str, tuple[str, str | None]] = {}
 
 
-def register(logical_name: str, path: str) -> None:
-    """Point a logical input at a Parquet path (replaces the test-data adapter)."""
-    _REGISTERED[logical_name] = path
+def register(logical_name: str, path: str, *, provenance_column: str | None = None) -> None:
+    """Point a logical input at a Parquet path (replaces the test-data adapter).
+
+    The logical name is what pipelines use; ``path`` is the physical location, whatever it is
+    called (names with hyphens, other projects).  ``provenance_column`` adds the name of the
+    file each row was read from (``_metadata.file_name``) — the reload log breaks same-day ties
+    on it.
+    """
+    _REGISTERED[logical_name] = (path, provenance_column)
+
+
+def unregister(logical_name: str) -> None:
+    _REGISTERED.pop(logical_name, None)
+
+
+def read_registered(spark: SparkSession, logical_name: str) -> DataFrame:
+    path, provenance = _REGISTERED[logical_name]
+    df = spark.read.parquet(path)
+    if provenance:
+        df = df.select("*", F.col("_metadata.file_name").alias(provenance))
+    return df
 
 
 _READS: dict[tuple[int, str], DataFrame] = {}
@@ -89,7 +108,7 @@ def load_inputs(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[
     out = {}
     for name in names:
         if name in _REGISTERED:
-            out[name] = spark.read.parquet(_REGISTERED[name])
+            out[name] = read_registered(spark, name)
         elif name == "cut_scores":
             from kestrel.sources.seeds import cut_scores
 
