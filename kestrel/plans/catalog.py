@@ -47,6 +47,8 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
                                                                       "sbac_archive", "cast_archive"]),
     "check_meals": (quality.meal_checks, ["roster", "meal_applications"]),
     "check_ixl_scores": (quality.ixl_checks, ["ixl_scores", "ixl_skill_names", "ixl_archive"]),
+    "check_participation_dates": (quality.participation_date_check, ["meal_participation"]),
+    "check_reload_unusable_numbers": (quality.reload_unusable_numbers, ["state_results_pascal"]),
     # single-operator queries (each operator alone over whole inputs)
     "keep_best_latest": (primitives.keep_best_latest, ["state_results_pascal"]),
     "keep_best_ranked": (primitives.keep_best_ranked, ["meal_applications"]),

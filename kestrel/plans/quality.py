@@ -82,3 +82,26 @@ def ixl_checks(inputs: Inputs) -> DataFrame:
         not_null("local_student_id"), not_null("skill_name"), not_null("score"), accepted_range("score", 0, 100),
         not_null("subject"), not_null("curriculum"),
     ])
+
+
+def participation_date_check(inputs: Inputs) -> DataFrame:
+    """Participation dates the strict ``yyyy-MM-dd`` parser would reject (one such row fails the meals view)."""
+    p = inputs["meal_participation"]
+    bad = p.where(F.col("participation_date").isNotNull()
+                  & F.try_to_date(F.col("participation_date"), "yyyy-MM-dd").isNull())
+    return bad.agg(F.count(F.lit(1)).alias("failing_rows")).select(
+        F.lit("strict_date:participation_date").alias("check"), "failing_rows")
+
+
+def reload_unusable_numbers(inputs: Inputs) -> DataFrame:
+    """Per assessment: reload-log rows whose student number is NULL or 0.
+
+    The latest-row rule partitions on the number, so all such rows of one assessment collapse to
+    a single row; and 0 joins 0 in the prior-year match.  Counted, not changed.
+    """
+    log = inputs["state_results_pascal"]
+    n = F.col("student_number")
+    return log.where(n.isNull() | (n == 0)).groupBy("AssessmentName").agg(
+        F.sum(F.when(n.isNull(), 1).otherwise(0)).cast("bigint").alias("null_number_rows"),
+        F.sum(F.when(n == 0, 1).otherwise(0)).cast("bigint").alias("zero_number_rows"),
+    )
