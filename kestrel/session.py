@@ -26,6 +26,29 @@ SESSION_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, *, executor_cores_total: int = 8000,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` (apply on the cluster session).
+
+    Shuffle partitions are chosen so each holds about ``target_partition_bytes`` of the input
+    (shuffles here carry at most about the input: projections and partial aggregations only shrink
+    it), at least two waves of the cluster's cores, rounded up to a multiple of them; AQE then
+    coalesces small ones and splits skewed join partitions.  Scan splits are 256 MiB.  For 100 TB
+    this gives ~400k initial partitions of 256 MiB, coalesced at run time to 256 MiB targets.
+    """
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // executor_cores_total) * executor_cores_total
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the pipelines depend on to an existing session."""
     for key, value in SESSION_CONF.items():

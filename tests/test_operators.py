@@ -165,3 +165,12 @@ def test_spread_only_when_undersplit(spark, tmp_path):
     spark.range(10).write.parquet(small)
     df = spark.read.parquet(small)
     assert spread_if_undersplit(spark, df, small) is df  # below the size floor: untouched
+
+
+def test_scale_conf_sizes_partitions():
+    from kestrel.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), executor_cores_total=8000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and 100 * (1 << 40) / parts <= 256 << 20
+    assert int(scale_conf(1 << 30, executor_cores_total=8)["spark.sql.shuffle.partitions"]) == 16
