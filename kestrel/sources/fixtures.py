@@ -1,7 +1,8 @@
 """Test-data adapters: the driver's retail-shaped tables → the logical inputs of the pipelines.
 
 Each logical input is a list of branches ``(base_table, where, [(column, sql_expr), ...])``
-stacked with UNION ALL.  The expressions use only constructs that evaluate identically in
+stacked with UNION ALL; a branch may group its whole base table by key columns (lookup
+dimensions: their size is bounded by the key domain, their scan grows with the table).  The expressions use only constructs that evaluate identically in
 Spark SQL and DuckDB (``%``, CASE, ``concat``, ``lpad``, ``cast(.. as string|bigint|int|double|date)``,
 ``month/day/year/hour/minute/second``), so the same text feeds the Spark side (as a
 DataFrame ``select`` of ``F.expr`` columns) and the DuckDB oracle (as CTEs).  All student,
@@ -21,6 +22,9 @@ class Branch:
     table: str
     columns: list[tuple[str, str]]
     where: str | None = None
+    #: names of the key columns when the branch aggregates its whole base table into a lookup
+    #: dimension (every other column is then an aggregate expression)
+    group_by: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -417,10 +421,11 @@ ENROLLMENT = {
 
 BUDGET = Adapter("budget", [Branch("part", [
     ("school_name", f"concat('School ', {_s('p_partkey % 7')})"),
-    # grade 13 has no students; one school-grade is missing
-    ("grade_level", "cast(floor(p_partkey / 7) as int)"),
-    ("budgeted_enrollment", f"CASE WHEN p_partkey = 8 THEN '0' ELSE {_s('20 + p_partkey % 30')} END"),
-], where="p_partkey < 98 AND p_partkey <> 27")])
+    # grades 0-13: grade 13 has no students
+    ("grade_level", "cast(floor(p_partkey / 7) % 14 as int)"),
+    ("budgeted_enrollment", f"CASE WHEN min(p_partkey) = 8 THEN '0' ELSE {_s('20 + min(p_partkey) % 30')} END"),
+], where="NOT (p_partkey % 7 = 6 AND floor(p_partkey / 7) % 14 = 3)",  # one school-grade has no budget row
+    group_by=("school_name", "grade_level"))])
 
 
 # ---- skill practice ---------------------------------------------------------------------------
@@ -431,11 +436,12 @@ IXL_SCORES = Adapter("ixl_scores", [Branch("lineitem", [
     ("subject", "CASE WHEN l_partkey % 2 = 0 THEN 'math' ELSE 'ela' END"),
     ("curriculum", "CASE WHEN l_linenumber % 2 = 0 THEN 'Core' ELSE 'Extension' END"),
 ])])
+# 45 skill names; the scores use 50, so five never match
 IXL_SKILLS = Adapter("ixl_skill_names", [Branch("supplier", [
-    ("skill_name", f"concat('skill ', {_s('s_suppkey')})"),
-    ("subject", "CASE WHEN s_suppkey % 2 = 0 THEN 'math' ELSE 'ela' END"),
-    ("date_assigned", "cast(concat('2024-09-', lpad(" + _s("1 + s_suppkey % 28") + ", 2, '0')) as date)"),
-], where="s_suppkey < 45")])
+    ("skill_name", f"concat('skill ', {_s('s_suppkey % 45')})"),
+    ("subject", "CASE WHEN (s_suppkey % 45) % 2 = 0 THEN 'math' ELSE 'ela' END"),
+    ("date_assigned", "cast(concat('2024-09-', lpad(" + _s("1 + (s_suppkey % 45) % 28") + ", 2, '0')) as date)"),
+], group_by=("skill_name", "subject", "date_assigned"))])
 IXL_ARCHIVE = Adapter("ixl_archive", [Branch("orders", [
     ("local_student_id", _s("o_custkey + 100000")),
     ("skill_name", f"concat('skill ', {_s('o_orderkey % 45')})"),
@@ -475,13 +481,14 @@ ROSTER_SNAPSHOTS = Adapter("roster_snapshots", [Branch("orders", [
 COURSE_CATEGORY = Adapter("course_category", [Branch("part", [
     ("course_name", f"concat('Course ', {_s('p_partkey % 30')})"),
     ("grade_level", _s("p_partkey % 13")),
-    ("category", "CASE p_partkey % 5 WHEN 0 THEN 'Core' WHEN 1 THEN 'Elective' WHEN 2 THEN 'AP' WHEN 3 THEN 'Honors' ELSE 'Support' END"),
-], where="p_partkey < 200 AND p_partkey % 30 = p_partkey % 60")])
+    ("category", "CASE min(p_partkey) % 5 WHEN 0 THEN 'Core' WHEN 1 THEN 'Elective' WHEN 2 THEN 'AP' WHEN 3 THEN 'Honors' ELSE 'Support' END"),
+], group_by=("course_name", "grade_level"))])
+# placeholder names of 20 teachers (of the 40 in the grade book) map to display names
 TEACHER_ALIASES = Adapter("teacher_aliases", [Branch("supplier", [
-    ("last_name", f"concat('Last', {_s('s_suppkey')})"),
-    ("first_name", f"concat('First', {_s('s_suppkey')})"),
-    ("teacher_name", f"concat('Teacher ', {_s('s_suppkey')})"),
-], where="s_suppkey < 20")])
+    ("last_name", f"concat('Last', {_s('s_suppkey % 20')})"),
+    ("first_name", f"concat('First', {_s('s_suppkey % 20')})"),
+    ("teacher_name", f"concat('Teacher ', {_s('s_suppkey % 20')})"),
+], group_by=("last_name", "first_name", "teacher_name"))])
 
 
 ADAPTERS: dict[str, Adapter] = {

@@ -96,6 +96,13 @@ def build_adapter(spark: SparkSession, sf_dir: str, adapter: Adapter) -> DataFra
         df = read_table(spark, sf_dir, br.table)
         if br.where:
             df = df.where(br.where)
+        if br.group_by:
+            keys = [F.expr(e).alias(n) for n, e in br.columns if n in br.group_by]
+            aggs = [F.expr(e).alias(n) for n, e in br.columns if n not in br.group_by]
+            grouped = df.groupBy(*keys)
+            df = grouped.agg(*aggs) if aggs else grouped.agg(F.count(F.lit(1)).alias("__rows")).drop("__rows")
+            frames.append(df.select(*[F.col(_q(n)) for n, _ in br.columns]))
+            continue
         frames.append(df.selectExpr(*[f"{e} AS {_q(name)}" for name, e in br.columns]))
     out = frames[0]
     for f in frames[1:]:

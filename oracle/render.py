@@ -20,7 +20,10 @@ def adapter_cte(name: str) -> str:
     for br in a.branches:
         cols = ", ".join(f"{e} AS {qi(c)}" for c, e in br.columns)
         where = f" WHERE {br.where}" if br.where else ""
-        parts.append(f"SELECT {cols} FROM {br.table}{where}")
+        group = ""
+        if br.group_by:
+            group = " GROUP BY " + ", ".join(e for c, e in br.columns if c in br.group_by)
+        parts.append(f"SELECT {cols} FROM {br.table}{where}{group}")
     return f"{name} AS ({' UNION ALL '.join(parts)})"
 
 
