@@ -130,6 +130,6 @@ def reuse(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     limit = int(spark.conf.get(REUSE_MIN_BYTES_CONF, None) or REUSE_MIN_BYTES_DEFAULT)
     size = input_bytes(df)
-    if size is not None and size < limit:
+    if size is None or size < limit:  # unknown size (no JVM plan access): recompute, Spark's default
         return df
     return materialize(df, label)
