@@ -58,3 +58,22 @@ def test_streaming_reload_ingest_then_latest_row(spark, tmp_path):
     latest = {r.student_number: r.ScaleScore for r in latest_reload(logged).collect()}
     assert latest == {1: "1450", 2: "1500"}
     assert logged.where(F.col("file_name").isNotNull()).count() == 3
+
+
+def test_latest_snapshot_prunes_partitions(spark, sf_dir, tmp_path):
+    """Stored partitioned by load time, the latest-load filter becomes a partition filter (older loads unread)."""
+    from kestrel.plans.catalog import runner
+
+    path = str(tmp_path / "stored_grades")
+    grades = load_inputs(spark, sf_dir, ["stored_grades"])["stored_grades"]
+    grades.write.partitionBy("partitiontime").parquet(path)
+    register("stored_grades", path)
+    try:
+        df = runner("latest_snapshot")(spark, sf_dir)
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        part_filters = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+        assert any("partitiontime" in line and "subquery" in line.lower() for line in part_filters), part_filters
+        assert df.count() == grades.where(F.col("partitiontime") == grades.agg(F.max("partitiontime")).first()[0]).count()
+    finally:
+        unregister("stored_grades")
