@@ -69,12 +69,22 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right
 
 
 def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Left rows that match no right row on any of the ``(left_key, right_key)`` pairs."""
+    """Left rows that match no right row on any of the ``(left_key, right_key)`` pairs.
+
+    The right side is reduced once to its distinct key tuples (an anti join only asks whether a
+    partner exists, so the tuple set serves every pair).  That set is shared by the chained anti
+    joins through ``reuse``: materialised once when the right side is large, so it is scanned
+    once, not once per key.
+    """
+    names = [f"__kestrel_anti_{i}" for i in range(len(pairs))]
+    keyset = right.select(*[F.col(rk).alias(n) for (_, rk), n in zip(pairs, names)]).distinct()
+    if len(pairs) > 1:
+        from kestrel.session import reuse
+
+        keyset = reuse(keyset, "anti_join_keys")
     out = left
-    for i, (lk, rk) in enumerate(pairs):
-        key = f"__kestrel_anti_{i}"
-        keys = right.select(F.col(rk).alias(key)).distinct()
-        out = equi_join(out, keys, [(lk, key)], "left_anti")
+    for (lk, _), name in zip(pairs, names):
+        out = equi_join(out, keyset.select(name), [(lk, name)], "left_anti")
     return out
 
 
