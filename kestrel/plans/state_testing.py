@@ -17,7 +17,7 @@ from kestrel.functions.columns import norm, qcol, safe_double, trimmed, typed_nu
 from kestrel.functions.rules import (
     advanced_elpi, cast_teacher, elpac_track, elpi_growth_category, elpi_level, elpi_level_rank, grade_band,
 )
-from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay
+from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay, skew_join
 from kestrel.operators.stack import union_distinct
 from kestrel.plans.reloads import latest_reload
 from kestrel.session import reuse
@@ -37,7 +37,8 @@ def _roster(inputs: Inputs, year: str, extra: list[str]) -> DataFrame:
 def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int]) -> DataFrame:
     """roster LEFT JOIN scores ON number (the source's RIGHT JOIN), tested grades only."""
     r = roster.where(F.col("grade_level").isin(grades))
-    return equi_join(r, scores, [("st_student_number", "student_number")], "left")
+    # the score side may hold a hot number (e.g. 0 = unknown) that AQE cannot split in a left join
+    return skew_join(r, scores, [("st_student_number", "student_number")], "left")
 
 
 # ---- CAST ------------------------------------------------------------------------------------------
