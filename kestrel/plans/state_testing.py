@@ -177,7 +177,8 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         F.col("math_level").alias(PRIOR[2]), F.col("math_dfs").alias(PRIOR[3]),
         F.col("e_prof").alias(PRIOR[4]), F.col("m_prof").alias(PRIOR[5]),
     )
-    stacked_2425 = equi_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
+    # several prior rows per state id are possible (ELA x Math pairs): a hot id is salted
+    stacked_2425 = skew_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
 
     # prior year of 25-26: the 24-25 scores, maxed per student number column by column
     prior_2425 = joined.where(F.col("student_number").isNotNull()).groupBy(
@@ -216,7 +217,8 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
 
     r2425 = _roster(inputs, "24-25", teachers)
     j25 = _roster_join(r2425, stacked_2425, SBAC_GRADES)
-    j25 = j25.join(intervention, j25["st_student_number"] == intervention["i_number"], "left")
+    # the intervention lookup is not unique per student (kept as in the source): a hot number is salted
+    j25 = skew_join(j25, intervention, [("st_student_number", "i_number")], "left")
     # read by the union and by the archive overlay (materialised when large)
     live_2425 = reuse(
         out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention")), "sbac_live_2425")
