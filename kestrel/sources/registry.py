@@ -44,7 +44,7 @@ def read_registered(spark: SparkSession, logical_name: str) -> DataFrame:
     return df
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str, str], DataFrame] = {}
 
 #: inputs smaller than this are never re-spread (the extra exchange would cost more than it saves)
 SPREAD_MIN_BYTES = 1 << 20
@@ -80,7 +80,7 @@ def spread_if_undersplit(spark: SparkSession, df: DataFrame, path: str) -> DataF
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The base table as a DataFrame; one reader per (session, path), reused by every adapter."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spread_if_undersplit(spark, spark.read.parquet(path), path)
     return _READS[key]
