@@ -16,7 +16,6 @@ from kestrel.functions.columns import (
     school_year_from_roster_year, split_part, trimmed, utc_date,
 )
 from kestrel.functions.rules import elpac_track, elpi_level, elpi_level_rank, grade_band
-from kestrel.operators.dedupe import keep_best  # noqa: F401  (re-exported for readers of this module)
 from kestrel.operators.joins import (
     anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay, skew_join,
 )
