@@ -49,6 +49,9 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "check_ixl_scores": (quality.ixl_checks, ["ixl_scores", "ixl_skill_names", "ixl_archive"]),
     "check_participation_dates": (quality.participation_date_check, ["meal_participation"]),
     "check_reload_unusable_numbers": (quality.reload_unusable_numbers, ["state_results_pascal"]),
+    "check_all": (quality.all_checks, ["roster", "state_results_snake", "state_results_2324", "state_results_pascal",
+                                       "intervention", "sbac_archive", "cast_archive", "cut_scores", "meal_applications",
+                                       "meal_participation", "ixl_scores", "ixl_skill_names", "ixl_archive"]),
     # single-operator queries (each operator alone over whole inputs)
     "keep_best_latest": (primitives.keep_best_latest, ["state_results_pascal"]),
     "keep_best_ranked": (primitives.keep_best_ranked, ["meal_applications"]),

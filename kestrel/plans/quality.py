@@ -105,3 +105,36 @@ def reload_unusable_numbers(inputs: Inputs) -> DataFrame:
         F.sum(F.when(n.isNull(), 1).otherwise(0)).cast("bigint").alias("null_number_rows"),
         F.sum(F.when(n == 0, 1).otherwise(0)).cast("bigint").alias("zero_number_rows"),
     )
+
+
+# ---- the whole test run: one frame (check, failing_rows) -----------------------------------------
+#: checks that already report (check, failing_rows)
+SUMMARY_CHECKS = {
+    "check_roster_source": roster_source_checks,
+    "check_state_results_source": state_results_source_checks,
+    "check_state_testing_years": state_testing_year_checks,
+    "check_meals": meal_checks,
+    "check_ixl_scores": ixl_checks,
+    "check_participation_dates": participation_date_check,
+}
+#: checks that return their failing rows (the result of a check is their count)
+ROW_CHECKS = {
+    "check_school_coverage": school_coverage,
+    "check_elpac_reload_duplicates": elpac_reload_duplicates,
+    "check_cast_duplicates": cast_duplicates,
+    "check_sbac_duplicates": sbac_duplicates,
+    "check_elpac_duplicates": elpac_duplicates,
+    "check_reload_unusable_numbers": reload_unusable_numbers,
+}
+
+
+def all_checks(inputs: Inputs) -> DataFrame:
+    """Every declared check in one frame ``(check, failing_rows)``; zero everywhere means the run passes."""
+    from kestrel.operators.stack import union_all
+
+    frames = [fn(inputs).select(F.concat(F.lit(f"{key}."), F.col("check")).alias("check"),
+                                F.col("failing_rows").cast("bigint").alias("failing_rows"))
+              for key, fn in SUMMARY_CHECKS.items()]
+    frames += [fn(inputs).agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))
+               .select(F.lit(key).alias("check"), "failing_rows") for key, fn in ROW_CHECKS.items()]
+    return union_all(frames)
