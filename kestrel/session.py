@@ -105,16 +105,22 @@ REUSE_MIN_BYTES_CONF = "spark.kestrel.reuse.minBytes"
 REUSE_MIN_BYTES_DEFAULT = 1 << 30
 
 
+UNKNOWN_SIZE = 1 << 62
+
+
 def input_bytes(df: DataFrame) -> int | None:
-    """Bytes the plan reads: the sum of its leaf scans' size estimates (file sizes after column pruning).
+    """Bytes the plan reads: the sum of its leaf relations' sizes (file sizes of the scanned inputs).
 
     This is what recomputing the plan costs in scans (and, roughly, in shuffles).  Catalyst's
     estimate of the plan *output* is no help here: without CBO a join's estimate is the product
-    of its sides.  No job is run.
+    of its sides.  Read from the analysed plan, which the DataFrame already holds, so no
+    optimisation pass and no job is run.
     """
     try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+        # in-memory relations (seeds, parameter lists) may report "unknown" (Long.MaxValue): they are small
+        return sum(b for b in sizes if b < UNKNOWN_SIZE)
     except Exception:  # noqa: BLE001 — no estimate available (e.g. a remote session)
         return None
 
