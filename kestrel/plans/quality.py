@@ -41,14 +41,15 @@ def elpac_reload_duplicates(inputs: Inputs) -> DataFrame:
     )
 
 
-def cast_duplicates(inputs: Inputs) -> DataFrame:
-    return duplicate_keys(state_testing.cast_tabular(inputs), ["year", "studentidentifier", "assessmentname"],
+def cast_duplicates(inputs: Inputs, model: DataFrame | None = None) -> DataFrame:
+    model = model if model is not None else state_testing.cast_tabular(inputs)
+    return duplicate_keys(model, ["year", "studentidentifier", "assessmentname"],
                           where=F.col("studentidentifier").isNotNull())
 
 
-def sbac_duplicates(inputs: Inputs) -> DataFrame:
-    return duplicate_keys(state_testing.sbac_tabular(inputs), ["year", "studentidentifier"],
-                          where=F.col("studentidentifier").isNotNull())
+def sbac_duplicates(inputs: Inputs, model: DataFrame | None = None) -> DataFrame:
+    model = model if model is not None else state_testing.sbac_tabular(inputs)
+    return duplicate_keys(model, ["year", "studentidentifier"], where=F.col("studentidentifier").isNotNull())
 
 
 def elpac_duplicates(inputs: Inputs) -> DataFrame:
@@ -56,10 +57,13 @@ def elpac_duplicates(inputs: Inputs) -> DataFrame:
                           where=F.col("student_number").isNotNull())
 
 
-def state_testing_year_checks(inputs: Inputs) -> DataFrame:
+def state_testing_year_checks(inputs: Inputs, cast_model: DataFrame | None = None,
+                              sbac_model: DataFrame | None = None) -> DataFrame:
     years = ["24-25", "25-26"]
-    c = summarize(state_testing.cast_tabular(inputs), [not_null("year"), accepted_values("year", years)])
-    s = summarize(state_testing.sbac_tabular(inputs), [not_null("year"), accepted_values("year", years)])
+    cast_model = cast_model if cast_model is not None else state_testing.cast_tabular(inputs)
+    sbac_model = sbac_model if sbac_model is not None else state_testing.sbac_tabular(inputs)
+    c = summarize(cast_model, [not_null("year"), accepted_values("year", years)])
+    s = summarize(sbac_model, [not_null("year"), accepted_values("year", years)])
     return c.select(F.concat(F.lit("cast_tabular."), "check").alias("check"), "failing_rows").unionByName(
         s.select(F.concat(F.lit("sbac_tabular."), "check").alias("check"), "failing_rows"))
 
@@ -129,12 +133,22 @@ ROW_CHECKS = {
 
 
 def all_checks(inputs: Inputs) -> DataFrame:
-    """Every declared check in one frame ``(check, failing_rows)``; zero everywhere means the run passes."""
+    """Every declared check in one frame ``(check, failing_rows)``; zero everywhere means the run passes.
+
+    The CAST and SBAC views are each tested twice (year values, duplicate grain): they are built
+    once and shared through ``reuse`` (materialised once when large).
+    """
     from kestrel.operators.stack import union_all
+    from kestrel.session import reuse
 
+    cast_model = reuse(state_testing.cast_tabular(inputs), "cast_tabular")
+    sbac_model = reuse(state_testing.sbac_tabular(inputs), "sbac_tabular")
+    summaries = dict(SUMMARY_CHECKS, check_state_testing_years=lambda i: state_testing_year_checks(i, cast_model, sbac_model))
+    rows = dict(ROW_CHECKS, check_cast_duplicates=lambda i: cast_duplicates(i, cast_model),
+                check_sbac_duplicates=lambda i: sbac_duplicates(i, sbac_model))
     frames = [fn(inputs).select(F.concat(F.lit(f"{key}."), F.col("check")).alias("check"),
                                 F.col("failing_rows").cast("bigint").alias("failing_rows"))
-              for key, fn in SUMMARY_CHECKS.items()]
+              for key, fn in summaries.items()]
     frames += [fn(inputs).agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))
-               .select(F.lit(key).alias("check"), "failing_rows") for key, fn in ROW_CHECKS.items()]
+               .select(F.lit(key).alias("check"), "failing_rows") for key, fn in rows.items()]
     return union_all(frames)

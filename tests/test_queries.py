@@ -32,7 +32,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     assert r["match"], r
 
 
-@pytest.mark.parametrize("name", ["sbac_tabular", "cast_tabular", "anti_any_key", "overlay_archive"])
+@pytest.mark.parametrize("name", ["sbac_tabular", "cast_tabular", "anti_any_key", "overlay_archive", "check_all"])
 def test_materialised_shared_branches_give_same_rows(spark, sf_dir, con, name):
     """Force the write-once path of ``reuse`` (threshold 0) and check against the oracle again."""
     from kestrel.session import REUSE_MIN_BYTES_CONF
