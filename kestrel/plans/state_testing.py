@@ -224,7 +224,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention")), "sbac_live_2425")
 
     r2526 = _roster(inputs, "25-26", teachers)
-    j26 = _roster_join(r2526, stacked_2526.select([F.col(c) for c in stacked_2526.columns]), SBAC_GRADES)
+    j26 = _roster_join(r2526, stacked_2526, SBAC_GRADES)
     j26 = j26.join(sid_lookup, j26["st_student_number"] == sid_lookup["l_number"], "left")
     p = prior_2425.select(F.col("p_number"), *[F.col(c).alias(f"p_{c}") for c in PRIOR])
     j26 = j26.join(p, j26["st_student_number"] == p["p_number"], "left")
