@@ -49,21 +49,20 @@ class Node:
     right: Node | None = None
 
 
-def _before(dim: str, cut: Sequence[int]) -> Column:
+def _before(dim: str, cut: Sequence[int]) -> str:
     """(dim, tie, id) < cut, compared in that order over the parts the cut has."""
-    cols = [dim, _TIE, "__idn"]
-    out = F.lit(False)
-    for i in reversed(range(len(cut))):
-        c = F.col(cols[i])
-        out = (c < F.lit(cut[i])) | ((c == F.lit(cut[i])) & out) if i < len(cut) - 1 else c < F.lit(cut[i])
+    names = (dim, _TIE, "__idn")
+    out = f"{names[len(cut) - 1]} < {cut[-1]}L"
+    for name, value in reversed(list(zip(names, cut[:-1]))):
+        out = f"({name} < {value}L OR ({name} = {value}L AND {out}))"
     return out
 
 
-def _leaf(node: Node) -> Column:
+def _leaf(node: Node) -> str:
     """The first shard of the leaf a row is in."""
     if node.left is None:
-        return F.lit(node.first)
-    return F.when(_before(node.dim, node.cut), _leaf(node.left)).otherwise(_leaf(node.right))
+        return str(node.first)
+    return f"CASE WHEN {_before(node.dim, node.cut)} THEN {_leaf(node.left)} ELSE {_leaf(node.right)} END"
 
 
 @dataclass
@@ -76,24 +75,20 @@ class _Search:
     before: float = 0.0
 
 
-def _medians(rows: DataFrame, open_nodes: list[tuple[Node, _Search]], here: Column, ranges: dict[str, tuple[int, int]]) -> None:
+def _medians(rows: DataFrame, open_nodes: list[tuple[Node, _Search]], here: str, ranges: dict[str, tuple[int, int]]) -> None:
     """Find the cuts of all nodes of a level, one aggregation a round."""
     todo = dict(enumerate(open_nodes))
     while todo:
-        which, binned, value = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
+        which, binned, value = [], [], []
         for k, (node, s) in todo.items():
-            cols = [node.dim, _TIE, "__idn"]
-            inside = here == F.lit(node.first)
-            for c, v in zip(cols, s.fixed):
-                inside = inside & (F.col(c) == F.lit(v))
-            x = F.col(cols[len(s.fixed)])
-            inside = inside & (x >= F.lit(s.lo)) & (x <= F.lit(s.hi))
-            step = -(-(s.hi - s.lo + 1) // BINS)
-            which = F.when(inside, F.lit(k)).otherwise(which)
-            value = F.when(inside, x).otherwise(value)
-            binned = F.when(inside, F.floor((x - F.lit(s.lo)) / F.lit(step)) if step < 1 << 40 else F.expr(
-                f"({cols[len(s.fixed)]} - {s.lo}L) div {step}L")).otherwise(binned)
-        got = rows.select(which.alias("k"), binned.cast("bigint").alias("b"), value.alias("x"), "__w").where("k is not null").groupBy("k", "b").agg(
+            names = (node.dim, _TIE, "__idn")
+            x = names[len(s.fixed)]
+            inside = " AND ".join([f"leaf = {node.first}", *[f"{c} = {v}L" for c, v in zip(names, s.fixed)], f"{x} BETWEEN {s.lo}L AND {s.hi}L"])
+            which.append(f"WHEN {inside} THEN {k}")
+            binned.append(f"WHEN k = {k} THEN ({x} - {s.lo}L) DIV {-(-(s.hi - s.lo + 1) // BINS)}L")
+            value.append(f"WHEN k = {k} THEN {x}")
+        got = rows.selectExpr("*", f"{here} AS leaf").selectExpr("*", f"CASE {' '.join(which)} END AS k").where("k IS NOT NULL").selectExpr(
+            "k", f"CASE {' '.join(binned)} END AS b", f"CASE {' '.join(value)} END AS x", "__w").groupBy("k", "b").agg(
             F.sum("__w").alias("w"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).collect()  # BINS rows a node at most
         for k, (node, s) in list(todo.items()):
             bins = sorted((r["b"], r["w"], r["lo"], r["hi"], r["n"]) for r in got if r["k"] == k)
@@ -136,7 +131,7 @@ def kd_shards(docs: DataFrame, *, dims: Sequence[str], shards: int = 8, id_col:
     level = [root]
     while level := [n for n in level if n.shards > 1]:
         here = _leaf(root)
-        stats = {r["k"]: r for r in rows.groupBy(here.alias("k")).agg(F.sum("__w").alias("w"), *spread).collect()}  # a row per node
+        stats = {r["k"]: r for r in rows.groupBy(F.expr(here).alias("k")).agg(F.sum("__w").alias("w"), *spread).collect()}  # a row per node
         open_nodes = []
         for node in level:
             s = stats.get(node.first)
@@ -158,7 +153,7 @@ def kd_shards(docs: DataFrame, *, dims: Sequence[str], shards: int = 8, id_col:
         level = [half for n, _ in open_nodes for half in (n.left, n.right)]
 
     # slots: rows in ranges of (shard, id); a slot is the prefix sum of the ranges before plus the place in the range
-    placed = rows.select(ID, F.col("__w").alias("size"), "__crc", _leaf(root).cast("int").alias("shard"), _TIE)
+    placed = rows.select(ID, F.col("__w").alias("size"), "__crc", F.expr(_leaf(root)).cast("int").alias("shard"), _TIE)
     ranged = placed.repartitionByRange("shard", F.col(ID).asc_nulls_first(), _TIE)
     ranged = stage(ranged.withColumn("part", F.spark_partition_id()), "kd-placed")
     counts = ranged.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))  # a row per range and shard
