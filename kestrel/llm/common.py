@@ -14,6 +14,7 @@ from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,10 +109,10 @@ class Words:
     """The words of some texts as codes into their distinct words (splitting and coding run in Arrow)."""
 
     def __init__(self, texts: pa.Array):
-        lists = pc.ascii_split_whitespace(texts)
-        flat = lists.flatten()
-        full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # leading/trailing blanks give ""
-        offsets = lists.offsets.to_numpy().astype(np.int64)
+        self.lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+        flat = self.lists.flatten()
+        full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # a text without words gives ""
+        offsets = self.lists.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         if not full.all():
             offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
@@ -121,6 +122,10 @@ class Words:
         self.codes = coded.indices.to_numpy().astype(np.int64)
         self.distinct: pa.Array = coded.dictionary
 
+    def joined(self) -> pa.Array:
+        """The words of each text joined by one space."""
+        return pc.binary_join(self.lists, pa.scalar(" ", self.lists.type.value_type))
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         import xxhash
@@ -147,6 +152,56 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Rolling:
+    """64-bit hashes of any runs of words, from prefix sums of a polynomial in wrapping arithmetic."""
+
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+    _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        powers = np.full(n + 1, self._BASE, np.uint64)
+        inverse = np.full(n + 1, self._INVERSE, np.uint64)
+        powers[0] = inverse[0] = 1
+        self.inverse = np.multiply.accumulate(inverse)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.multiply.accumulate(powers)[:-1], dtype=np.uint64)])
+
+    def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def key_bitmap(keys: DataFrame, bits: int = 23) -> np.ndarray:
+    """A bitmap of ``2 ** bits`` bits with the hashes of an id column set: at most a megabyte, whatever the table.
+
+    It only spares a shuffle the rows that certainly have no partner; the join that follows decides.
+    """
+    place = F.pmod(F.xxhash64(F.col(keys.columns[0])), F.lit(1 << bits))
+    rows = keys.select((place + 1).alias("p")).groupBy(F.expr("bitmap_bucket_number(p)").alias("b")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits")).collect()
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows:  # a bucket has 4096 bytes; buckets count from 1
+        got = np.frombuffer(r["bits"], np.uint8)
+        at = (r["b"] - 1) * 4096
+        out[at: at + len(got)] = got
+    return out
+
+
+def may_have(bitmap: np.ndarray, place: Column) -> Column:
+    """Whether the bitmap has the place ``pmod(xxhash64(id), 2 ** bits)``; only that number goes through Python."""
+
+    @F.pandas_udf("boolean")
+    def test(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return test(place)
+
+
+def narrowed(df: DataFrame, id_col: str, keys: DataFrame, bits: int = 23) -> DataFrame:
+    """``df`` without most of the rows whose id is not in the one column of ``keys``."""
+    return df.where(may_have(key_bitmap(keys, bits), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << bits))))
+
+
 def is_local(uri: str) -> bool:
     return urlparse(uri).scheme in ("", "file")
 
