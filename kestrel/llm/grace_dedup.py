@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, TEXT, stage
+from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, stage
 
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 #: bits of the hash a level of partitioning takes
@@ -91,7 +91,7 @@ def leaves(sizes: DataFrame, table_bytes: int) -> tuple[list[set[int]], dict[int
     return levels, hot
 
 
-_ROWS = f"{ID} long, row_no long, points int, sha string, entry string, content string, {_HASH} long"
+_ROWS = f"{ID} long, row_no long, {ROW} long, points int, sha string, entry string, content string, {_HASH} long"
 
 
 def _dedup_buckets(records: DataFrame, keep_content: bool) -> DataFrame:
@@ -112,20 +112,20 @@ def _dedup_buckets(records: DataFrame, keep_content: bool) -> DataFrame:
                 contents.append(content if new and (keep_content and salted) else None)
             numbers = pa.array(np.arange(row_no, row_no + batch.num_rows))
             row_no += batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(ID), numbers, batch.column("points"), batch.column("sha"), pa.array(entries, pa.string()),
+            yield pa.RecordBatch.from_arrays([batch.column(ID), numbers, batch.column(ROW), batch.column("points"), batch.column("sha"), pa.array(entries, pa.string()),
                                               pa.array(contents, pa.string()), batch.column(_HASH)],
-                                             [ID, "row_no", "points", "sha", "entry", "content", _HASH])
+                                             [ID, "row_no", ROW, "points", "sha", "entry", "content", _HASH])
 
     return records.repartition(F.col(_LEAF)).sortWithinPartitions(_LEAF, _HASH).mapInArrow(run, _ROWS)
 
 
 def grace_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    content = F.col(TEXT)
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 and a hash of the text as it is."""
+    text = F.coalesce(F.col(TEXT), F.lit(""))
+    content = text
     for blank in _BLANKS:
         content = F.replace(content, F.lit(blank), F.lit(""))
-    base = docs.select(F.col(id_col).cast("bigint").alias(ID), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(TEXT))
-    records = base.select(ID, F.char_length(TEXT).alias("points"), content.alias(_CONTENT)).withColumn(
+    records = keyed_texts(docs, id_col, text_col).select(ID, ROW, F.char_length(text).alias("points"), content.alias(_CONTENT)).withColumn(
         _HASH, F.xxhash64(_CONTENT).bitwiseAND(F.lit((1 << 63) - 1))).withColumn("sha", F.sha2(_CONTENT, 256))
     levels, hot = leaves(records.select(_HASH, (F.octet_length(_CONTENT) + 64).cast("long").alias("bytes")), table_bytes)
 
@@ -143,17 +143,17 @@ def grace_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     if hot:
         # entries of a hot hash: one more table over one copy from each; all other entries are groups already
         copies = rows.where(F.col("content").isNotNull()).select(
-            F.lit(None).cast("long").alias(ID), F.lit(0).alias("points"), F.col("entry").alias("sha"), F.col("content").alias(_CONTENT),
+            F.lit(None).cast("long").alias(ID), F.lit(0).cast("long").alias(ROW), F.lit(0).alias("points"), F.col("entry").alias("sha"), F.col("content").alias(_CONTENT),
             _HASH, F.concat_ws("-", F.lit("merge"), _HASH).alias(_LEAF), F.lit(False).alias("salted"))
         merged = _dedup_buckets(copies, keep_content=False).select(F.col("sha").alias("of"), F.col("entry").alias("into"))
         named = stage(rows.join(merged, rows["entry"] == merged["of"], "left").withColumn("entry", F.coalesce("into", "entry"))
                       .drop("of", "into"), "dedup-groups")
     else:
         named = rows
-    named = named.select(ID, "row_no", "points", "sha", F.col("entry").alias("grp"))
+    named = named.select(ID, "row_no", ROW, "points", "sha", F.col("entry").alias("grp"))
     first = F.min(F.struct((-F.col("points")).alias("points"), F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col("row_no").alias("row_no")))
     groups = named.groupBy("grp").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")).select(
         F.col("grp").alias("g"), F.col("first.id").alias("keep_id"), F.col("first.row_no").alias("keep_row"), "group_size")
     joined = named.join(groups, named["grp"] == groups["g"])
     return joined.select(F.col(ID).alias("doc_id"), "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"),
-                         F.col("sha").alias("text_sha256"))
+                         F.col("sha").alias("text_sha256"), F.col(ROW).alias("text_hash"))

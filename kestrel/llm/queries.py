@@ -32,7 +32,7 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return isolation_rules.quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return isolation_rules.quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text_hash")
 
 
 def op5_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grace_dedup.grace_dedup(documents(spark, sf_dir))
+    return grace_dedup.grace_dedup(documents(spark, sf_dir)).drop("text_hash")
 
 
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op7_best_fit, op8_grace_dedup, op9_kd_shards, op10_chunked_bpe)
 }
 
-_SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-
 ORACLE_SQL: dict[str, str] = {
     "op8_grace_dedup": r"""
 WITH d AS (
