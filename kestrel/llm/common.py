@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 ID, TEXT, ROW = "__doc", "__text", "__row"
 
 #: an Arrow batch is handled in slices of about this many text bytes, so memory does not follow the batch
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 _SHIPPED: set[str] = set()
