@@ -11,9 +11,9 @@ threshold share one of those), the rarest first by counts over all documents in
 a passage that a third of the documents share comes last and is listed only where a set has little else.
 
 Equal sets are collapsed first.  Lists are scanned without making the pairs of a list: in the first rounds
-each set is compared with one hub of its lists, a different one by list, and what links becomes one
-component.  What is then still apart within a list is enumerated, but only across components and only where
-sizes and places allow the threshold, so the result is exact.
+each set is compared with one hub of its lists, and what links becomes one component.  What is then still
+apart within a list is paired, but only across components, and compared in full only where the shingles
+that two sets share in their lists leave the threshold possible, so the result is exact.
 
 Defined results: an empty set (no words) links with nothing; fewer than ``n`` words make one shingle of the
 whole text; a row with a null id links with nothing and has a null component; rows that repeat an id share a
@@ -150,12 +150,13 @@ def _shingle_levels(first: DataFrame) -> np.ndarray:
     return np.floor(1024 * np.log2(1.0 + total)).astype(np.uint16)
 
 
-def _ordered(values: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The shingles of a set in the common order: by level of their counter, then by hash."""
-    return values[np.lexsort((values, levels[(values >> np.uint64(44)).astype(np.int64)]))]
 
+_LISTED = "token long, ord long, slot smallint, n int, pos int, kind tinyint"
 
-_LISTED = f"token long, ord long, {ROW} long, n int, pos int, kind int"
+
+def _slot(row):
+    """A small hash that keeps most rows with one id apart in the lists; full sets are told apart by the whole hash."""
+    return F.pmod(row, F.lit(1 << 15)).cast("smallint")
 
 
 def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> DataFrame:
@@ -196,7 +197,7 @@ def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
                      pa.array(size[docs].astype(np.int32)), pa.array(np.concatenate(places).astype(np.int32)),
-                     pa.array(np.concatenate(kinds).astype(np.int32))], ["token", "ord", ROW, "n", "pos", "kind"])
+                     pa.array(np.concatenate(kinds).astype(np.int8))], ["token", "ord", "slot", "n", "pos", "kind"])
 
     return texts.mapInArrow(run, _LISTED)
 
@@ -208,17 +209,17 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
                 values, offsets = shingle_sets(part, n)
                 raw = values.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(part)), batch.column(1).slice(first, len(part)),
-                     pa.array([raw[8 * a: 8 * b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], ["ord", ROW, "items"])
+                    [*[batch.column(i).slice(first, len(part)) for i in (0, 1)],
+                     pa.array([raw[8 * a: 8 * b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], ["ord", "slot", "items"])
 
-    return texts.mapInArrow(run, f"ord long, {ROW} long, items binary")
+    return texts.mapInArrow(run, "ord long, slot smallint, items binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, a_row, b, b_row) whose sets reach the threshold, compared in full."""
-    left = sets.select(F.col("ord").alias("a"), F.col(ROW).alias("a_row"), F.col("items").alias("a_items"))
-    right = sets.select(F.col("ord").alias("b"), F.col(ROW).alias("b_row"), F.col("items").alias("b_items"))
-    both = pairs.join(left, ["a", "a_row"]).join(right, ["b", "b_row"]).select("a", "b", "a_items", "b_items")
+    """The pairs (a, a_slot, b, b_slot) whose sets reach the threshold, compared in full."""
+    left = sets.toDF("a", "a_slot", "a_items")
+    right = sets.toDF("b", "b_slot", "b_items")
+    both = pairs.join(left, ["a", "a_slot"]).join(right, ["b", "b_slot"]).select("a", "b", "a_items", "b_items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,12 +251,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = stage(classes.select("lo", "hi", "n", F.col("one.ord").alias("ord"), F.col("one.row").alias("row")), "set-classes")
     member = stage(known.join(classes.drop("n"), ["lo", "hi"]).select(F.col(ID).alias("id"), F.col("ord").alias("rep")).distinct(), "set-members")
 
-    # lists: only shingles that more than one set lists can make a candidate
-    source = texts.where(F.col(ID).isNotNull()).select(F.col(ID).alias("ord"), ROW, TEXT)
-    listed = stage(_listings(source, n, percent, light, levels), "listed")
+    # lists: only shingles that more than one set lists can make a candidate; listing twice spares the disk a copy
+    source = texts.where(F.col(ID).isNotNull()).select(F.col(ID).alias("ord"), _slot(F.col(ROW)).alias("slot"), TEXT)
+    listed = _listings(source, n, percent, light, levels)
     shared = listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    one = classes.select("ord", F.col("row").alias(ROW))
-    lists = stage(listed.join(shared, "token", "left_semi").join(one, ["ord", ROW], "left_semi").distinct(), "lists")
+    one = classes.select("ord", _slot(F.col("row")).alias("slot")).distinct()
+    lists = stage(listed.join(shared, "token", "left_semi").join(one, ["ord", "slot"], "left_semi"), "lists")
 
     # light sets: a common subset of the size in its key is a link by itself
     subsets = lists.where("kind > 0")
@@ -263,37 +264,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = subsets.join(least, "token").where("ord <> hub").select(F.col("hub").alias("a"), F.col("ord").alias("b")).distinct()
     links = stage(links.unionByName(member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))), "links-light")
 
-    heavy = lists.where("kind = 0").select("token", "ord", ROW, "n", "pos")
-    several = heavy.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    heavy = stage(heavy.join(several, "token", "left_semi"), "lists-heavy")
-    wanted = heavy.select("ord", ROW).distinct()
-    sets = narrowed(texts.select(F.col(ID).alias("ord"), ROW, TEXT), "ord", wanted.select("ord"))
-    sets = stage(_sets(sets.join(wanted, ["ord", ROW], "left_semi"), n).dropDuplicates(["ord", ROW]), "sets")
+    lists = lists.where("kind = 0").select("token", "ord", "slot", "n").distinct()
+    several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    lists = stage(lists.join(several, "token", "left_semi"), "lists-heavy")
     tested = None
     for round_no in range(hub_rounds + 1):
         component = connected_components(links)
-        labelled = heavy.join(component.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
+        labelled = lists.join(component.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
         open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
         labelled = stage(labelled.join(open_lists, "token", "left_semi"), f"open-lists-{round_no}")
-        own = F.struct(F.col("ord"), F.col(ROW).alias("row"), "n", "pos", "component")
+        own = F.struct("ord", "slot", "n", "component")
         if round_no < hub_rounds:
-            # one hub a list, the one of least hash; of the hubs a set meets, the one it meets most often
-            hub = labelled.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "ord", F.lit(round_no)).alias("h"), own.alias("hub"))).alias("x"))
-            met = labelled.join(hub.select("token", F.col("x.hub").alias("hub")), "token").where(_may_link(percent))
-            met = met.groupBy("ord", ROW, "hub.ord", "hub.row").agg(F.count(F.lit(1)).alias("times")).toDF("b", "b_row", "a", "a_row", "times")
-            best = met.groupBy("b", "b_row").agg(F.max(F.struct("times", "a", "a_row")).alias("x"))
-            pairs = best.select("x.a", "x.a_row", "b", "b_row")
+            # one hub a list, its first set or its last; of the hubs a set meets, the one it meets most often
+            end = F.min if round_no % 2 == 0 else F.max
+            met = labelled.join(labelled.groupBy("token").agg(end(own).alias("hub")), "token")
         else:
-            # what is still apart within a list, in full: across components, where sizes and places allow a link
+            # what is still apart within a list, in full
             other = labelled.select("token", own.alias("hub"))
-            pairs = labelled.join(other, "token").where(_may_link(percent)).where(f"hub.ord < ord or (hub.ord = ord and hub.row < {ROW})").select(
-                F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("ord").alias("b"), F.col(ROW).alias("b_row")).distinct()
+            met = labelled.join(other, "token").where("hub.ord < ord or (hub.ord = ord and hub.slot < slot)")
+        sizes_fit = 100 * F.least("hub.n", "n") >= percent * F.greatest("hub.n", "n")
+        met = met.where((F.col("hub.component") != F.col("component")) & sizes_fit).groupBy(
+            F.col("ord").alias("b"), F.col("slot").alias("b_slot"), F.col("hub.ord").alias("a"), F.col("hub.slot").alias("a_slot"),
+            F.col("n").alias("b_n"), F.col("hub.n").alias("a_n")).agg(F.count(F.lit(1)).alias("times"))
+        pairs = met.where(_may_link(percent))
+        if round_no < hub_rounds:
+            pairs = pairs.groupBy("b", "b_slot").agg(F.max(F.struct("times", "a", "a_slot")).alias("x")).select("x.a", "x.a_slot", "b", "b_slot")
+        pairs = pairs.select("a", "a_slot", "b", "b_slot")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "a_row", "b", "b_row"], "left_anti").join(
-                tested.toDF("b", "b_row", "a", "a_row"), ["a", "a_row", "b", "b_row"], "left_anti")
+            pairs = pairs.join(tested, ["a", "a_slot", "b", "b_slot"], "left_anti").join(
+                tested.toDF("b", "b_slot", "a", "a_slot"), ["a", "a_slot", "b", "b_slot"], "left_anti")
         pairs = stage(pairs, f"pairs-{round_no}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = links.unionByName(stage(_linked(pairs, sets, percent), f"links-{round_no}"))
+        wanted = pairs.select("a", "a_slot").union(pairs.select("b", "b_slot")).distinct().toDF("ord", "slot")
+        near = narrowed(source, "ord", wanted.select("ord"))
+        # rows that repeat an id and a text would only repeat comparisons
+        sets = stage(_sets(near.join(wanted, ["ord", "slot"], "left_semi"), n), f"sets-{round_no}")
+        links = links.unionByName(stage(_linked(pairs, sets, percent).distinct(), f"links-{round_no}"))
 
     component = connected_components(links).withColumnRenamed("node", "c_node")
     out = rows.join(component, rows[ID] == component["c_node"], "left")
@@ -302,7 +308,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _may_link(percent: int):
-    """Different components, sizes that can link, and enough shingles left after this one in both orders."""
-    a, b = F.col("hub.n"), F.col("n")
-    enough = (100 + percent) * (1 + F.least(a - F.col("hub.pos"), b - F.col("pos")) - 1) >= percent * (a + b)
-    return (F.col("hub.component") != F.col("component")) & (100 * F.least(a, b) >= percent * F.greatest(a, b)) & enough
+    """Whether sets that share ``times`` listed shingles can reach the threshold.
+
+    Of two sets, take the one whose list ends first in the common order: what it lists and the other has is
+    listed by both, so beyond ``times`` they share at most what it does not list.
+    """
+    unlisted = [F.floor((percent * F.col(c) + 99) / 100) - 1 for c in ("a_n", "b_n")]
+    needed = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    return F.col("times") + F.greatest(*unlisted) >= needed
