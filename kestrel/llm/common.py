@@ -197,9 +197,16 @@ def may_have(bitmap: np.ndarray, place: Column) -> Column:
     return test(place)
 
 
+def split_by_keys(df: DataFrame, id_col: str, keys: DataFrame, bits: int = 23) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be in the one column of ``keys``, rows whose id certainly is not)."""
+    place = F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(1 << bits))
+    may = may_have(key_bitmap(keys, bits), place)
+    return df.where(may), df.where(~may)
+
+
 def narrowed(df: DataFrame, id_col: str, keys: DataFrame, bits: int = 23) -> DataFrame:
     """``df`` without most of the rows whose id is not in the one column of ``keys``."""
-    return df.where(may_have(key_bitmap(keys, bits), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << bits))))
+    return split_by_keys(df, id_col, keys, bits)[0]
 
 
 def is_local(uri: str) -> bool:

@@ -235,7 +235,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75,
-                    hub_rounds: int = 2) -> DataFrame:
+                    hub_rounds: int = 12) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     texts = keyed_texts(docs, id_col, text_col)
@@ -267,17 +267,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     lists = lists.where("kind = 0").select("token", "ord", "slot", "n").distinct()
     several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     lists = stage(lists.join(several, "token", "left_semi"), "lists-heavy")
-    tested = None
-    for round_no in range(hub_rounds + 1):
+    tested, round_no, hubs = None, 0, True
+    while True:
         component = connected_components(links)
         labelled = lists.join(component.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
         open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
         labelled = stage(labelled.join(open_lists, "token", "left_semi"), f"open-lists-{round_no}")
         own = F.struct("ord", "slot", "n", "component")
-        if round_no < hub_rounds:
-            # one hub a list, its first set or its last; of the hubs a set meets, the one it meets most often
-            end = F.min if round_no % 2 == 0 else F.max
-            met = labelled.join(labelled.groupBy("token").agg(end(own).alias("hub")), "token")
+        if hubs:
+            # one hub a list, by a hash of the set that is the same in all its lists and another each round
+            drawn = F.struct(F.xxhash64("ord", "slot", F.lit(round_no)).alias("h"), own.alias("hub"))
+            met = labelled.join(labelled.groupBy("token").agg(F.min(drawn).alias("x")).select("token", "x.hub"), "token")
         else:
             # what is still apart within a list, in full
             other = labelled.select("token", own.alias("hub"))
@@ -287,7 +287,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             F.col("ord").alias("b"), F.col("slot").alias("b_slot"), F.col("hub.ord").alias("a"), F.col("hub.slot").alias("a_slot"),
             F.col("n").alias("b_n"), F.col("hub.n").alias("a_n")).agg(F.count(F.lit(1)).alias("times"))
         pairs = met.where(_may_link(percent))
-        if round_no < hub_rounds:
+        if hubs:  # of the hubs a set meets, the one it meets most often
             pairs = pairs.groupBy("b", "b_slot").agg(F.max(F.struct("times", "a", "a_slot")).alias("x")).select("x.a", "x.a_slot", "b", "b_slot")
         pairs = pairs.select("a", "a_slot", "b", "b_slot")
         if tested is not None:
@@ -299,7 +299,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         near = narrowed(source, "ord", wanted.select("ord"))
         # rows that repeat an id and a text would only repeat comparisons
         sets = stage(_sets(near.join(wanted, ["ord", "slot"], "left_semi"), n), f"sets-{round_no}")
-        links = links.unionByName(stage(_linked(pairs, sets, percent).distinct(), f"links-{round_no}"))
+        found = stage(_linked(pairs, sets, percent).distinct(), f"links-{round_no}")
+        links = links.unionByName(found)
+        if not hubs:
+            break
+        # hubs go on while they join much of what is compared; what they leave apart is then paired in full
+        round_no, hubs = round_no + 1, round_no + 1 < hub_rounds and 10 * found.count() > pairs.count()
 
     component = connected_components(links).withColumnRenamed("node", "c_node")
     out = rows.join(component, rows[ID] == component["c_node"], "left")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, stage, text_slices
+from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, narrowed, split_by_keys, stage, text_slices
 
 # --- detection -------------------------------------------------------------------------------------
 
@@ -324,7 +324,8 @@ def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text
         F.min(F.struct("kind", "mention", "surrogate")).alias("e"))
     changes = each.groupBy(ID, ROW).agg(F.sort_array(F.collect_list(F.struct("at", "until", "e"))).alias("changes"))
     changes = stage(changes, "surrogate-changes").withColumnsRenamed({ID: "__cid", ROW: "__crow"})
-    todo = texts.join(changes, texts[ID].eqNullSafe(changes["__cid"]) & (texts[ROW] == changes["__crow"])).select(ID, ROW, TEXT, "changes")
+    todo = narrowed(texts, ID, changes.select("__cid"))
+    todo = todo.join(changes, todo[ID].eqNullSafe(changes["__cid"]) & (todo[ROW] == changes["__crow"])).select(ID, ROW, TEXT, "changes")
     out = f"{ID} long, {ROW} long, {TEXT} string, n_entities long, kinds string"
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,8 +353,12 @@ def with_surrogates(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text
     changed = stage(changed, "surrogate-texts").dropDuplicates([ID, ROW])
     changed = changed.select(F.col(ID).alias("__cid"), F.col(ROW).alias("__crow"), F.col(TEXT).alias("__new"),
                              F.col("n_entities").alias("__n"), F.col("kinds").alias("__kinds"))
-    keyed = docs.withColumn(ID, F.col(id_col).cast("bigint")).withColumn(ROW, F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
+    # a document that certainly has no change stays where it is; the others meet their new texts
+    some, none = split_by_keys(docs, id_col, changed.select("__cid"))
+    keyed = some.withColumn(ID, F.col(id_col).cast("bigint")).withColumn(ROW, F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
     joined = keyed.join(changed, keyed[ID].eqNullSafe(changed["__cid"]) & (keyed[ROW] == changed["__crow"]), "left")
     text = F.coalesce("__new", F.col(text_col).cast("string"))
     cols = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*cols, F.coalesce("__n", F.lit(0)).alias("n_entities"), F.coalesce("__kinds", F.lit("")).alias("kinds"))
+    out = joined.select(*cols, F.coalesce("__n", F.lit(0)).cast("long").alias("n_entities"), F.coalesce("__kinds", F.lit("")).alias("kinds"))
+    same = [F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return out.unionByName(none.select(*same, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds")))
