@@ -11,14 +11,14 @@ The dialect differs from Spark defaults in a few places that matter for keys and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # fixed patterns
 NUMERIC_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
-ISO_OFFSET_TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})$"
+ISO_OFFSET_TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
 ISO_OFFSET_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 MONTH_DAY_YEAR_FORMAT = "MMM d, yyyy"
 
@@ -33,7 +33,8 @@ def qcol(name: str) -> Column:
 
 
 def trimmed(c: str | Column) -> Column:
-    return F.trim(col(c).cast("string"))
+    """``TRIM(x)``: white space of any kind at both ends goes."""
+    return F.regexp_replace(col(c).cast("string"), r"^\s+|\s+$", "")
 
 
 def norm(c: str | Column) -> Column:
@@ -45,17 +46,22 @@ def canon_text(c: str | Column, dtype: T.DataType) -> Column:
     """``CAST(x AS STRING)`` as the source dialect prints it.
 
     Whole-number floats print without a fractional part (85.0 → '85'), so text keys built
-    from float ids join with text keys built from integer ids.
+    from float ids join with text keys built from integer ids.  Other floats print in plain digits
+    from 0.0001 up to 1e15 (12345678.5), beyond that with a signed two-digit exponent (1e+30).
     """
     c = col(c)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        as_long = c.try_cast("bigint")
-        return F.when(c == as_long, as_long.cast("string")).otherwise(c.cast("string"))
-    return c.cast("string")
-
-
-def canon_text_of(df: DataFrame, name: str) -> Column:
-    return canon_text(F.col(name), df.schema[name].dataType).alias(name)
+    if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return c.cast("string")
+    as_long, text = c.try_cast("bigint"), c.cast("string")
+    exponent = F.regexp_extract(text, r"E-?([0-9]+)$", 1)
+    scientific = F.concat(F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", ""),
+                          F.when(text.contains("E-"), F.lit("e-")).otherwise(F.lit("e+")),
+                          F.when(F.length(exponent) < 2, F.concat(F.lit("0"), exponent)).otherwise(exponent))
+    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"0+$", "")
+    return (F.when(c == as_long, as_long.cast("string"))
+            .when(~text.contains("E"), text)
+            .when(F.abs(c).between(1e-4, 1e15), plain)
+            .otherwise(scientific))
 
 
 def round_to_long(c: str | Column) -> Column:
@@ -87,14 +93,17 @@ def regex_first(c: str | Column, pattern: str) -> Column:
 
 def parse_month_day_year(c: str | Column) -> Column:
     """``SAFE.PARSE_DATETIME('%b %e, %Y', TRIM(x))``: 'May 29, 2026' / 'Jun  3, 2026' → date, else NULL."""
-    s = F.regexp_replace(trimmed(c), r"\s+", " ")
+    s = F.trim(F.regexp_replace(col(c).cast("string"), r"\s+", " "))
     return F.try_to_date(s, MONTH_DAY_YEAR_FORMAT)
 
 
 def parse_iso_offset(c: str | Column) -> Column:
-    """``SAFE.PARSE_TIMESTAMP('%Y-%m-%dT%H:%M:%E*S%Ez', x)`` → instant (NULL unless time and offset present)."""
+    """``SAFE.PARSE_TIMESTAMP('%Y-%m-%dT%H:%M:%E*S%Ez', x)`` → instant (NULL unless time and offset present).
+
+    Any number of fractional digits is read; those past the sixth are cut off.
+    """
     s = col(c)
-    return F.when(s.rlike(ISO_OFFSET_TS), F.try_to_timestamp(s, F.lit(ISO_OFFSET_FORMAT)))
+    return F.when(s.rlike(ISO_OFFSET_TS), F.try_to_timestamp(F.regexp_replace(s, r"(\.[0-9]{6})[0-9]+", "$1"), F.lit(ISO_OFFSET_FORMAT)))
 
 
 def utc_date(c: str | Column) -> Column:

@@ -63,73 +63,6 @@ def equi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return out.drop(_LS) if how in ("left_anti", "left_semi") else out.drop(_LS, _RS)
 
 
-#: session settings of ``skew_join``: engage when the right side reads this many bytes; a right key is
-#: hot when it holds at least this many rows; at most this many hot keys (the broadcast bound)
-SKEW_MIN_BYTES_CONF, SKEW_MIN_BYTES_DEFAULT = "spark.kestrel.skew.minBytes", 1 << 30
-SKEW_HOT_ROWS_CONF, SKEW_HOT_ROWS_DEFAULT = "spark.kestrel.skew.hotRows", 1_000_000
-SKEW_MAX_HOT_KEYS = 1000
-SKEW_SALTS = 64
-
-
-def skew_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
-              salts: int = SKEW_SALTS) -> DataFrame:
-    """``equi_join`` (left or inner) that also splits hot keys of the *right* side.
-
-    AQE splits skewed partitions only on a side whose rows are independent of the other side's
-    matches: for a left outer join, never the right side.  A right key holding a third of the
-    rows would then be sorted in one task.  Here the right side's most frequent keys (at most
-    ``SKEW_MAX_HOT_KEYS``, each with at least ``spark.kestrel.skew.hotRows`` rows; a bounded,
-    broadcast table) are found with one key-only aggregation; hot right rows get a salt
-    0..``salts``-1 from a hash of the row, and each left row with a hot key is replicated once per
-    salt.  A hot key has right rows, so a left row with it always has a real match: the
-    null-extended replicas of empty salt buckets are dropped, and the result equals the plain
-    join.  Engaged only when the right side reads at least ``spark.kestrel.skew.minBytes``
-    (default 1 GiB): below that, the extra aggregation costs more than skew can.
-    """
-    if how not in ("left", "inner"):
-        raise ValueError(f"unsupported join type {how!r}")
-    from kestrel.session import input_bytes
-
-    spark = right.sparkSession
-    min_bytes = int(spark.conf.get(SKEW_MIN_BYTES_CONF, None) or SKEW_MIN_BYTES_DEFAULT)
-    size = input_bytes(right)
-    if size is None or size < min_bytes:
-        return equi_join(left, right, on, how)
-    hot_rows = int(spark.conf.get(SKEW_HOT_ROWS_CONF, None) or SKEW_HOT_ROWS_DEFAULT)
-
-    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
-    hk = [f"__kestrel_hot_{i}" for i in range(len(on))]
-    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rkeys])
-    hot = (right.where(not_null).groupBy(*rkeys).agg(F.count(F.lit(1)).alias("__kestrel_n"))
-           .where(F.col("__kestrel_n") >= hot_rows).orderBy(F.col("__kestrel_n").desc()).limit(SKEW_MAX_HOT_KEYS)
-           .select(*[F.col(k).alias(h) for k, h in zip(rkeys, hk)], F.lit(True).alias("__kestrel_is_hot")))
-    hot = F.broadcast(hot)  # at most SKEW_MAX_HOT_KEYS rows
-
-    def flag(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        cond = reduce(lambda a, b: a & b, [df[k] == hot[h] for k, h in zip(keys, hk)])
-        return (df.join(hot, cond, "left").withColumn(name, F.coalesce(F.col("__kestrel_is_hot"), F.lit(False)))
-                .drop("__kestrel_is_hot", *hk))
-
-    l2 = flag(left, lkeys, "__kestrel_lhot")
-    r2 = flag(right, rkeys, "__kestrel_rhot")
-    l_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in lkeys])
-    zero = lambda keys: F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1))  # noqa: E731  (non-foldable 0)
-    l_spread = [c for c in left.columns if c not in set(lkeys)][:3] or lkeys
-    l_salts = (F.when(l_null, F.array(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in l_spread]), F.lit(salts))))
-               .when(F.col("__kestrel_lhot"), F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
-               .otherwise(F.array(zero(lkeys))))
-    l2 = l2.withColumn(_LS, F.explode(l_salts))
-    r_spread = [c for c in right.columns if c not in set(rkeys)][:3] or rkeys
-    r2 = r2.withColumn(_RS, F.when(F.col("__kestrel_rhot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in r_spread]),
-                                                                   F.lit(salts))).otherwise(zero(rkeys)))
-    r2 = r2.withColumn("__kestrel_rrow", F.lit(True)).drop("__kestrel_rhot")
-    cond = reduce(lambda a, b: a & b, [l2[a] == r2[b] for a, b in on]) & (l2[_LS] == r2[_RS])
-    out = l2.join(r2, cond, how)
-    if how == "left":
-        out = out.where(~F.col("__kestrel_lhot") | F.col("__kestrel_rrow").isNotNull())
-    return out.drop(_LS, _RS, "__kestrel_lhot", "__kestrel_rrow")
-
-
 def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``left FULL OUTER JOIN right ON left_key = right_key``; NULL keys never pair and are spread, not piled up."""
     return equi_join(left, right, [(left_key, right_key)], "full")
@@ -138,17 +71,11 @@ def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right
 def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Left rows that match no right row on any of the ``(left_key, right_key)`` pairs.
 
-    The right side is reduced once to its distinct key tuples (an anti join only asks whether a
-    partner exists, so the tuple set serves every pair).  That set is shared by the chained anti
-    joins through ``reuse``: materialised once when the right side is large, so it is scanned
-    once, not once per key.
+    The right side is reduced to its distinct key tuples (an anti join only asks whether a partner
+    exists, so the tuple set serves every pair).
     """
     names = [f"__kestrel_anti_{i}" for i in range(len(pairs))]
     keyset = right.select(*[F.col(rk).alias(n) for (_, rk), n in zip(pairs, names)]).distinct()
-    if len(pairs) > 1:
-        from kestrel.session import reuse
-
-        keyset = reuse(keyset, "anti_join_keys")
     out = left
     for (lk, _), name in zip(pairs, names):
         out = equi_join(out, keyset.select(name), [(lk, name)], "left_anti")
@@ -198,7 +125,7 @@ def conditional_key_join(
         .drop("__kestrel_rkey")
     )
     on = [("__kestrel_kind", "__kestrel_rkind"), ("__kestrel_val", "__kestrel_rval"), *also_on]
-    return skew_join(l2, r2, on, how).drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
+    return equi_join(l2, r2, on, how).drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
 
 
 def band_join(
@@ -215,11 +142,11 @@ def band_join(
     """Left join a small band table on ``band_key = left_band AND left_value BETWEEN low AND high``.
 
     ``left_band`` may be NULL for rows that must not look up a band (conditions of the
-    original ON clause on the left side): they keep their row with NULL band columns.  The
-    band table is a fixed-size seed, so it is broadcast.
+    original ON clause on the left side): they keep their row with NULL band columns.  Spark
+    broadcasts the band table if its size allows.
     """
     b = bands.select([F.col(c).alias(f"{prefix}{c}") for c in bands.columns])
     lb, lv = f"{prefix}__band", f"{prefix}__value"
     l2 = left.withColumn(lb, left_band).withColumn(lv, left_value)
     cond = (l2[lb] == b[f"{prefix}{band_key}"]) & l2[lv].between(b[f"{prefix}{low}"], b[f"{prefix}{high}"])
-    return l2.join(F.broadcast(b), cond, "left").drop(lb, lv)
+    return l2.join(b, cond, "left").drop(lb, lv)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import (
-    parse_iso_offset, rank_of, round_to_long, school_year_from_date, school_year_from_roster_year, split_part, utc_date,
+    parse_iso_offset, rank_of, round_to_long, school_year_from_date, school_year_from_roster_year, split_part, trimmed, utc_date,
 )
 from kestrel.functions.rules import (
     APPLICATION_STATUS_ORDER, ELIGIBILITY_CATEGORY_ORDER, RANK_DEFAULT, eligibility_category, homeless_backfill,
@@ -110,8 +110,8 @@ def meal_coverage_roster(inputs: Inputs, backfill_year: str = BACKFILL_YEAR, fir
         F.coalesce(F.col("m_eligibility_category"), fill(F.lit("Homeless"))).alias("eligibility_category"),
         F.col("m_application_date_parsed").alias("application_date"),
         "academic_year",
-        F.coalesce(F.col("m_firstname"), F.nullif(F.trim(split_part("lastfirst", ",", 1, safe=True)), F.lit(""))).alias("first_name"),
-        F.coalesce(F.col("m_lastname"), F.nullif(F.trim(split_part("lastfirst", ",", 0, safe=True)), F.lit(""))).alias("last_name"),
+        F.coalesce(F.col("m_firstname"), F.nullif(trimmed(split_part("lastfirst", ",", 1, safe=True)), F.lit(""))).alias("first_name"),
+        F.coalesce(F.col("m_lastname"), F.nullif(trimmed(split_part("lastfirst", ",", 0, safe=True)), F.lit(""))).alias("last_name"),
         F.when(F.col("m_student_id").isNotNull(), F.lit(False)).when(flag, F.lit(False)).otherwise(F.lit(True)).alias("needs_application"),
     )
 

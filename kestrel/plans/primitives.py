@@ -17,7 +17,7 @@ from kestrel.functions.columns import (
 )
 from kestrel.functions.rules import elpac_track, elpi_level, elpi_level_rank, grade_band
 from kestrel.operators.joins import (
-    anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay, skew_join,
+    anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay, equi_join,
 )
 from kestrel.operators.rollup import subgroup_counts as _subgroup_counts
 from kestrel.operators.stack import union_distinct
@@ -119,7 +119,7 @@ def roster_right_join(inputs: Inputs) -> DataFrame:
         "student_number", "assessmentname", "scalescore", "scalescoreachievementlevel")
     roster = inputs["roster"].select(F.col("student_number").alias("st_student_number"), "year", "grade_level",
                                      "school_name")
-    return skew_join(roster, scores, [("st_student_number", "student_number")], "left")
+    return equi_join(roster, scores, [("st_student_number", "student_number")], "left")
 
 
 # ---- A6, G4/G5, G7, G9: scans and aggregates ---------------------------------------------------------

@@ -135,14 +135,12 @@ ROW_CHECKS = {
 def all_checks(inputs: Inputs) -> DataFrame:
     """Every declared check in one frame ``(check, failing_rows)``; zero everywhere means the run passes.
 
-    The CAST and SBAC views are each tested twice (year values, duplicate grain): they are built
-    once and shared through ``reuse`` (materialised once when large).
+    The CAST and SBAC views are each tested twice (year values, duplicate grain): one frame each serves both.
     """
     from kestrel.operators.stack import union_all
-    from kestrel.session import reuse
 
-    cast_model = reuse(state_testing.cast_tabular(inputs), "cast_tabular")
-    sbac_model = reuse(state_testing.sbac_tabular(inputs), "sbac_tabular")
+    cast_model = state_testing.cast_tabular(inputs)
+    sbac_model = state_testing.sbac_tabular(inputs)
     summaries = dict(SUMMARY_CHECKS, check_state_testing_years=lambda i: state_testing_year_checks(i, cast_model, sbac_model))
     rows = dict(ROW_CHECKS, check_cast_duplicates=lambda i: cast_duplicates(i, cast_model),
                 check_sbac_duplicates=lambda i: sbac_duplicates(i, sbac_model))

@@ -17,10 +17,9 @@ from kestrel.functions.columns import norm, qcol, safe_double, trimmed, typed_nu
 from kestrel.functions.rules import (
     advanced_elpi, cast_teacher, elpac_track, elpi_growth_category, elpi_level, elpi_level_rank, grade_band,
 )
-from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay, skew_join
+from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay
 from kestrel.operators.stack import union_distinct
 from kestrel.plans.reloads import latest_reload
-from kestrel.session import reuse
 from kestrel.sources.fixtures import CAST_NAMES, EXCEPTION_STATE_ID, EXCEPTION_STUDENT_NUMBER
 from kestrel.sources.registry import Inputs
 
@@ -38,7 +37,7 @@ def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int]) -> Dat
     """roster LEFT JOIN scores ON number (the source's RIGHT JOIN), tested grades only."""
     r = roster.where(F.col("grade_level").isin(grades))
     # the score side may hold a hot number (e.g. 0 = unknown) that AQE cannot split in a left join
-    return skew_join(r, scores, [("st_student_number", "student_number")], "left")
+    return equi_join(r, scores, [("st_student_number", "student_number")], "left")
 
 
 # ---- CAST ------------------------------------------------------------------------------------------
@@ -82,8 +81,8 @@ def cast_tabular(inputs: Inputs) -> DataFrame:
     teacher = cast_teacher("grade_level", "math_teacher", "science_teacher").alias("teacher")
     r2425 = _roster(inputs, "24-25", ["science_teacher", "math_teacher"]).withColumn("teacher", teacher)
     r2526 = _roster(inputs, "25-26", ["science_teacher", "math_teacher"]).withColumn("teacher", teacher)
-    # read by the union and by the archive overlay (materialised when large)
-    live_2425 = reuse(_cast_live(r2425, c2425, "24-25", fill_number=False), "cast_live_2425")
+    # read by the union and by the archive overlay
+    live_2425 = _cast_live(r2425, c2425, "24-25", fill_number=False)
     live_2526 = _cast_live(r2526, c2526, "25-26", fill_number=True)
     h = inputs["cast_archive"]
     archived = h.select(
@@ -158,8 +157,8 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     math = _subject_scores(summative.where(F.col("subject") == "Math"), "math", sid="studentidentifier",
                            name="assessmentname", level="scalescoreachievementlevel", score="scalescore",
                            lexile="lexilemeasure", domains=[(d, d) for d in MATH_DOMAINS]).distinct()
-    # read by the 24-25 rows and by the 25-26 prior-year lookup (materialised when large)
-    joined = reuse(_ela_math_full_join(ela, math), "sbac_2425_scores")
+    # read by the 24-25 rows and by the 25-26 prior-year lookup
+    joined = _ela_math_full_join(ela, math)
 
     # prior year of 24-25: the 23-24 file, ELA ⟗ Math on state id
     e23, m23 = _snake_pair(
@@ -178,7 +177,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         F.col("e_prof").alias(PRIOR[4]), F.col("m_prof").alias(PRIOR[5]),
     )
     # several prior rows per state id are possible (ELA x Math pairs): a hot id is salted
-    stacked_2425 = skew_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
+    stacked_2425 = equi_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
 
     # prior year of 25-26: the 24-25 scores, maxed per student number column by column
     prior_2425 = joined.where(F.col("student_number").isNotNull()).groupBy(
@@ -217,11 +216,10 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
 
     r2425 = _roster(inputs, "24-25", teachers)
     j25 = _roster_join(r2425, stacked_2425, SBAC_GRADES)
-    # the intervention lookup is not unique per student (kept as in the source): a hot number is salted
-    j25 = skew_join(j25, intervention, [("st_student_number", "i_number")], "left")
-    # read by the union and by the archive overlay (materialised when large)
-    live_2425 = reuse(
-        out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention")), "sbac_live_2425")
+    # the intervention lookup is not unique per student (kept as in the source)
+    j25 = equi_join(j25, intervention, [("st_student_number", "i_number")], "left")
+    # read by the union and by the archive overlay
+    live_2425 = out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention"))
 
     r2526 = _roster(inputs, "25-26", teachers)
     j26 = _roster_join(r2526, stacked_2526, SBAC_GRADES)

@@ -11,9 +11,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 #: Settings applied to every session used by the pipelines.
 SESSION_CONF = {
@@ -58,10 +57,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only when unset."""
+    """The shared checkpoint folder the cluster names; a scratch one only for a local session without any.
+
+    On a cluster a machine-local folder would lose rows (executors write to their own disks), so that fails.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
@@ -82,60 +87,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
-
-    For an intermediate that several branches of one plan consume: Spark re-plans each
-    consumer separately (column pruning and filter pushdown make their subtrees differ, so
-    exchange reuse does not apply) and would recompute it — scans, shuffles and all — once per
-    consumer.  Writing it once also cuts the lineage: a lost executor later recomputes from
-    this table, not from the base tables.  One job; the result is columnar, so consumers still
-    prune columns and push filters into its scan.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/kestrel-stage/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-#: session setting: shared intermediates estimated at or above this many bytes are materialised
-REUSE_MIN_BYTES_CONF = "spark.kestrel.reuse.minBytes"
-REUSE_MIN_BYTES_DEFAULT = 1 << 30
-
-
-UNKNOWN_SIZE = 1 << 62
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes the plan reads: the sum of its leaf relations' sizes (file sizes of the scanned inputs).
-
-    This is what recomputing the plan costs in scans (and, roughly, in shuffles).  Catalyst's
-    estimate of the plan *output* is no help here: without CBO a join's estimate is the product
-    of its sides.  Read from the analysed plan, which the DataFrame already holds, so no
-    optimisation pass and no job is run.
-    """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-        # in-memory relations (seeds, parameter lists) may report "unknown" (Long.MaxValue): they are small
-        return sum(b for b in sizes if b < UNKNOWN_SIZE)
-    except Exception:  # noqa: BLE001 — no estimate available (e.g. a remote session)
-        return None
-
-
-def reuse(df: DataFrame, label: str) -> DataFrame:
-    """An intermediate that several consumers read: materialise it when large, else let Spark recompute.
-
-    Recomputing a small branch costs less than a write/read round trip and keeps stages
-    overlapping; recomputing a large one repeats its scans and shuffles once per consumer.
-    The cut-over is the session setting ``spark.kestrel.reuse.minBytes`` (default 1 GiB),
-    compared with the bytes the branch reads (``input_bytes``).
-    """
-    spark = df.sparkSession
-    limit = int(spark.conf.get(REUSE_MIN_BYTES_CONF, None) or REUSE_MIN_BYTES_DEFAULT)
-    size = input_bytes(df)
-    if size is None or size < limit:  # unknown size (no JVM plan access): recompute, Spark's default
-        return df
-    return materialize(df, label)

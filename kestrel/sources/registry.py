@@ -44,46 +44,9 @@ def read_registered(spark: SparkSession, logical_name: str) -> DataFrame:
     return df
 
 
-_READS: dict[tuple[int, str, str], DataFrame] = {}
-
-#: inputs smaller than this are never re-spread (the extra exchange would cost more than it saves)
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (Hadoop FS: works for local, HDFS and object stores)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
-
-
-def spread_if_undersplit(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Round-robin re-spread a scan that yields fewer input splits than the session has cores.
-
-    A Parquet row group is the unit of a scan split, so a large file written as one row group
-    is read — and every per-row adapter expression and map-side sort above it evaluated — by
-    a single task.  Spreading right after the scan (only referenced columns are shuffled; column
-    pruning and filter pushdown still reach the reader) lets the rest of the stage run on all
-    cores.  On a cluster reading many files the scan already has at least as many splits as
-    cores, so this adds no exchange there.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        splits = df.rdd.getNumPartitions()
-        size = _input_bytes(spark, path)
-    except Exception:  # noqa: BLE001 — no split information (e.g. a remote session): leave the scan as is
-        return df
-    if splits >= cores or size < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(cores)
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The base table as a DataFrame; one reader per (session, path), reused by every adapter."""
-    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        _READS[key] = spread_if_undersplit(spark, spark.read.parquet(path), path)
-    return _READS[key]
+    """The base table as a DataFrame, resolved anew each time (no reader is kept between queries)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def _q(name: str) -> str:

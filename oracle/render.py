@@ -27,6 +27,23 @@ def adapter_cte(name: str) -> str:
     return f"{name} AS ({' UNION ALL '.join(parts)})"
 
 
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def trim_any_blank(sql: str) -> str:
+    """Give every one-argument ``trim(x)`` the set of blanks it removes (DuckDB's own default is spaces only)."""
+    out, at = "", 0
+    for m in re.finditer(r"(?<![A-Za-z_])trim\(", sql):
+        depth, end = 1, m.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        if m.end() >= at:
+            out += sql[at: m.end()] + trim_any_blank(sql[m.end(): end - 1]) + f", {_BLANKS})"
+            at = end
+    return out + sql[at:]
+
+
 _ALL = sorted(list(ADAPTERS) + ["cut_scores"], key=len, reverse=True)
 
 
@@ -35,6 +52,7 @@ def with_inputs(body: str) -> str:
 
     ``body`` is either ``"SELECT ..."`` or ``"WITH a AS (...), b AS (...) SELECT ..."``.
     """
+    body = trim_any_blank(body)
     used = [n for n in _ALL if re.search(rf"\b{re.escape(n)}\b", body)]
     order = [n for n in ADAPTERS if n in used] + (["cut_scores"] if "cut_scores" in used else [])
     ctes = ",\n".join(adapter_cte(n) for n in order)

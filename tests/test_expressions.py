@@ -109,10 +109,22 @@ def test_advanced_flag(spark):
 
 
 def test_canon_text_floats(spark):
-    vals = [85.0, 85.5, 9409030211.0, -0.0, 1e30, float("nan"), None]
+    vals = [85.0, 85.5, 9409030211.0, -0.0, 1e30, float("nan"), None, 12345678.5, 0.0001, 0.00012, -1.5e-7, 1.25e16]
     got = evaluate(spark, vals, lambda c: C.canon_text(c, T.DoubleType()), T.DoubleType())
     assert got[:4] == ["85", "85.5", "9409030211", "0"]
-    assert got[4] in ("1.0E30", "1e+30") and got[5] == "NaN" and got[6] is None
+    assert got[4] == "1e+30" and got[5] == "NaN" and got[6] is None
+    assert got[7:] == ["12345678.5", "0.0001", "0.00012", "-1.5e-07", "12500000000000000"]
+
+
+def test_white_space_of_any_kind(spark):
+    assert evaluate(spark, ["\tMath\n", "  x y ", "\u000b", None], C.norm) == ["math", "x y", "", None]
+    got = evaluate(spark, ["\tJun  3, 2026\n", "Jun 3,\t2026"], C.parse_month_day_year)
+    assert [str(d) for d in got] == ["2026-06-03", "2026-06-03"]
+
+
+def test_long_fractions_are_cut(spark):
+    got = evaluate(spark, ["2026-01-02T03:04:05.123456789Z", "2026-01-02T03:04:05.5+01:00"], C.parse_iso_offset)
+    assert [g.microsecond for g in got] == [123456, 500000]
 
 
 def test_round_to_long_half_away_from_zero(spark):

@@ -158,15 +158,6 @@ def test_null_key_rows_spread_over_partitions(spark):
     assert sum(sizes) == 4000 and max(sizes) < 4000 / 4  # spread, not all in one partition
 
 
-def test_spread_only_when_undersplit(spark, tmp_path):
-    from kestrel.sources.registry import spread_if_undersplit
-
-    small = str(tmp_path / "small")
-    spark.range(10).write.parquet(small)
-    df = spark.read.parquet(small)
-    assert spread_if_undersplit(spark, df, small) is df  # below the size floor: untouched
-
-
 def test_scale_conf_sizes_partitions():
     from kestrel.session import scale_conf
 
@@ -176,8 +167,8 @@ def test_scale_conf_sizes_partitions():
     assert int(scale_conf(1 << 30, executor_cores_total=8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_skew_join_equals_plain_join_with_hot_keys(spark):
-    from kestrel.operators.joins import SKEW_HOT_ROWS_CONF, SKEW_MIN_BYTES_CONF, skew_join
+def test_equi_join_equals_plain_join_with_hot_keys(spark):
+    from kestrel.operators.joins import equi_join
 
     rng = random.Random(9)
     # right: key 0 is hot and absent on the left; key 1 is hot and present; NULLs on both sides
@@ -185,15 +176,8 @@ def test_skew_join_equals_plain_join_with_hot_keys(spark):
     right = spark.createDataFrame([(i, k, rng.randint(0, 5)) for i, k in enumerate(rk)], "rid int, rk int, rv int")
     lk = [1, 1, 2, 3, None, None, 41, 7, 1] + [rng.randint(1, 45) for _ in range(80)]
     left = spark.createDataFrame([(i, k) for i, k in enumerate(lk)], "lid int, lk int")
-    spark.conf.set(SKEW_MIN_BYTES_CONF, "0")
-    spark.conf.set(SKEW_HOT_ROWS_CONF, "50")
-    try:
-        for how in ["left", "inner"]:
-            got = skew_join(left, right, [("lk", "rk")], how)
-            plain = left.join(right, left.lk == right.rk, how)
-            assert sorted(got.columns) == sorted(plain.columns)
-            assert rows(got.select(plain.columns)) == rows(plain), how
-            assert "Generate" in got._jdf.queryExecution().executedPlan().toString()  # the salted path ran
-    finally:
-        spark.conf.unset(SKEW_MIN_BYTES_CONF)
-        spark.conf.unset(SKEW_HOT_ROWS_CONF)
+    for how in ["left", "inner"]:
+        got = equi_join(left, right, [("lk", "rk")], how)
+        plain = left.join(right, left.lk == right.rk, how)
+        assert sorted(got.columns) == sorted(plain.columns)
+        assert rows(got.select(plain.columns)) == rows(plain), how

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from kestrel.plans.catalog import CATALOG
 from tests.harness import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {n: entry.queries()[n] for n in CATALOG}
+ORACLES = {n: entry.oracle_sql()[n] for n in CATALOG}
 
 
 @pytest.fixture(scope="module")
@@ -30,32 +31,3 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     r = compare(spark, name, QUERIES[name], ORACLES[name], sf_dir, con)
     assert r["cols_match"], r
     assert r["match"], r
-
-
-@pytest.mark.parametrize("name", ["sbac_tabular", "cast_tabular", "anti_any_key", "overlay_archive", "check_all"])
-def test_materialised_shared_branches_give_same_rows(spark, sf_dir, con, name):
-    """Force the write-once path of ``reuse`` (threshold 0) and check against the oracle again."""
-    from kestrel.session import REUSE_MIN_BYTES_CONF
-
-    spark.conf.set(REUSE_MIN_BYTES_CONF, "0")
-    try:
-        r = compare(spark, name, QUERIES[name], ORACLES[name], sf_dir, con)
-    finally:
-        spark.conf.unset(REUSE_MIN_BYTES_CONF)
-    assert r["match"], r
-
-
-@pytest.mark.parametrize("name", ["roster_right_join", "conditional_key_join", "elpac_growth", "cast_tabular",
-                                  "sbac_tabular"])
-def test_hot_key_salting_gives_same_rows(spark, sf_dir, con, name):
-    """Force the hot-key path of ``skew_join`` (any key with 5+ rows is hot) and check against the oracle."""
-    from kestrel.operators.joins import SKEW_HOT_ROWS_CONF, SKEW_MIN_BYTES_CONF
-
-    spark.conf.set(SKEW_MIN_BYTES_CONF, "0")
-    spark.conf.set(SKEW_HOT_ROWS_CONF, "5")
-    try:
-        r = compare(spark, name, QUERIES[name], ORACLES[name], sf_dir, con)
-    finally:
-        spark.conf.unset(SKEW_MIN_BYTES_CONF)
-        spark.conf.unset(SKEW_HOT_ROWS_CONF)
-    assert r["match"], r

@@ -77,14 +77,3 @@ def test_latest_snapshot_prunes_partitions(spark, sf_dir, tmp_path):
         assert df.count() == grades.where(F.col("partitiontime") == grades.agg(F.max("partitiontime")).first()[0]).count()
     finally:
         unregister("stored_grades")
-
-
-def test_input_bytes_counts_file_scans_only(spark, sf_dir):
-    from kestrel.session import input_bytes
-
-    inputs = load_inputs(spark, sf_dir, ["roster", "state_results_snake", "cut_scores"])
-    assert input_bytes(inputs["cut_scores"]) == 0  # in-memory seed: small by construction
-    roster, snake = input_bytes(inputs["roster"]), input_bytes(inputs["state_results_snake"])
-    assert roster > 0 and snake > 0
-    joined = inputs["roster"].join(inputs["state_results_snake"], "student_number")
-    assert input_bytes(joined) == roster + snake
