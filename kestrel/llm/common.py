@@ -92,16 +92,18 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 
 
 def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, part) of a string column, each part of about ``max_bytes`` at most (one row at least)."""
+    """(first row, part) of a string column, each part of about ``max_bytes`` at most (one row at least).
+
+    Only the part at hand is copied, never the batch.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
-    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     first, n = 0, len(column)
     while first < n:
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
-        yield first, column.slice(first, last - first)
+        yield first, pc.fill_null(column.slice(first, last - first), "").cast(pa.large_string())
         first = last
 
 

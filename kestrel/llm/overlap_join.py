@@ -43,6 +43,8 @@ COUNTERS = 1 << 20
 _BLOCK = 1 << 14
 #: no boundary above this size is considered (subsets grow fast)
 _LIGHT_LIMIT = 12
+#: text bytes handled at once in a task; the arrays made from them are some twenty times as large
+_SLICE = 2 << 20
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +113,7 @@ def _first_pass(texts: DataFrame, n: int) -> DataFrame:
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
+            for first, part in text_slices(batch.column(2), _SLICE):
                 values, offsets = shingle_sets(part, n)
                 counts += np.bincount((values >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
                 raw = memoryview(values.tobytes())
@@ -151,7 +153,7 @@ def _shingle_levels(first: DataFrame) -> np.ndarray:
 
 
 
-_LISTED = "token long, ord long, slot smallint, n int, pos int, kind tinyint"
+_LISTED = "token long, ord long, slot smallint, n int, kind tinyint, set long"
 
 
 def _slot(row):
@@ -163,9 +165,11 @@ def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> Dat
     """kind 0: a heavy set under one of its first shingles; 1, 2: a light set of the smaller, larger size under a subset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         table = levels.value
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
+            for first, part in text_slices(batch.column(2), _SLICE):
                 values, offsets = shingle_sets(part, n)
                 size = np.diff(offsets)
                 # heavy: all sets of the slice are ordered at once
@@ -175,8 +179,10 @@ def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> Dat
                 pos = np.arange(len(values)) - np.repeat(offsets[:-1], size)
                 few = size - -(-percent * size // 100) + 1
                 listed = (pos < few[doc]) & ((size > light) | (100 * size >= percent * (light + 1)))[doc]
-                token, d, p = values[order][listed], doc[listed], pos[listed]
-                tokens, docs, places, kinds = [token], [d], [p], [np.zeros(len(d), np.int64)]
+                token, d = values[order][listed], doc[listed]
+                tokens, docs, kinds = [token], [d], [np.zeros(len(d), np.int64)]
+                raw = memoryview(values.tobytes())
+                digest = np.array([xxhash.xxh3_64_intdigest(raw[8 * a: 8 * b]) for a, b in zip(offsets[:-1], offsets[1:])], np.uint64)
                 for t in np.flatnonzero((size > 0) & (size <= light)):
                     own = values[offsets[t]: offsets[t + 1]]
                     k = len(own)
@@ -190,14 +196,13 @@ def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> Dat
                             key = mix(key * np.uint64(31) + sub[:, c])
                         tokens.append(key)
                         docs.append(np.full(len(sub), t))
-                        places.append(np.zeros(len(sub), np.int64))
                         kinds.append(np.full(len(sub), 1 if k == a else 2))
                 docs = np.concatenate(docs)
                 at = pa.array(docs + first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(size[docs].astype(np.int32)), pa.array(np.concatenate(places).astype(np.int32)),
-                     pa.array(np.concatenate(kinds).astype(np.int8))], ["token", "ord", "slot", "n", "pos", "kind"])
+                     pa.array(size[docs].astype(np.int32)), pa.array(np.concatenate(kinds).astype(np.int8)),
+                     pa.array(digest[docs].view(np.int64))], ["token", "ord", "slot", "n", "kind", "set"])
 
     return texts.mapInArrow(run, _LISTED)
 
@@ -205,7 +210,7 @@ def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> Dat
 def _sets(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
+            for first, part in text_slices(batch.column(2), _SLICE):
                 values, offsets = shingle_sets(part, n)
                 raw = values.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -251,10 +256,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = stage(classes.select("lo", "hi", "n", F.col("one.ord").alias("ord"), F.col("one.row").alias("row")), "set-classes")
     member = stage(known.join(classes.drop("n"), ["lo", "hi"]).select(F.col(ID).alias("id"), F.col("ord").alias("rep")).distinct(), "set-members")
 
-    # lists: only shingles that more than one set lists can make a candidate; listing twice spares the disk a copy
+    # lists: only shingles that two different sets list can make a candidate; listing twice spares the disk a copy
     source = texts.where(F.col(ID).isNotNull()).select(F.col(ID).alias("ord"), _slot(F.col(ROW)).alias("slot"), TEXT)
     listed = _listings(source, n, percent, light, levels)
-    shared = listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    shared = listed.groupBy("token").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo < hi").select("token")
+    listed = listed.drop("set")
     one = classes.select("ord", _slot(F.col("row")).alias("slot")).distinct()
     lists = stage(listed.join(shared, "token", "left_semi").join(one, ["ord", "slot"], "left_semi"), "lists")
 
@@ -273,6 +279,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         labelled = lists.join(component.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
         open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
         labelled = stage(labelled.join(open_lists, "token", "left_semi"), f"open-lists-{round_no}")
+        lists = labelled.drop("component")  # a list within one component stays so
         own = F.struct("ord", "slot", "n", "component")
         if hubs:
             # one hub a list, by a hash of the set that is the same in all its lists and another each round
