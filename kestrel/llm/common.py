@@ -94,7 +94,8 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """(first row, part) of a string column, each part of about ``max_bytes`` at most (one row at least).
 
-    Only the part at hand is copied, never the batch.
+    Only the part at hand is copied, never the batch.  It is copied by ``take`` so that its text begins at
+    place 0: Arrow's kernels return wrong bytes for a large string that was cast from the middle of a column.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -103,7 +104,8 @@ def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = SLICE_BYTES
     while first < n:
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
-        yield first, pc.fill_null(column.slice(first, last - first), "").cast(pa.large_string())
+        part = column.take(pa.array(np.arange(first, last)))
+        yield first, pc.fill_null(part, "").cast(pa.large_string())
         first = last
 
 

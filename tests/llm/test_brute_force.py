@@ -9,10 +9,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 
 from kestrel.llm import best_fit, chunked_bpe, grace_dedup, html_layout, isolation_rules, kd_shards, overlap_join, substring_dedup, surrogates, token_files
+from kestrel.llm.common import text_slices
 from tests.llm.conftest import ROWS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -268,3 +271,13 @@ def test_html_table(spark, empty):
     out = html_layout.html_text(pages)
     assert got(out, "page_id", "text", "n_lines") == Counter({(1, "a", 1): 2, (2, "", 0): 1, (None, "b", 1): 1})
     assert html_layout.html_text(pages.where("1 = 0")).count() == 0
+
+
+def test_slices_hold_their_own_text():
+    texts = ["Ünïcode TEXT %d  " % i * (i % 7) if i % 5 else None for i in range(200)]
+    got = []
+    for first, part in text_slices(pa.array(texts), 100):
+        assert first == len(got)
+        got += list(zip(part.to_pylist(), pc.ascii_lower(part).to_pylist(), pc.ascii_trim_whitespace(part).to_pylist()))
+    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    assert got == [(t, lower(t), t.strip()) for t in (x or "" for x in texts)]
