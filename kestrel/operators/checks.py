@@ -47,10 +47,6 @@ def accepted_range(column: str, min_value=None, max_value=None) -> RowCheck:
     return RowCheck(f"accepted_range:{column}", fails)
 
 
-def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:
-    return df.where(F.coalesce(check.fails, F.lit(False)))
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str], where: str | Column | None = None,
                    count_col: str = "row_count") -> DataFrame:
     """Key combinations occurring more than once (``GROUP BY keys HAVING COUNT(*) > 1``)."""
@@ -67,13 +63,25 @@ def missing_required_values(spark: SparkSession, df: DataFrame, column: str, req
 
 
 def summarize(df: DataFrame, checks: Sequence[RowCheck], unique: Sequence[Sequence[str]] = ()) -> DataFrame:
-    """One row per check: ``(check, failing_rows)``; row checks share a single pass over ``df``."""
-    counts = df.agg(*[
-        F.sum(F.when(F.coalesce(c.fails, F.lit(False)), 1).otherwise(0)).cast("bigint").alias(f"c{i}")
-        for i, c in enumerate(checks)
-    ])
-    stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(checks))
-    out = counts.select(F.expr(f"stack({len(checks)}, {stack}) AS (`check`, failing_rows)"))
+    """One row per check: ``(check, failing_rows)``.
+
+    Row checks and the first key check share one pass over ``df``: everything is counted per key, then
+    totalled.  Each further key check is a pass of its own.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    fails = [total(F.when(F.coalesce(c.fails, F.lit(False)), 1).otherwise(0)).alias(f"__c{i}") for i, c in enumerate(checks)]
+    names, unique = [c.name for c in checks], list(unique)
+    if unique:
+        first = unique.pop(0)
+        per_key = df.groupBy(*first).agg(*fails, F.count(F.lit(1)).alias("__rows"))
+        repeated = F.when(F.col("__rows") > 1, F.col("__rows")).otherwise(0)
+        counts = per_key.agg(*[total(F.col(f"__c{i}")).alias(f"__c{i}") for i in range(len(checks))],
+                             total(repeated).alias(f"__c{len(checks)}"))
+        names.append(f"unique_combination:{'+'.join(first)}")
+    else:
+        counts = df.agg(*fails)
+    stack = ", ".join(f"'{name}', __c{i}" for i, name in enumerate(names))
+    out = counts.select(F.expr(f"stack({len(names)}, {stack}) AS (`check`, failing_rows)"))
     for keys in unique:
         dup = duplicate_keys(df, keys).agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("failing_rows"))
         out = out.unionByName(dup.select(F.lit(f"unique_combination:{'+'.join(keys)}").alias("check"), "failing_rows"))

@@ -48,10 +48,12 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "check_meals": (quality.meal_checks, ["roster", "meal_applications"]),
     "check_ixl_scores": (quality.ixl_checks, ["ixl_scores", "ixl_skill_names", "ixl_archive"]),
     "check_participation_dates": (quality.participation_date_check, ["meal_participation"]),
+    "check_roster_subjects": (quality.roster_subject_checks, ["stored_grades", "roster_snapshots"]),
     "check_reload_unusable_numbers": (quality.reload_unusable_numbers, ["state_results_pascal"]),
     "check_all": (quality.all_checks, ["roster", "state_results_snake", "state_results_2324", "state_results_pascal",
                                        "intervention", "sbac_archive", "cast_archive", "cut_scores", "meal_applications",
-                                       "meal_participation", "ixl_scores", "ixl_skill_names", "ixl_archive"]),
+                                       "meal_participation", "ixl_scores", "ixl_skill_names", "ixl_archive",
+                                       "stored_grades", "roster_snapshots"]),
     # single-operator queries (each operator alone over whole inputs)
     "keep_best_latest": (primitives.keep_best_latest, ["state_results_pascal"]),
     "keep_best_ranked": (primitives.keep_best_ranked, ["meal_applications"]),

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.columns import norm
 from kestrel.operators.checks import (
-    accepted_range, accepted_values, duplicate_keys, missing_required_values, not_null, summarize,
+    RowCheck, accepted_range, accepted_values, duplicate_keys, missing_required_values, not_null, summarize,
 )
-from kestrel.plans import meals, operations, state_testing
+from kestrel.plans import alignment, meals, operations, state_testing
 from kestrel.sources.registry import Inputs
 
 ELIGIBILITY_CATEGORIES = ["Direct Certification", "Homeless", "Migrant", "Foster", "Meal Application"]
@@ -89,12 +89,15 @@ def ixl_checks(inputs: Inputs) -> DataFrame:
 
 
 def participation_date_check(inputs: Inputs) -> DataFrame:
-    """Participation dates the strict ``yyyy-MM-dd`` parser would reject (one such row fails the meals view)."""
-    p = inputs["meal_participation"]
-    bad = p.where(F.col("participation_date").isNotNull()
-                  & F.try_to_date(F.col("participation_date"), "yyyy-MM-dd").isNull())
-    return bad.agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit("strict_date:participation_date").alias("check"), "failing_rows")
+    """Participation dates that are missing, or that the strict ``yyyy-MM-dd`` parser would reject (one such row fails the view)."""
+    day = F.col("participation_date")
+    strict = RowCheck("strict_date:participation_date", day.isNotNull() & F.try_to_date(day, "yyyy-MM-dd").isNull())
+    return summarize(inputs["meal_participation"], [strict, not_null("participation_date")])
+
+
+def roster_subject_checks(inputs: Inputs) -> DataFrame:
+    return summarize(alignment.roster_subject_assignment(inputs),
+                     [not_null("student_number"), not_null("course_name"), not_null("subject")])
 
 
 def reload_unusable_numbers(inputs: Inputs) -> DataFrame:
@@ -120,6 +123,7 @@ SUMMARY_CHECKS = {
     "check_meals": meal_checks,
     "check_ixl_scores": ixl_checks,
     "check_participation_dates": participation_date_check,
+    "check_roster_subjects": roster_subject_checks,
 }
 #: checks that return their failing rows (the result of a check is their count)
 ROW_CHECKS = {
