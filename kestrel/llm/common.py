@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 #: internal names; callers' other columns are never carried through a shuffle, so they cannot clash
 ID, TEXT, ROW = "__doc", "__text", "__row"
 
-#: an Arrow batch is handled in slices of about this many text bytes, so memory does not follow the batch
-SLICE_BYTES = 8 << 20
+#: an Arrow batch is handled in slices of about this many text bytes, so memory does not follow the batch;
+#: the arrays made from a slice are some twenty times as large
+SLICE_BYTES = 2 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -107,6 +108,7 @@ def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = SLICE_BYTES
         part = column.take(pa.array(np.arange(first, last)))
         yield first, pc.fill_null(part, "").cast(pa.large_string())
         first = last
+    pa.default_memory_pool().release_unused()  # workers live on for later stages
 
 
 class Words:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from kestrel.llm.common import Words
 
 #: pieces kept between batches; the cache is emptied beyond that, so memory stays bounded
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
 #: pieces joined in one call of the library
 _JOINED = 200
 _MARK = "\x01"
