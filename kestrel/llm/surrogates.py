@@ -5,9 +5,9 @@ surrogate drawn from a keyed hash: of the same type, and of the same format as e
 digits, letters of the same case and script, check digits kept valid, names by gender and script).  The
 same entity gets the same surrogate everywhere and in whatever way it is written.  Surrogates are checked
 over the whole corpus: one that equals another entity's surrogate, or any real entity, is drawn again, until
-all are distinct.
+all are distinct.  An entity that finds none in its own format within ``attempts`` rounds gets a longer one.
 
-Defined results: a null or empty text stays as it is; rows that repeat an id are rewritten each by its own
+Defined results: a masked secret or key (no letter or digit in it) is no entity; a null or empty text stays as it is; rows that repeat an id are rewritten each by its own
 text; an empty table gives an empty result; the other columns are passed through untouched.
 """
 
@@ -18,6 +18,7 @@ import hmac
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -64,6 +65,7 @@ def may_hold(texts: pa.Array) -> pa.Array:
     return pc.match_substring_regex(texts, "[0-9:=]|" + "|".join(re.escape(sign) for sign in _SIGNS))
 
 
+_KEY_MARKS = re.compile(r"-----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----")
 _SECRET_HEAD = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[:=]\s*[\"']?|AKIA|ASIA|gh[po]_|sk-|xox[bp]-")
 
 
@@ -134,6 +136,8 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             canonical = _GENDER[title.rstrip(".").lower()] + ":" + " ".join(name.replace("-", " ").casefold().split())
         else:
             canonical = found
+        if kind in ("secret", "key") and not any(c.isalnum() for c in _KEY_MARKS.sub("", canonical)):
+            continue  # masked already
         if start < end:
             out.append((start, end, kind, canonical))
     return out
@@ -167,6 +171,8 @@ def _same_class(c: str, s: Stream) -> str:
     """A character of the same class: digit, or letter of the same case and script; any other stays."""
     if c.isdigit() and c.isascii():
         return str(s.below(10))
+    if c.isdecimal():
+        return chr(ord(c) - unicodedata.decimal(c) + s.below(10))
     if "a" <= c <= "z":
         return chr(97 + s.below(26))
     if "A" <= c <= "Z":
@@ -244,12 +250,37 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     return _hex_or_class(canonical, s)
 
 
+def widen(key: bytes, kind: str, canonical: str, attempt: int, wide: int) -> str:
+    """A surrogate longer than its entity; ``wide`` (1, 2, ...) makes room for ever more of them."""
+    s = Stream(key, "wide", kind, canonical, str(attempt))
+    plain = draw(key, kind, canonical, attempt)
+    if kind == "name":
+        return plain  # grows with the attempt
+    if kind == "ip":
+        a, b, *_ = map(int, canonical.split("."))
+        if wide <= 4 and (a in (10, 127) or (a, b) in ((192, 168), (169, 254)) or a == 172 and 16 <= b < 32):
+            return f"10.{s.below(256)}.{s.below(256)}.{1 + s.below(254)}"
+        return "fd" + ":".join(["%02x" % s.below(256), *("%04x" % s.below(1 << 16) for _ in range(7))])  # a local IPv6 address
+    if kind in ("card", "phone", "ssn"):
+        return plain + "".join(str(s.below(10)) for _ in range(20 * wide))
+    if kind == "iban":
+        body = plain[4:] + "".join(str(s.below(10)) for _ in range(20 * wide))
+        return f"{plain[:2]}{98 - iban_rest(plain[:2] + '00' + body):02d}{body}"
+    tag = "".join("0123456789abcdef"[s.below(16)] for _ in range(16 * wide))
+    if kind == "email":
+        local, _, domain = plain.rpartition("@")
+        return f"{local}{tag}@{domain}"
+    if kind == "key":
+        return re.sub(r"(?=-----END)", lambda m: tag + "\n" * ("\n" in plain), plain, count=1)
+    return plain + tag
+
+
 def render(kind: str, mention: str, surrogate: str) -> str:
     """The surrogate in the format of the mention."""
     if kind in ("card", "phone", "ssn", "iban"):
-        own = sum(c.isalnum() for c in mention) - len(surrogate)  # a country code stays
+        own = max(0, sum(c.isalnum() for c in mention) - len(surrogate))  # a country code stays
         it = iter([c for c in mention if c.isalnum()][:own] + list(surrogate))
-        return "".join(next(it) if c.isalnum() else c for c in mention)
+        return "".join(next(it) if c.isalnum() else c for c in mention) + "".join(it)  # a widened one is longer
     if kind == "email":
         return "".join(s.upper() if c.isupper() else s for c, s in zip(mention, surrogate)) if len(mention) == len(surrogate) else surrogate
     if kind == "name":
@@ -295,11 +326,15 @@ def _per_entity(df: DataFrame, fn: Callable[..., str], columns: list[str], out:
 
 
 def distinct_surrogates(mentions: DataFrame, key: bytes, attempts: int = 64) -> DataFrame:
-    """(kind, canonical, surrogate) of every distinct entity, all surrogates distinct and none a real entity."""
+    """(kind, canonical, surrogate) of every distinct entity, all surrogates distinct and none a real entity.
+
+    After ``attempts`` rounds, what is left draws from forms that get longer with each round, so all get one.
+    """
     real = stage(mentions.groupBy("kind", "canonical").agg(F.count(F.lit(1)).alias("n")).drop("n"), "entities")
     todo, taken = real, None
-    for attempt in range(attempts):
-        drawn = _per_entity(todo, lambda k, c, a=attempt: draw(key, k, c, a), ["kind", "canonical"], "surrogate")
+    for attempt in count():
+        drawn = _per_entity(todo, lambda k, c, a=attempt: draw(key, k, c, a) if a < attempts else widen(key, k, c, a, a - attempts + 1),
+                            ["kind", "canonical"], "surrogate")
         drawn = stage(drawn, f"surrogates-{attempt}")
         # one entity wins each surrogate, unless it is a real entity or was won before
         won = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
@@ -311,14 +346,13 @@ def distinct_surrogates(mentions: DataFrame, key: bytes, attempts: int = 64) ->
         todo = drawn.drop("surrogate").join(won, ["kind", "canonical"], "left_anti")
         if todo.limit(1).count() == 0:
             return taken
-    raise RuntimeError(f"no distinct surrogates for some entities after {attempts} attempts")
 
 
-def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text", attempts: int = 64) -> DataFrame:
     """(ID, ROW, changed text, n_entities, kinds) of the documents that hold entities; all others need no change."""
     texts = keyed_texts(docs, id_col, text_col)
     mentions = stage(entities(texts), "mentions")
-    named = distinct_surrogates(mentions, key)
+    named = distinct_surrogates(mentions, key, attempts)
     # rows that repeat an id and a text have the same mentions: one of each serves
     each = mentions.join(named, ["kind", "canonical"]).groupBy(ID, ROW, "at", "until").agg(
         F.min(F.struct("kind", "mention", "surrogate")).alias("e"))
@@ -347,9 +381,9 @@ def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text
     return todo.mapInArrow(rewrite, out)
 
 
-def with_surrogates(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_surrogates(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text", attempts: int = 64) -> DataFrame:
     """``docs`` with entities replaced in the text column, plus ``n_entities`` and ``kinds``."""
-    changed = surrogate_texts(docs, key=key, id_col=id_col, text_col=text_col)
+    changed = surrogate_texts(docs, key=key, id_col=id_col, text_col=text_col, attempts=attempts)
     changed = stage(changed, "surrogate-texts").dropDuplicates([ID, ROW])
     changed = changed.select(F.col(ID).alias("__cid"), F.col(ROW).alias("__crow"), F.col(TEXT).alias("__new"),
                              F.col("n_entities").alias("__n"), F.col("kinds").alias("__kinds"))

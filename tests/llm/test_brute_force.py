@@ -253,6 +253,31 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(set(texts)) == 8 and not set(texts) & {t for _, t in rows}
 
 
+def test_masked_secrets_stay(spark):
+    rows = [(1, "password: ********"), (2, "api_key=••••••••"), (3, "token = ......"),
+            (4, "-----BEGIN PRIVATE KEY-----\n...\n-----END PRIVATE KEY-----"), (5, "password: ٣٤٥٦٧٨٩٠")]
+    out = {r["doc_id"]: r for r in surrogates.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), key=b"k", attempts=3).collect()}
+    for i, t in rows[:4]:
+        assert (out[i]["text"], out[i]["n_entities"]) == (t, 0)
+    assert out[5]["text"] != rows[4][1] and out[5]["n_entities"] == 1
+
+
+def test_full_spaces_get_longer_surrogates(spark):
+    """More entities than a format has values left: all get surrogates of their own."""
+    rows = [(i, f"{c}@x.example.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(100, "-@-.com"), (101, "password: ______1")]
+    out = surrogates.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), key=b"k", attempts=1).collect()
+    texts = [r["text"] for r in out]
+    assert len(set(texts)) == len(rows) and not set(texts) & {t for _, t in rows} and all(r["n_entities"] == 1 for r in out)
+    made = {}
+    for kind, c in [("card", "4111111111111111"), ("phone", "7435553824"), ("ssn", "123456789"), ("iban", "AT611904300234573201"), ("ip", "192.168.0.1"),
+                    ("ip", "8.8.8.8"), ("email", "a@b.com"), ("secret", "______"), ("key", "-----BEGIN PRIVATE KEY-----\nab\n-----END PRIVATE KEY-----")]:
+        made[kind, c] = {surrogates.widen(b"k", kind, c, a, 5) for a in range(300)}
+        assert len(made[kind, c]) == 300
+    assert all(surrogates.iban_rest(x) == 1 for x in made["iban", "AT611904300234573201"])
+    assert surrogates.render("ssn", "123-45-6789", "98765432112345") == "987-65-432112345"
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("<p>one<p>two", "one\n\ntwo"), ("a <b>b</b>c<br>d", "a bc\nd"),
     ("<ul><li>a<li>b<ol start=3><li>c</ol></ul>", "- a\n- b\n  3. c"),
