@@ -81,8 +81,38 @@ def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
-def _matches(text: str) -> Iterator[re.Match]:
-    """What ``_FIND.finditer`` gives, but tried only in words up to a place that can begin an entity."""
+#: length of an IBAN by country
+_IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}.items() for c in cs.split()}
+
+
+def _iban_length(found: str) -> int | None:
+    """The length of the IBAN that ``found`` begins with: its country's, or the most whole groups with a right checksum."""
+    ends = [len(found), *(m.start() for m in reversed(list(re.finditer(" ", found))))]
+    sizes = {end: end - found.count(" ", 0, end) for end in ends}
+    right = _IBAN_LENGTH.get(found[:2])
+    for end in sorted(ends, key=lambda end: (sizes[end] != right, -end)):
+        if 15 <= sizes[end] <= 34 and iban_rest(found[:end].replace(" ", "")) == 1:
+            return end
+    return None
+
+
+def _phone_length(found: str) -> int | None:
+    """The length of the most whole groups that make a number of 7 to 15 digits."""
+    for end in [len(found), *(m.start() for m in reversed(list(re.finditer(r"(?<=\w)\W+", found))))]:
+        if 7 <= sum(c.isdigit() for c in found[:end]) <= 15:
+            return end
+    return None
+
+
+def _matches(text: str) -> Iterator[tuple[str, int, int]]:
+    """(type, start, end): what ``_FIND.finditer`` gives, but tried only in words up to a place that can begin an entity.
+
+    An IBAN or phone number that takes in too much is cut to what is one; where none is, the search goes on at the next character.
+    """
     places = {m.start() for m in re.finditer(r"\d", text)}
     for sign in _SIGNS:
         at = text.find(sign)
@@ -101,17 +131,19 @@ def _matches(text: str) -> Iterator[re.Match]:
         for p in range(at, place + 1):
             tried = p + 1
             if m := _FIND.match(text, p):
-                yield m
-                tried = max(tried, m.end())
+                cut = {"iban": _iban_length, "phone": _phone_length}.get(m.lastgroup, len)(m.group())
+                if cut is None:
+                    continue
+                yield m.lastgroup, p, p + cut
+                tried = max(tried, p + cut)
                 break
 
 
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of each entity, left to right; only what is to be replaced."""
     out = []
-    for m in _matches(text):
-        kind, start, end = m.lastgroup, m.start(), m.end()
-        found = m.group()
+    for kind, start, end in _matches(text):
+        found = text[start:end]
         if kind == "email":
             canonical = found.lower()
         elif kind == "secret":
@@ -121,13 +153,9 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             canonical = text[start:end]
         elif kind == "iban":
             canonical = found.replace(" ", "")
-            if not 15 <= len(canonical) <= 34 or iban_rest(canonical) != 1:
-                continue
         elif kind in ("card", "ssn", "phone"):
             canonical = re.sub(r"\D", "", found)
             if kind == "phone":
-                if not 7 <= len(canonical) <= 15:
-                    continue
                 canonical = canonical[-10:]  # the national number, however the country is written
         elif kind == "name":
             title, _, name = found.partition(" ")

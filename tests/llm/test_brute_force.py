@@ -278,6 +278,18 @@ def test_full_spaces_get_longer_surrogates(spark):
     assert surrogates.render("ssn", "123-45-6789", "98765432112345") == "987-65-432112345"
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("AT61 1904 3002 3457 3201 BIC", ["AT61 1904 3002 3457 3201"]), ("AT611904300234573201 BIC BKAUATWW", ["AT611904300234573201"]),
+    ("ES91 2100 0418 4502 0005 1332 2024", ["ES91 2100 0418 4502 0005 1332"]), ("DE89 3704 0044 0532 0130 00 AND 12", ["DE89 3704 0044 0532 0130 00"]),
+    ("REF AB12 CDEF AT61 1904 3002 3457 3201", ["AT61 1904 3002 3457 3201"]), ("AT62 4111 1111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("NO93 8601 1117 947", ["NO93 8601 1117 947"]), ("NO9386011117947 2024", ["NO9386011117947"]),
+    ("AT61 1904 3002 3457 3201 AT61 1904 3002 3457 3201", ["AT61 1904 3002 3457 3201"] * 2),
+    ("(743) 555-3824 2024 1234", ["(743) 555-3824 2024"]),
+])
+def test_numbers_with_words_behind_are_found(text, found):
+    assert [text[a:b] for a, b, *_ in surrogates.find_entities(text)] == found
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("<p>one<p>two", "one\n\ntwo"), ("a <b>b</b>c<br>d", "a bc\nd"),
     ("<ul><li>a<li>b<ol start=3><li>c</ol></ul>", "- a\n- b\n  3. c"),
