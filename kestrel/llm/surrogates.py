@@ -5,7 +5,11 @@ surrogate drawn from a keyed hash: of the same type, and of the same format as e
 digits, letters of the same case and script, check digits kept valid, names by gender and script).  The
 same entity gets the same surrogate everywhere and in whatever way it is written.  Surrogates are checked
 over the whole corpus: one that equals another entity's surrogate, or any real entity, is drawn again, until
-all are distinct.  An entity that finds none in its own format within ``attempts`` rounds gets a longer one.
+all are distinct.
+A person is found by a title, and then wherever the same text has that name or its surname (capitalised as there, or in
+capitals) without one; a surname stands for the fuller name of the text that goes with its title (the last one before it, else the
+next).  Given names alone are not followed.  A name is one entity whatever its titles; they decide its surrogate's
+gender where they agree over the corpus.  An entity that finds none in its own format within ``attempts`` rounds gets a longer one.
 
 Defined results: a masked secret or key (no letter or digit in it) is no entity; a null or empty text stays as it is; rows that repeat an id are rewritten each by its own
 text; an empty table gives an empty result; the other columns are passed through untouched.
@@ -139,11 +143,52 @@ def _matches(text: str) -> Iterator[tuple[str, int, int]]:
                 break
 
 
-def find_entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, type, canonical form) of each entity, left to right; only what is to be replaced."""
+def _plain_name(name: str) -> str:
+    return " ".join(name.replace("-", " ").casefold().split())
+
+
+def _with_untitled(text: str, found: list[tuple[int, int, str, str, str | None]]) -> list[tuple[int, int, str, str, str | None]]:
+    """The entities of a text with the untitled mentions of its titled names; surnames stand for the fuller name."""
+    names = [e for e in found if e[2] == "name"]
+    if not names:
+        return found
+    forms: dict[str, None] = {}
+    fuller: dict[str, list[tuple[int, str]]] = {}
+    genders: dict[str, set[str]] = {}
+    for start, end, _, canonical, gender in names:
+        whole = text[start:end]
+        first, _, last = whole.partition(" ")
+        forms |= dict.fromkeys([whole, whole.upper()])
+        if last:
+            forms |= dict.fromkeys([last, last.upper()])
+            fuller.setdefault(_plain_name(last), []).append((start, canonical))
+        if gender:
+            genders.setdefault(canonical, set()).add(gender)
+
+    def person(at: int, canonical: str, gender: str | None) -> str:
+        fit = [(start, c) for start, c in fuller.get(canonical, []) if not gender or gender in genders.get(c, {gender})]
+        before = [c for start, c in fit if start < at]
+        return before[-1] if before else fit[0][1] if fit else canonical
+
+    words = "|".join(r"[\s-]+".join(map(re.escape, re.split(r"[ -]", form))) for form in sorted(forms, key=lambda form: (-len(form), form)))
+    heads = "".join(sorted({form[0] for form in forms}))
+    untitled = re.compile(rf"(?<!\w)(?=[{heads}])(?:{words})(?!\w)")
+    out, at = [], 0
+    for e in [*found, (len(text), len(text), "", "", None)]:
+        for m in untitled.finditer(text, at, e[0]):
+            out.append((m.start(), m.end(), "name", person(m.start(), _plain_name(m.group()), None), None))
+        if e[2] == "name":
+            e = (*e[:3], person(e[0], e[3], e[4]), e[4])
+        out.append(e)
+        at = e[1]
+    return out[:-1]
+
+
+def find_entities(text: str) -> list[tuple[int, int, str, str, str | None]]:
+    """(start, end, type, canonical form, gender told by a title) of each entity, left to right; only what is to be replaced."""
     out = []
     for kind, start, end in _matches(text):
-        found = text[start:end]
+        found, gender = text[start:end], None
         if kind == "email":
             canonical = found.lower()
         elif kind == "secret":
@@ -161,14 +206,15 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             title, _, name = found.partition(" ")
             name = name.lstrip()
             start = end - len(name)
-            canonical = _GENDER[title.rstrip(".").lower()] + ":" + " ".join(name.replace("-", " ").casefold().split())
+            canonical, gender = _plain_name(name), _GENDER[title.rstrip(".").lower()]
+            gender = None if gender == "n" else gender
         else:
             canonical = found
         if kind in ("secret", "key") and not any(c.isalnum() for c in _KEY_MARKS.sub("", canonical)):
             continue  # masked already
         if start < end:
-            out.append((start, end, kind, canonical))
-    return out
+            out.append((start, end, kind, canonical, gender))
+    return _with_untitled(text, out)
 
 
 # --- surrogates ------------------------------------------------------------------------------------
@@ -236,7 +282,9 @@ def script_of(text: str) -> str:
 
 
 def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
-    """The canonical form of a surrogate; another for each attempt."""
+    """The canonical form of a surrogate; another for each attempt.  A name comes as ``gender:name``, and gender only picks its ending."""
+    gender, _, name = canonical.partition(":") if kind == "name" else ("", "", "")
+    canonical = name or canonical
     s = Stream(key, kind, canonical, str(attempt))
     if kind == "email":
         local, _, domain = canonical.rpartition("@")
@@ -269,8 +317,7 @@ def draw(key: bytes, kind: str, canonical: str, attempt: int) -> str:
         body = "".join(_same_class(c, s) for c in canonical[4:])
         return f"{canonical[:2]}{98 - iban_rest(canonical[:2] + '00' + body):02d}{body}"
     if kind == "name":
-        gender, _, name = canonical.partition(":")
-        return f"{gender}:{_name(gender, script_of(name), len(name.split()), s, attempt)}"
+        return _name(gender, script_of(name), len(name.split()), s, attempt)
     if kind == "key":
         lines = canonical.split("\n")
         return "\n".join(x if x.startswith("-----") else _hex_or_class(x, s) for x in lines) if len(lines) > 1 else re.sub(
@@ -312,15 +359,17 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     if kind == "email":
         return "".join(s.upper() if c.isupper() else s for c, s in zip(mention, surrogate)) if len(mention) == len(surrogate) else surrogate
     if kind == "name":
-        words = surrogate.partition(":")[2].split()
+        words = surrogate.split()
         form = str.upper if mention.isupper() else str.capitalize
-        return ("-" if "-" in mention else " ").join(form(w) for w in words)
+        parts = re.split(r"([\s-]+)", mention)  # a bare surname has the last words only
+        parts[::2] = [form(w) for w in words[-len(parts[::2]):]]
+        return "".join(parts)
     return surrogate
 
 
 # --- Spark -----------------------------------------------------------------------------------------
 
-_FOUND = f"{ID} long, {ROW} long, at int, until int, kind string, canonical string, mention string"
+_FOUND = f"{ID} long, {ROW} long, at int, until int, kind string, canonical string, gender string, mention string"
 
 
 def entities(texts: DataFrame) -> DataFrame:
@@ -328,13 +377,13 @@ def entities(texts: DataFrame) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(ID, pa.int64()), (ROW, pa.int64()), ("at", pa.int32()), ("until", pa.int32()),
-                            ("kind", pa.string()), ("canonical", pa.string()), ("mention", pa.string())])
+                            ("kind", pa.string()), ("canonical", pa.string()), ("gender", pa.string()), ("mention", pa.string())])
         for batch in batches:
             for first, part in text_slices(batch.column(2)):
                 rows = []
                 for i in pc.indices_nonzero(may_hold(part)).to_pylist():
                     text, doc, row = part[i].as_py(), batch.column(0)[first + i].as_py(), batch.column(1)[first + i].as_py()
-                    rows += [(doc, row, a, b, k, c, text[a:b]) for a, b, k, c in find_entities(text)]
+                    rows += [(doc, row, a, b, k, c, g, text[a:b]) for a, b, k, c, g in find_entities(text)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -358,11 +407,14 @@ def distinct_surrogates(mentions: DataFrame, key: bytes, attempts: int = 64) ->
 
     After ``attempts`` rounds, what is left draws from forms that get longer with each round, so all get one.
     """
-    real = stage(mentions.groupBy("kind", "canonical").agg(F.count(F.lit(1)).alias("n")).drop("n"), "entities")
+    real = mentions.groupBy("kind", "canonical").agg(F.min("gender").alias("least"), F.max("gender").alias("gender"))
+    real = real.withColumn("gender", F.when(F.col("least") == F.col("gender"), F.col("gender")).otherwise("n")).drop("least")
+    real = real.withColumn("form", F.when(F.col("kind") == "name", F.concat("gender", F.lit(":"), "canonical")).otherwise(F.col("canonical")))
+    real = stage(real.drop("gender"), "entities")
     todo, taken = real, None
     for attempt in count():
         drawn = _per_entity(todo, lambda k, c, a=attempt: draw(key, k, c, a) if a < attempts else widen(key, k, c, a, a - attempts + 1),
-                            ["kind", "canonical"], "surrogate")
+                            ["kind", "form"], "surrogate")
         drawn = stage(drawn, f"surrogates-{attempt}")
         # one entity wins each surrogate, unless it is a real entity or was won before
         won = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))

@@ -290,6 +290,21 @@ def test_numbers_with_words_behind_are_found(text, found):
     assert [text[a:b] for a, b, *_ in surrogates.find_entities(text)] == found
 
 
+def test_people_are_followed_without_their_titles(spark):
+    texts = ["Dr Anna Kern met Ms Anna Kern. Anna Kern, ANNA KERN and Kern; anna kernel. Write to kern@x.com",
+             "Mr John Smith, Mr Smith, Mrs Smith, Prof Smith", "Dr. Anna\u0020Kern", "Anna\nKern, says Mrs Anna Kern", "Mr Smith and Smith", "Smith here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in surrogates.with_surrogates(df, key=b"k").collect()}
+    name = re.match(r"Dr ([A-Z][a-z]+la) ([A-Z][a-z]+) met", out[0])
+    first, last = name.groups()
+    assert re.sub(r"\S+$", "", out[0]) == f"Dr {first} {last} met Ms {first} {last}. {first} {last}, {first.upper()} {last.upper()} and {last}; anna kernel. Write to "
+    john, smith = re.match(r"Mr ([A-Z][a-z]+ran) ([A-Z][a-z]+), ", out[1]).groups()
+    mrs = re.search(r"Mrs ([A-Z][a-z]+),", out[1]).group(1)
+    assert out[1] == f"Mr {john} {smith}, Mr {smith}, Mrs {mrs}, Prof {smith}" and mrs not in (smith, "Smith")
+    assert out[2] == f"Dr. {first} {last}" and out[3] == f"{first}\n{last}, says Mrs {first} {last}"
+    assert out[4] == f"Mr {mrs} and {mrs}" and out[5] == "Smith here"
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("<p>one<p>two", "one\n\ntwo"), ("a <b>b</b>c<br>d", "a bc\nd"),
     ("<ul><li>a<li>b<ol start=3><li>c</ol></ul>", "- a\n- b\n  3. c"),
