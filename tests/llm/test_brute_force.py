@@ -189,6 +189,18 @@ def test_isolation_forest_tells_bad_rows_apart(spark):
     assert bad.kept.mean() < 0.4
 
 
+@pytest.mark.parametrize("half", [0, 1])
+def test_isolation_forest_finds_plain_junk(spark, half):
+    """Held-out labels, either half: hardly a bad row stays and hardly a good one goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").groupBy("doc_id").min("quality").toDF("doc_id", "quality")
+    out = isolation_rules.quality_rules(docs, labels.where(f"pmod(xxhash64(doc_id), 2) = {half}"))
+    held = out.join(labels.where(f"pmod(xxhash64(doc_id), 2) = {1 - half}"), "doc_id").where("not base_failed").toPandas()
+    good, bad = held[held.quality > 0], held[held.quality == 0]
+    assert len(bad) > 100 and bad.kept.mean() < 0.02
+    assert good.kept.mean() > 0.99
+
+
 def test_overlap_join(docs, empty):
     low = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
     sets = []
