@@ -3,7 +3,8 @@
 A tree builder reads the markup with the implied tags of HTML (an open paragraph ends at the next block,
 a list item at the next item, a cell at the next cell or row, and so on).  A renderer walks the tree and
 emits all visible text: nothing from scripts, styles, templates, hidden elements or closed details, nor
-from what the page's own simple style rules do not display.  Blocks stand on lines of their own with a
+from what the page's own simple style rules (of tags, classes and ids, without combinators) do not display on a
+screen of ``SCREEN`` pixels; of several rules the cascade decides.  Blocks stand on lines of their own with a
 blank line between paragraphs, list items have their marker and indent, table cells are padded so that
 columns line up, preformatted text keeps its spacing.
 
@@ -46,8 +47,13 @@ CLOSES = {
 _END_LIMIT = {"td": ("table",), "th": ("table",), "tr": ("table",), "li": ("ul", "ol", "menu")}
 _TOKEN = re.compile(r"<!--(.*?)(?:--!?>|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
-_UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: comments, strings and addresses of a style sheet
+_OPAQUE = re.compile(r"/\*.*?(?:\*/|$)|\"(?:\\.|[^\"\\\n])*\"?|'(?:\\.|[^'\\\n])*'?|\burl\([^)]*\)?|<!--|-->", re.S)
+_SELECTOR = re.compile(r"\*?(?:[\w-]+)?(?:[.#][\w-]+)*")
+_SHOWS = re.compile(r"(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*important)?", re.I)
+#: width and height of the screen that media rules are read for
+SCREEN = {"width": 1280, "height": 800}
+_LENGTH = re.compile(r"(\d*\.?\d+)(px|em|rem)?")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -129,7 +135,9 @@ def build_tree(html: str) -> tuple[Node, list[str]]:
             text = html[at: end.start() if end else len(html)]
             at = end.end() if end else len(html)
             if tag == "style":
-                sheets.append(text)
+                media = node.attrs.get("media", "").strip()
+                if not media or on_screen(media):
+                    sheets.append(text)
             elif tag == "textarea":
                 node.children.append(unescape(text))
         elif tag not in VOID and not m.group(4).endswith("/") or tag in ("div", "p", "span"):
@@ -142,26 +150,124 @@ def _add(stack: list[Node], node: Node) -> Node:
     return node
 
 
-def hidden_by_rules(sheets: list[str]) -> set[str]:
-    """Simple selectors (``tag``, ``.class``, ``#id``) that the style sheets do not display."""
-    out: set[str] = set()
-    for sheet in sheets:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _UNSHOWN.search(body):
-                out |= {x.strip() for x in selectors.split(",") if re.fullmatch(r"[.#]?[\w-]+", x.strip())}
-    return out
-
+def _feature_holds(feature: str) -> bool:
+    """A media feature, such as ``max-width: 600px`` or ``600px <= width``, on a wide colour screen; False where unknown."""
+    feature = feature.strip().lower()
+    name, _, value = (x.strip() for x in feature.partition(":"))
+    if value:
+        if m := re.fullmatch(r"(min-|max-)?(?:device-)?(width|height)", name):
+            length = _LENGTH.fullmatch(value)
+            if not length:
+                return False
+            size, pixels = SCREEN[m.group(2)], float(length.group(1)) * (16 if length.group(2) in ("em", "rem") else 1)
+            return size >= pixels if m.group(1) == "min-" else size <= pixels if m.group(1) == "max-" else size == pixels
+        return (name, value) in {("orientation", "landscape"), ("hover", "hover"), ("any-hover", "hover"), ("pointer", "fine"), ("any-pointer", "fine"),
+                                 ("prefers-color-scheme", "light"), ("prefers-reduced-motion", "no-preference"), ("scripting", "none")}
+    parts = re.split(r"\s*(<=|>=|<|>|=)\s*", feature)
+    if len(parts) < 3:
+        return feature in ("width", "height", "color", "hover", "any-hover", "pointer", "any-pointer")
+    values = []
+    for part in parts[::2]:
+        length = _LENGTH.fullmatch(part)
+        values.append(SCREEN[part] if part in SCREEN else float(length.group(1)) * (16 if length.group(2) in ("em", "rem") else 1) if length else None)
+    if None in values:
+        return False
+    return all({"<": x < y, "<=": x <= y, ">": x > y, ">=": x >= y, "=": x == y}[sign] for x, sign, y in zip(values, parts[1::2], values[1:]))
+
+
+def on_screen(media: str) -> bool:
+    """Whether one of the media queries holds on the screen."""
+    for query in media.lower().split(","):
+        query = query.strip()
+        negated = re.match(r"not\s+(?!\()|not\s*\((?=[^()]*\)$)", query)
+        body = re.sub(r"^(?:not|only)\b\s*", "", query)
+        features = re.findall(r"\(([^()]*)\)", body)
+        kind = re.match(r"[\w-]+", body)
+        holds = not kind or kind.group() in ("all", "screen")
+        joined = any if re.search(r"\)\s*or\s*\(", body) else all
+        if features:
+            holds = holds and joined(map(_feature_holds, features))
+        if holds != bool(negated):
+            return True
+    return False
+
+
+class StyleRules:
+    """What the simple rules of style sheets say of display and visibility, by the parts of their selectors."""
+
+    def __init__(self, sheets: list[str]):
+        #: one part of a selector -> (all its parts, property, rank in the cascade, hidden)
+        self.rules: dict[str, list[tuple[frozenset[str], str, tuple, bool]]] = {}
+        self.n = 0
+        for sheet in sheets:
+            self._read(_OPAQUE.sub(" ", sheet))
+
+    def _read(self, sheet: str) -> None:
+        """Rules on the screen; the bodies of other media and of at-rules without selectors are left out."""
+        blocks: list[tuple[str, bool, str]] = []  # kind, whether it holds, selectors
+        declared: list[str] = []
+        for text, sign in re.findall(r"([^{};]*)([{};]|$)", sheet):
+            kind, holds, selectors = blocks[-1] if blocks else ("group", True, "")
+            if kind == "rule":
+                declared.append(text)
+            if sign == "{":
+                prelude = text.strip()
+                name, _, rest = re.sub(r"^@([\w-]+)", r"\1 ", prelude).partition(" ") if prelude.startswith("@") else ("", "", "")
+                if kind != "group":
+                    if kind == "rule":
+                        declared.pop()
+                    blocks.append(("other", False, ""))
+                elif name:
+                    group = {"media": on_screen(rest), "supports": not rest.strip().startswith("not"), "layer": True}.get(name.lower())
+                    blocks.append(("other", False, "") if group is None else ("group", holds and group, ""))
+                else:
+                    blocks.append(("rule", holds, prelude))
+                    declared = []
+            elif sign == "}" and blocks:
+                blocks.pop()
+                if kind == "rule" and holds:
+                    self._add(selectors, declared)
+            elif not sign and kind == "rule" and holds:  # the sheet ends in an open rule
+                self._add(selectors, declared)
+                break
 
-def visible(node: Node, unshown: set[str]) -> bool:
+    def _add(self, selectors: str, declared: list[str]) -> None:
+        for m in filter(None, (_SHOWS.match(x.strip()) for x in declared)):
+            name, value = m.group(1).lower(), m.group(2).lower()
+            hidden = value == "none" if name == "display" else value in ("hidden", "collapse")
+            for selector in map(str.strip, selectors.split(",")):
+                parts = frozenset(p if p[0] in ".#" else p.lower() for p in re.findall(r"[.#]?[\w-]+", selector))
+                if parts and _SELECTOR.fullmatch(selector):
+                    ids, classes = (sum(p[0] == c for p in parts) for c in "#.")
+                    self.n += 1
+                    rank = (bool(m.group(3)), False, ids, classes, len(parts) - ids - classes, self.n)
+                    self.rules.setdefault(min(parts), []).append((parts, name, rank, hidden))
+
+    def hide(self, node: Node) -> bool:
+        a = node.attrs
+        best: dict[str, tuple[tuple, bool]] = {}
+        for m in filter(None, (_SHOWS.match(x.strip()) for x in a.get("style", "").split(";"))):
+            name, value = m.group(1).lower(), m.group(2).lower()
+            hidden = value == "none" if name == "display" else value in ("hidden", "collapse")
+            rank = (bool(m.group(3)), True)
+            if rank >= best.get(name, ((), False))[0]:
+                best[name] = rank, hidden
+        if self.rules:
+            names = {node.tag} | {"." + c for c in a.get("class", "").split()} | ({"#" + a["id"]} if a.get("id") else set())
+            for part in names & self.rules.keys():
+                for parts, name, rank, hidden in self.rules[part]:
+                    if parts <= names and rank > best.get(name, ((), False))[0]:
+                        best[name] = rank, hidden
+        return any(hidden for _, hidden in best.values())
+
+
+def visible(node: Node, rules: StyleRules) -> bool:
     a = node.attrs
-    if node.tag in UNSEEN or "hidden" in a or _UNSHOWN.search(a.get("style", "")):
+    if node.tag in UNSEEN or "hidden" in a:
+        return False
+    if node.tag == "input" and a.get("type", "text").lower() in ("hidden", "password", "checkbox", "radio", "file", "image"):
         return False
-    if node.tag == "input":
-        return a.get("type", "text").lower() not in ("hidden", "password", "checkbox", "radio", "file", "image")
-    if not unshown:
-        return True
-    names = {node.tag} | {"." + c for c in a.get("class", "").split()} | ({"#" + a["id"]} if a.get("id") else set())
-    return not names & unshown
+    return not (rules.rules or "style" in a) or not rules.hide(node)
 
 
 class Lines:
@@ -261,7 +367,7 @@ def _span(node: Node, name: str) -> int:
 
 def render(html: str) -> str:
     root, sheets = build_tree(html)
-    unshown = hidden_by_rules(sheets)
+    rules = StyleRules(sheets)
     out: list[Lines] = [Lines()]
     tables: list[_Table] = []
     lists: list[list] = []  # marker kind and next number
@@ -275,7 +381,7 @@ def render(html: str) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if not visible(node, unshown):
+            if not visible(node, rules):
                 continue
             if tag == "br":
                 if to.line:

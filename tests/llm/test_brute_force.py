@@ -330,6 +330,29 @@ def test_html(html, text):
     assert html_layout.render(html or "") == text
 
 
+@pytest.mark.parametrize(("css", "shown"), [
+    ("@media print { .a, nav {display:none} }", True), ("@media (max-width: 600px) { .a{display:none} }", True),
+    ("@media screen and (max-width:40em){.a{display:none}} p{margin:0}", True), ("@media screen{.a{display:none}}", False),
+    ("@media only screen and (min-width: 600px) { .a{display:none} }", False), ("@media not print{.a{display:none}}", False),
+    ("@media (600px <= width < 900px){.a{display:none}}", True), ("@media print, (min-width:1px){.a{display:none}}", False),
+    ("@supports (display:grid){@media print{.a{display:none}} .b{x:y}}", True), ("@media print{@page{margin:0} .a{display:none}}", True),
+    (".a{display:none} .a{display:block}", True), (".a{display:block} .a{display:none}", False), (".a{display:none!important} .a{display:block}", False),
+    ("#i{display:block} .a{display:none}", True), (".a{display:none} .a.b{display:block}", True), (".a.c{display:none}", True),
+    (".a{visibility:hidden} .a{visibility:visible}", True), (".a{visibility:hidden} .a{display:block}", False),
+    ("/* } */ .x{content:'{'} .a{color:red;display:none}", False), ("@font-face{src:url(a;b)} .a{display:none", False),
+    ("@keyframes k{from{display:none}} div{color:red}", True), (".b .a{display:none}", True), ("div.a{display:none}", False),
+])
+def test_html_style_rules(css, shown):
+    page = f"<style>{css}</style><div class='a b' id=i>text</div>tail"
+    assert html_layout.render(page) == ("text\ntail" if shown else "tail")
+
+
+def test_html_inline_style_and_media():
+    assert html_layout.render("<style media=print>.a{display:none}</style><p class=a>x") == "x"
+    assert html_layout.render("<style>.a{display:none}</style><p class=a style='display:block'>x<p class=a>y") == "x"
+    assert html_layout.render("<p style='color:red; display : none'>x<p style='display:none;display:block'>y") == "y"
+
+
 def test_html_table(spark, empty):
     pages = spark.createDataFrame([(1, "<p>a", "u"), (2, None, None), (None, "<p>b", "x"), (1, "<p>a", "u")], "page_id long, html string, text string")
     out = html_layout.html_text(pages)
