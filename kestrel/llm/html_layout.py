@@ -6,7 +6,8 @@ emits all visible text: nothing from scripts, styles, templates, hidden elements
 from what the page's own simple style rules (of tags, classes and ids, without combinators) do not display on a
 screen of ``SCREEN`` pixels; of several rules the cascade decides.  Blocks stand on lines of their own with a
 blank line between paragraphs, list items have their marker and indent, table cells are padded so that
-columns line up, preformatted text keeps its spacing.
+columns line up, preformatted text keeps its spacing.  Formulas (math) and the labels of drawings (text and
+foreign objects of svg) run in the line, labels, cells and parts of fractions apart by a space.
 
 Defined results: null or empty markup gives an empty text; markup of any depth is walked without
 recursion; rows that repeat an id are rendered each by its own markup; an empty table gives an empty
@@ -25,11 +26,16 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-                  "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table ul".split())
+                  "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table ul xmp".split())
 #: blocks with a blank line around them
-SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
+SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul xmp".split())
+#: not shown inside svg or math
+UNDRAWN = {"svg": frozenset("defs metadata title desc symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+           "math": frozenset("annotation annotation-xml mphantom".split())}
+_MATH = frozenset("math semantics mrow mstyle mpadded merror menclose mtd mtable mtr mlabeledtr mfrac msup msub msubsup munder mover munderover "
+                  "mmultiscripts msqrt mroot mfenced maction".split())
 #: a start tag closes these open elements, as far as the nearest of the limits
 CLOSES = {
     **{t: (("p",), ("button", "table", "td", "th", "caption", "object")) for t in
@@ -138,8 +144,8 @@ def build_tree(html: str) -> tuple[Node, list[str]]:
                 media = node.attrs.get("media", "").strip()
                 if not media or on_screen(media):
                     sheets.append(text)
-            elif tag == "textarea":
-                node.children.append(unescape(text))
+            elif tag in ("textarea", "xmp"):
+                node.children.append(unescape(text) if tag == "textarea" else text)
         elif tag not in VOID and not m.group(4).endswith("/") or tag in ("div", "p", "span"):
             stack.append(node)
     return root, sheets
@@ -404,6 +410,14 @@ def render(html: str) -> str:
                 options = [c for c in _options(node)]
                 chosen = [c for c in options if "selected" in c.attrs] or options[:1]
                 children = chosen
+            if tag == "svg":
+                children = _labels(node, rules)
+            elif tag == "text":
+                children = [c for c in children if not isinstance(c, Node) or c.tag not in UNDRAWN["svg"]]
+            elif tag == "tspan" and node.attrs.keys() & {"x", "y", "dy"}:
+                children = [" ", *children]
+            elif tag in _MATH:
+                children = _formula(node)
             if tag in BLOCK:
                 nested = tag in ("ul", "ol", "menu", "dl") and bool(lists)
                 to.block(tag in SPACED and not nested)
@@ -422,7 +436,7 @@ def render(html: str) -> str:
                 to.prefix.append("    ")
             elif tag == "blockquote":
                 to.prefix.append("> ")
-            elif tag in ("pre", "textarea"):
+            elif tag in ("pre", "textarea", "xmp"):
                 pre += 1
             elif tag == "table":
                 tables.append(_Table())
@@ -447,7 +461,7 @@ def render(html: str) -> str:
         elif tag in ("dd", "blockquote"):
             to.end_line()
             to.prefix.pop()
-        elif tag in ("pre", "textarea"):
+        elif tag in ("pre", "textarea", "xmp"):
             pre -= 1
         elif tag in ("td", "th") and tables:
             lines = out.pop().result()
@@ -470,6 +484,27 @@ def render(html: str) -> str:
     return "\n".join(out[0].result()).strip("\n")
 
 
+def _labels(svg: Node, rules: StyleRules) -> list[Node | str]:
+    """The shown text and foreign objects of a drawing, apart by a space."""
+    found, todo = [], list(reversed(svg.children))
+    while todo:
+        c = todo.pop()
+        if isinstance(c, Node) and c.tag not in UNDRAWN["svg"] and visible(c, rules):
+            if c.tag in ("text", "foreignobject"):
+                found += [" ", c]
+            else:
+                todo += reversed(c.children)
+    return [*found, " "] if found else []
+
+
+def _formula(node: Node) -> list[Node | str]:
+    """The shown children of an element of a formula."""
+    shown = [c for c in node.children if not isinstance(c, Node) or c.tag not in UNDRAWN["math"]]
+    if node.tag in ("mtable", "mtr", "mlabeledtr", "mfrac"):
+        return [x for c in shown if isinstance(c, Node) for x in (" ", c)] + [" "]
+    return shown
+
+
 def _options(node: Node) -> list[Node]:
     found, todo = [], list(node.children)
     while todo:

@@ -347,6 +347,19 @@ def test_html_style_rules(css, shown):
     assert html_layout.render(page) == ("text\ntail" if shown else "tail")
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("let <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>, so", "let x= 1 2 , so"),
+    ("<math><semantics><mrow><mi>y</mi><mphantom><mi>q</mi></mphantom></mrow><annotation encoding='application/x-tex'>\\y</annotation></semantics></math>", "y"),
+    ("<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd><mtd><mn>4</mn></mtd></mtr></mtable></math>", "1 2 3 4"),
+    ("a<svg><title>t</title><desc>d</desc><defs><text>no</text></defs><metadata>m</metadata>loose<g><path d='M0'/><text x=1>Jan<title>n</title></text>"
+     "<text x=2>Fe<tspan>b</tspan></text></g><g style='display:none'><text>no</text></g></svg>b", "a Jan Feb b"),
+    ("<svg><text><tspan x=0 dy=1em>one</tspan><tspan x=0 dy=1em>two</tspan></text><foreignObject><span>three</span></foreignObject></svg>", "one two three"),
+    ("<svg class=icon><path d='M0 0'/></svg>x", "x"), ("a<xmp>  <b>raw</b> &amp;\n  y</xmp>b", "a\n\n  <b>raw</b> &amp;\n  y\n\nb"),
+])
+def test_html_formulas_drawings_and_xmp(html, text):
+    assert html_layout.render(html) == text
+
+
 def test_html_inline_style_and_media():
     assert html_layout.render("<style media=print>.a{display:none}</style><p class=a>x") == "x"
     assert html_layout.render("<style>.a{display:none}</style><p class=a style='display:block'>x<p class=a>y") == "x"
