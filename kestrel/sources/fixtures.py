@@ -79,7 +79,8 @@ def _roster_branch(yi: int, year: str) -> Branch:
         "customer",
         [
             ("student_number", f"{k} + 100000"),
-            ("year", f"'{year}'"),
+            # leavers: every tenth student's row is of an earlier year
+            ("year", f"CASE WHEN ({k} + {yi}) % 10 = 0 THEN '23-24' ELSE '{year}' END"),
             ("grade_level", f"cast(({k} + {yi}) % 13 as int)"),
             ("school_name", f"concat('School ', {_s('c_nationkey % 7')})"),
             # no comma in the name for k % 19 = 0
@@ -97,8 +98,6 @@ def _roster_branch(yi: int, year: str) -> Branch:
             ("science_teacher", f"concat('Science Teacher ', {_s('c_nationkey % 6')})"),
             ("history_teacher", f"concat('History Teacher ', {_s('c_nationkey % 5')})"),
         ],
-        # leavers: every tenth student is missing from each year
-        where=f"({k} + {yi}) % 10 <> 0",
     )
 
 
@@ -131,7 +130,7 @@ def _snake_columns() -> list[tuple[str, str]]:
 
 
 STATE_SNAKE = Adapter("state_results_snake", [Branch("orders", _snake_columns())])
-STATE_2324 = Adapter("state_results_2324", [Branch("orders", _snake_columns(), where="o_orderkey % 4 = 1")])
+STATE_2324 = Adapter("state_results_2324", [Branch("orders", _snake_columns())])
 
 
 # ---- state results, PascalCase dialect (25-26 reload log) ----------------------------------
@@ -241,14 +240,15 @@ def _cast_archive_columns() -> list[tuple[str, str]]:
     ]
 
 
-# k % 10 = 0 students left before 24-25 (kept from the archive); k % 10 = 1 are live (suppressed)
-SBAC_ARCHIVE = Adapter("sbac_archive", [Branch("customer", _sbac_archive_columns(), where="c_custkey % 10 IN (0, 1)")])
-CAST_ARCHIVE = Adapter("cast_archive", [Branch("customer", _cast_archive_columns(), where="c_custkey % 10 IN (0, 1)")])
+# students without live results are kept from the archive; live ones are suppressed
+SBAC_ARCHIVE = Adapter("sbac_archive", [Branch("customer", _sbac_archive_columns())])
+CAST_ARCHIVE = Adapter("cast_archive", [Branch("customer", _cast_archive_columns())])
 
 INTERVENTION = Adapter("intervention", [Branch("customer", [
-    ("student_number", "c_custkey + 100000"),
+    # null numbers match nobody
+    ("student_number", "CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE c_custkey + 100000 END"),
     ("intervention", f"concat('Group ', {_s('c_custkey % 4')})"),
-], where="c_custkey % 23 = 0")])
+])])
 
 
 # ---- assessment feeds for the unified table -------------------------------------------------
@@ -336,7 +336,7 @@ FEEDS = {
     "feed_interim_2": Adapter("feed_interim_2", [Branch("orders", _order_feed("CERS"), where="o_orderstatus = 'F'")]),
     "feed_interim_3": Adapter("feed_interim_3", [Branch("orders", _order_feed("illuminate"), where="o_orderstatus = 'P'")]),
     "feed_pear_summaries": Adapter("feed_pear_summaries", [Branch("orders", [c for c in _order_feed("pear") if c[0] != "unit_labels"], where="o_orderstatus = 'O'")]),
-    "feed_pear_responses": Adapter("feed_pear_responses", [Branch("lineitem", _LINE_FEED, where="l_returnflag = 'N'")]),
+    "feed_pear_responses": Adapter("feed_pear_responses", [Branch("lineitem", _LINE_FEED)]),
 }
 
 
@@ -449,7 +449,7 @@ IXL_ARCHIVE = Adapter("ixl_archive", [Branch("orders", [
     ("score", "cast(o_orderkey % 100 as bigint)"),
     ("subject", "CASE WHEN (o_orderkey % 45) % 2 = 0 THEN 'math' ELSE 'ela' END"),
     ("curriculum", "'Core'"),
-], where="o_orderkey % 3 = 0")])
+])])
 
 
 # ---- assignment updates, stored grades ----------------------------------------------------
@@ -477,7 +477,7 @@ STORED_GRADES = Adapter("stored_grades", [Branch("orders", [
 ROSTER_SNAPSHOTS = Adapter("roster_snapshots", [Branch("orders", [
     ("partitiontime", "cast(concat(" + _s("year(o_orderdate)") + ", '-01-01') as date)"),
     ("student_number", "o_custkey + 100000"),
-], where="o_orderstatus = 'F'")])
+])])
 COURSE_CATEGORY = Adapter("course_category", [Branch("part", [
     ("course_name", f"concat('Course ', {_s('p_partkey % 30')})"),
     ("grade_level", _s("p_partkey % 13")),
