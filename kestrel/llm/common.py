@@ -215,6 +215,11 @@ def narrowed(df: DataFrame, id_col: str, keys: DataFrame, bits: int = 23) -> Dat
     return split_by_keys(df, id_col, keys, bits)[0]
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, so that it can be cogrouped with a table it shares columns with."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def is_local(uri: str) -> bool:
     return urlparse(uri).scheme in ("", "file")
 
