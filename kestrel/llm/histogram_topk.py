@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import renewed, stage
 
-#: scores are clipped to this size, so that sums of two of them fit 64 bits
-CLIP = (1 << 62) - 1
+#: scores are clipped to this size, a double, so that sums of two of them fit 64 bits
+CLIP = (1 << 62) - 512
 #: whole numbers up to this size are exact as doubles
 EXACT = 1 << 53
 _STRIP = 1 << 20  # scores handled at a time in a task
