@@ -16,8 +16,9 @@ from kestrel.functions.columns import (
     school_year_from_roster_year, split_part, trimmed, utc_date,
 )
 from kestrel.functions.rules import elpac_track, elpi_level, elpi_level_rank, grade_band
+from kestrel.operators.hot_keys import hot_key_join
 from kestrel.operators.joins import (
-    anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay, equi_join,
+    anti_any_key, band_join, conditional_key_join, full_outer_null_safe, overlay,
 )
 from kestrel.operators.rollup import subgroup_counts as _subgroup_counts
 from kestrel.operators.stack import union_distinct
@@ -64,8 +65,13 @@ def overlay_archive(inputs: Inputs) -> DataFrame:
 
 
 def conditional_key_join_query(inputs: Inputs, exception_ids: list[int] | None = None) -> DataFrame:
-    """Every ELPAC result ⟕ prior-year ELPAC results, keyed by state id for the exception list, else by number."""
-    log = inputs["state_results_pascal"].where(norm("Subject").contains("elpac"))
+    """Latest ELPAC results ⟕ prior-year ELPAC results, keyed by state id for the exception list, else by number.
+
+    The log is reduced to the latest row per (student number, test) first, as the growth model does: a number that
+    stands for many unknown students (0) then has one row per test, so the matches grow with the prior rows and not
+    with the product of both sides.
+    """
+    log = latest_reload(inputs["state_results_pascal"].where(norm("Subject").contains("elpac")))
     cur = log.select(
         F.col("StudentIdentifier").alias("studentidentifier"), "student_number",
         F.col("AssessmentName").alias("assessmentname"), "file_name",
@@ -119,7 +125,7 @@ def roster_right_join(inputs: Inputs) -> DataFrame:
         "student_number", "assessmentname", "scalescore", "scalescoreachievementlevel")
     roster = inputs["roster"].select(F.col("student_number").alias("st_student_number"), "year", "grade_level",
                                      "school_name")
-    return equi_join(roster, scores, [("st_student_number", "student_number")], "left")
+    return hot_key_join(roster, scores, [("st_student_number", "student_number")], "left")
 
 
 # ---- A6, G4/G5, G7, G9: scans and aggregates ---------------------------------------------------------
