@@ -4,8 +4,8 @@
                        of hashing them all to one shuffle partition (a hot NULL group would land in
                        one task) each gets a bucket 1..N from a hash of its row, while matchable rows
                        carry bucket 0 on both sides.  Same rows, one scan, no hot partition.
-* ``full_outer_null_safe`` — ``FULL OUTER JOIN`` with both sides salted (AQE does not split skewed
-                       full outer joins).
+* ``full_outer_null_safe`` — ``FULL OUTER JOIN`` whose NULL and hot keys are split on both sides (AQE
+                       does not split skewed full outer joins); see ``hot_keys``.
 * ``anti_any_key``   — keep left rows matching the right side on *none* of several keys
                        (``ON a.k1 = b.k1 OR a.k2 = b.k2 ... WHERE b IS NULL``).  An OR condition
                        plans as a nested-loop join; chained ``left_anti`` equi-joins on the
@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.hot_keys import hot_key_join
+
 #: NULL-key rows are spread over this many hash buckets (per join)
 NULL_KEY_BUCKETS = 64
 _LS, _RS = "__kestrel_lsalt", "__kestrel_rsalt"
@@ -63,9 +65,10 @@ def equi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return out.drop(_LS) if how in ("left_anti", "left_semi") else out.drop(_LS, _RS)
 
 
-def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``left FULL OUTER JOIN right ON left_key = right_key``; NULL keys never pair and are spread, not piled up."""
-    return equi_join(left, right, [(left_key, right_key)], "full")
+def full_outer_null_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
+                         left_sample: DataFrame | None = None, right_sample: DataFrame | None = None) -> DataFrame:
+    """``left FULL OUTER JOIN right ON left_key = right_key``; NULL keys never pair and are spread, hot ids are split."""
+    return hot_key_join(left, right, [(left_key, right_key)], "full", left_sample=left_sample, right_sample=right_sample)
 
 
 def anti_any_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -102,7 +105,8 @@ def conditional_key_join(
     """Join ``(l.id = r.id AND l.id IN exceptions) OR (l.id NOT IN exceptions AND l.number = r.number)``.
 
     Three-valued logic is kept: a NULL ``left_id`` satisfies neither branch.  Each right row is
-    exploded (one scan) into its key under its number and, only for exception ids, under its id.
+    exploded (one scan) into its key under its number and, only for exception ids, under its id.  Numbers
+    that many rows share (0 = unknown) are split on both sides (``hot_key_join``).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -125,7 +129,7 @@ def conditional_key_join(
         .drop("__kestrel_rkey")
     )
     on = [("__kestrel_kind", "__kestrel_rkind"), ("__kestrel_val", "__kestrel_rval"), *also_on]
-    return equi_join(l2, r2, on, how).drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
+    return hot_key_join(l2, r2, on, how).drop("__kestrel_kind", "__kestrel_val", "__kestrel_rkind", "__kestrel_rval")
 
 
 def band_join(

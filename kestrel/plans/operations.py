@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.rules import normalized_grade
 from kestrel.operators.dedupe import keep_best
+from kestrel.operators.hot_keys import hot_key_join
 from kestrel.operators.stack import stack_tagged, union_distinct
 from kestrel.sources.registry import Inputs
 
@@ -47,7 +48,9 @@ def completed_registrations(inputs: Inputs) -> DataFrame:
 def ixl_scores(inputs: Inputs, year: str = "24-25") -> DataFrame:
     """Live scores joined to their skill (name + subject), plus the archive; distinct rows."""
     s, n = inputs["ixl_scores"], inputs["ixl_skill_names"]
-    live = s.join(n, ["skill_name", "subject"], "inner").select(
+    skills = n.select(*[F.col(c).alias(f"n_{c}" if c in ("skill_name", "subject") else c) for c in n.columns])
+    # few skills, many scores: a skill's scores are split over tasks
+    live = hot_key_join(s, skills, [("skill_name", "n_skill_name"), ("subject", "n_subject")], "inner").select(
         "local_student_id", "skill_name", "date_assigned", "score", "subject", "curriculum", F.lit(year).alias("year")
     )
     archive = inputs["ixl_archive"].select(
@@ -65,16 +68,14 @@ def grade_audit(inputs: Inputs) -> DataFrame:
     latest = inputs["roster_snapshots"].select(F.max("partitiontime")).scalar()
     sg = inputs["stored_grades"].where(F.col("partitiontime") == latest)
     cc = inputs["course_category"]
-    out = sg.join(
-        cc.select(F.col("course_name").alias("cc_course"), F.col("grade_level").cast("string").alias("cc_grade"), "category"),
-        (F.col("course_name") == F.col("cc_course")) & (F.col("grade_level").cast("string") == F.col("cc_grade")),
-        "inner",
-    ).drop("cc_course", "cc_grade")
+    courses = cc.select(F.col("course_name").alias("cc_course"), F.col("grade_level").cast("string").alias("cc_grade"), "category")
+    out = hot_key_join(sg.withColumn("__grade", F.col("grade_level").cast("string")), courses,
+                       [("course_name", "cc_course"), ("__grade", "cc_grade")], "inner").drop("cc_course", "cc_grade", "__grade")
     names = inputs["teacher_aliases"].select(
         F.concat(F.col("last_name"), F.lit(", "), F.col("first_name")).alias("placeholder"),
         F.col("teacher_name").alias("clean_name"),
     )
-    joined = out.join(names, out["teacher_name"] == names["placeholder"], "left")
+    joined = hot_key_join(out, names, [("teacher_name", "placeholder")], "left", left_sample=sg)
     rest = [c for c in out.columns if c != "teacher_name"]
     return joined.select(
         F.coalesce(F.col("clean_name"), F.col("teacher_name")).alias("teacher_name"),

@@ -17,6 +17,7 @@ from kestrel.functions.columns import norm, qcol, safe_double, trimmed, typed_nu
 from kestrel.functions.rules import (
     advanced_elpi, cast_teacher, elpac_track, elpi_growth_category, elpi_level, elpi_level_rank, grade_band,
 )
+from kestrel.operators.hot_keys import hot_key_join
 from kestrel.operators.joins import band_join, conditional_key_join, equi_join, full_outer_null_safe, overlay
 from kestrel.operators.stack import union_distinct
 from kestrel.plans.reloads import latest_reload
@@ -33,11 +34,14 @@ def _roster(inputs: Inputs, year: str, extra: list[str]) -> DataFrame:
     return r.select(F.col("student_number").alias("st_student_number"), *ROSTER_FIELDS, *extra)
 
 
-def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int]) -> DataFrame:
-    """roster LEFT JOIN scores ON number (the source's RIGHT JOIN), tested grades only."""
+def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int], score_numbers: DataFrame | None = None) -> DataFrame:
+    """roster LEFT JOIN scores ON number (the source's RIGHT JOIN), tested grades only.
+
+    The score side may hold a hot number (0 = unknown), which AQE cannot split in a left join.  ``score_numbers``
+    stands for the scores in the sketch of hot numbers: numbers that all occur in ``scores``.
+    """
     r = roster.where(F.col("grade_level").isin(grades))
-    # the score side may hold a hot number (e.g. 0 = unknown) that AQE cannot split in a left join
-    return equi_join(r, scores, [("st_student_number", "student_number")], "left")
+    return hot_key_join(r, scores, [("st_student_number", "student_number")], "left", left_sample=roster, right_sample=score_numbers)
 
 
 # ---- CAST ------------------------------------------------------------------------------------------
@@ -128,11 +132,14 @@ def _subject_scores(df: DataFrame, subject: str, *, sid: str, name: str, level:
     )
 
 
-def _ela_math_full_join(ela: DataFrame, math: DataFrame) -> DataFrame:
-    """ELA FULL OUTER JOIN Math on state id; NULL ids never match, so each stays its own row."""
+def _ela_math_full_join(ela: DataFrame, math: DataFrame, ela_ids: DataFrame | None = None, math_ids: DataFrame | None = None) -> DataFrame:
+    """ELA FULL OUTER JOIN Math on state id; NULL ids never match, so each stays its own row.
+
+    ``ela_ids`` (e_sid) and ``math_ids`` (m_sid) stand for the two sides in the sketch of hot ids.
+    """
     e = ela.withColumnRenamed("studentidentifier", "e_sid").withColumnRenamed("student_number", "e_sn")
     m = math.withColumnRenamed("studentidentifier", "m_sid").withColumnRenamed("student_number", "m_sn")
-    j = full_outer_null_safe(e, m, "e_sid", "m_sid")
+    j = full_outer_null_safe(e, m, "e_sid", "m_sid", left_sample=ela_ids, right_sample=math_ids)
     rest = [c for c in ela.columns if c not in ("studentidentifier", "student_number")] + \
            [c for c in math.columns if c not in ("studentidentifier", "student_number")]
     return j.select(
@@ -157,8 +164,10 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     math = _subject_scores(summative.where(F.col("subject") == "Math"), "math", sid="studentidentifier",
                            name="assessmentname", level="scalescoreachievementlevel", score="scalescore",
                            lexile="lexilemeasure", domains=[(d, d) for d in MATH_DOMAINS]).distinct()
+    ids_of = lambda df, subject, name: df.where(
+        (F.col("assessmenttype") == "Summative") & (F.col("subject") == subject)).select(F.col("studentidentifier").alias(name))
     # read by the 24-25 rows and by the 25-26 prior-year lookup
-    joined = _ela_math_full_join(ela, math)
+    joined = _ela_math_full_join(ela, math, ids_of(snake, "ELA", "e_sid"), ids_of(snake, "Math", "m_sid"))
 
     # prior year of 24-25: the 23-24 file, ELA ⟗ Math on state id
     e23, m23 = _snake_pair(
@@ -170,14 +179,17 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     )
     e23 = e23.select(F.col("studentidentifier").alias("e_sid"), "ela_level", "ela_dfs", F.col("proficiency").alias("e_prof"))
     m23 = m23.select(F.col("studentidentifier").alias("m_sid"), "math_level", "math_dfs", F.col("proficiency").alias("m_prof"))
-    prior_2324 = full_outer_null_safe(e23, m23, "e_sid", "m_sid").select(
+    ids_2324 = {c: ids_of(s2324, subject, c) for subject, c in (("ELA", "e_sid"), ("Math", "m_sid"))}
+    prior_2324 = full_outer_null_safe(e23, m23, "e_sid", "m_sid", left_sample=ids_2324["e_sid"], right_sample=ids_2324["m_sid"]).select(
         F.coalesce("e_sid", "m_sid").alias("p_sid"),
         F.col("ela_level").alias(PRIOR[0]), F.col("ela_dfs").alias(PRIOR[1]),
         F.col("math_level").alias(PRIOR[2]), F.col("math_dfs").alias(PRIOR[3]),
         F.col("e_prof").alias(PRIOR[4]), F.col("m_prof").alias(PRIOR[5]),
     )
-    # several prior rows per state id are possible (ELA x Math pairs): a hot id is salted
-    stacked_2425 = equi_join(joined, prior_2324, [("studentidentifier", "p_sid")], "left").drop("p_sid")
+    # several prior rows per state id are possible (ELA x Math pairs): a hot id is split on both sides
+    scores_2425 = hot_key_join(
+        joined, prior_2324, [("studentidentifier", "p_sid")], "left", left_sample=ids_of(snake, "ELA", "studentidentifier"),
+        right_sample=ids_2324["e_sid"].union(ids_2324["m_sid"]).withColumnRenamed("e_sid", "p_sid")).drop("p_sid")
 
     # prior year of 25-26: the 24-25 scores, maxed per student number column by column
     prior_2425 = joined.where(F.col("student_number").isNotNull()).groupBy(
@@ -196,7 +208,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     math26 = _subject_scores(latest_reload(summ26.where(norm("Subject") == "math")), "math", sid="StudentIdentifier",
                              name="AssessmentName", level="ScaleScoreAchievementLevel", score="ScaleScore",
                              lexile="LexileMeasure", domains=list(zip(PASCAL_MATH, MATH_DOMAINS)))
-    stacked_2526 = _ela_math_full_join(ela26, math26)
+    scores_2526 = _ela_math_full_join(ela26, math26)
     sid_lookup = log.where(F.col("student_number").isNotNull()).groupBy(
         F.col("student_number").alias("l_number")).agg(F.max("StudentIdentifier").alias("l_sid"))
     intervention = inputs["intervention"].select(F.col("student_number").alias("i_number"), "intervention")
@@ -215,14 +227,15 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         return j.select([cols[c].alias(c) for c in SBAC_COLUMNS])
 
     r2425 = _roster(inputs, "24-25", teachers)
-    j25 = _roster_join(r2425, stacked_2425, SBAC_GRADES)
+    # every number of an ELA row comes through the joins above, and every number of the log through its latest rows
+    j25 = _roster_join(r2425, scores_2425, SBAC_GRADES, summative.where(F.col("subject") == "ELA").select("student_number"))
     # the intervention lookup is not unique per student (kept as in the source)
-    j25 = equi_join(j25, intervention, [("st_student_number", "i_number")], "left")
+    j25 = hot_key_join(j25, intervention, [("st_student_number", "i_number")], "left", left_sample=r2425)
     # read by the union and by the archive overlay
     live_2425 = out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention"))
 
     r2526 = _roster(inputs, "25-26", teachers)
-    j26 = _roster_join(r2526, stacked_2526, SBAC_GRADES)
+    j26 = _roster_join(r2526, scores_2526, SBAC_GRADES, summ26.where(norm("Subject") == "ela").select("student_number"))
     j26 = j26.join(sid_lookup, j26["st_student_number"] == sid_lookup["l_number"], "left")
     p = prior_2425.select(F.col("p_number"), *[F.col(c).alias(f"p_{c}") for c in PRIOR])
     j26 = j26.join(p, j26["st_student_number"] == p["p_number"], "left")
