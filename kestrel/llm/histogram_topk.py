@@ -40,6 +40,7 @@ def _quantised(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             keep, vectors, norms, tops = [], [], [], []
             with np.errstate(over="ignore", invalid="ignore"):
                 floors = np.floor(values * scale)
+                squares = np.square(floors)
             for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
                 part = floors[a:b]
                 if not np.isfinite(part).all():  # a null component is read as NaN
@@ -47,7 +48,7 @@ def _quantised(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 top = float(np.abs(part).max(initial=0))
                 keep.append(i)
                 vectors.append(part.astype("<i4" if top < 1 << 31 else "<f8").tobytes())
-                norms.append(float(np.sqrt(np.square(part).sum())))
+                norms.append(float(np.sqrt(squares[a:b].sum())))
                 tops.append(top)
             rows = batch.select(["row", "block", "id", "is_query"]).take(pa.array(keep, pa.int64()))
             sizes = (offsets[1:] - offsets[:-1])[keep]
@@ -159,7 +160,7 @@ def exact_top_k(vectors: DataFrame, *, is_query: Column, id_col: str = "vec_id",
     if not total["queries"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = total["size"]
-    exact = total["top"] ** 2 * max(1, width) < EXACT
+    exact = total["top"] * total["top"] * max(1, width) < EXACT
     query_blocks = -(-total["queries"] // block_rows)
 
     def reach(norm):  # no score of the query is larger: its norm times the largest one
