@@ -11,6 +11,8 @@ The dialect differs from Spark defaults in a few places that matter for keys and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,8 +114,8 @@ def utc_date(c: str | Column) -> Column:
 
 
 def split_part(c: str | Column, delim: str, index: int, *, safe: bool) -> Column:
-    """``SPLIT(x, d)[OFFSET(i)]`` (strict) or ``[SAFE_OFFSET(i)]`` (NULL when absent)."""
-    parts = F.split(col(c), delim, -1)
+    """``SPLIT(x, d)[OFFSET(i)]`` (strict) or ``[SAFE_OFFSET(i)]`` (NULL when absent); the delimiter is plain text, no pattern."""
+    parts = F.split(col(c), re.escape(delim), -1)
     return F.get(parts, index) if safe else parts[index]
 
 

@@ -10,6 +10,7 @@ instead of all of its rows, so skew in the key does not pile up in one reducer.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,19 @@ def keep_best(
     return kept if rank_column else kept.drop(rn)
 
 
+def keep_best_by_reference(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], reference: Sequence[str]) -> DataFrame:
+    """``keep_best`` that reads only keys, order columns and the ``reference`` of a row to choose the winners.
+
+    ``reference`` names columns that tell the rows of ``df`` apart (the file and the place of a row in it); of rows
+    that tie, the last reference wins.  The winners' other columns are fetched by a semi join, so the window sorts
+    narrow rows, and a column that nobody selects afterwards is never read.  ``reference`` is dropped.
+    """
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order, *[F.col(f"`{r}`").desc_nulls_last() for r in reference])
+    winners = df.withColumn("__kestrel_rn", F.row_number().over(window)).where("__kestrel_rn = 1").select(*[F.col(f"`{r}`").alias(f"__kestrel_ref_{i}") for i, r in enumerate(reference)])
+    same = reduce(lambda a, b: a & b, [F.col(f"`{r}`") == F.col(f"__kestrel_ref_{i}") for i, r in enumerate(reference)])
+    return df.join(winners, same, "left_semi").drop(*reference)
+
+
 def all_columns_tiebreak(df: DataFrame, exclude: Sequence[str] = ()) -> list[Column]:
     """Total order over the remaining columns (ascending, nulls first) for deterministic ties."""
     return [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c not in set(exclude)]

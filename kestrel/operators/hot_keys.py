@@ -3,7 +3,8 @@
 A preserved side cannot be split by the engine at run time when the *other* side is the skewed one, and a
 full outer join cannot be split at all.  ``hot_key_join`` splits both sides by one plan, whatever the sizes:
 
-1. ``heavy_hitters`` sketches the keys of a side (``approx_top_k``: one row, at most ``HOT_ITEMS`` keys).
+1. ``heavy_hitters`` sketches the keys of a side (``approx_top_k``: one row, at most ``HOT_ITEMS`` keys); the
+   row is a scalar subquery, so nothing is collected or joined for it.
 2. A key that holds more than one task's share of the left rows gets ``a`` > 1 left salts, of the right rows
    ``b`` > 1 right salts; every other key has one of each.
 3. A left row draws its left salt from a hash of the row and is copied once for each of the key's ``b`` right
@@ -29,7 +30,7 @@ HOT_ITEMS = 256
 HOT_TRACKED = 16384
 #: NULL-key rows are spread over this many buckets
 NULL_BUCKETS = 64
-_KEY, _A, _B, _SALT, _COPIES, _HERE = (f"__kestrel_hot_{x}" for x in ("key", "a", "b", "salt", "copies", "here"))
+_KEY, _OTHER, _COPY, _CELL, _COPIED = (f"__kestrel_hot_{x}" for x in ("key", "other", "copy", "cell", "copied"))
 
 
 def key_text(keys: Sequence[Column]) -> Column:
@@ -40,13 +41,15 @@ def key_text(keys: Sequence[Column]) -> Column:
     return F.when(~any_null, F.to_json(F.struct(*[k.cast("string").alias(f"k{i}") for i, k in enumerate(keys)])))
 
 
-def heavy_hitters(df: DataFrame, keys: Sequence[str], tasks: int) -> DataFrame:
-    """(key text, share of the rows) of the keys that hold more rows than one of ``tasks`` equal parts: at most ``HOT_ITEMS``."""
+def heavy_hitters(df: DataFrame, keys: Sequence[str], tasks: int, salts: int) -> DataFrame:
+    """One row with ``fans``: key text -> number of salts, for the keys that hold more rows than one of ``tasks`` equal parts.
+
+    At most ``HOT_ITEMS`` keys, whatever the size of ``df``; a key's salts are its share of ``salts``.
+    """
     text = key_text([F.col(f"`{k}`") for k in keys])
-    top = df.select(text.alias(_KEY)).agg(
-        F.expr(f"approx_top_k({_KEY}, {HOT_ITEMS}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"))
-    return top.select(F.explode("top").alias("t"), "n").select(F.col("t.item").alias(_KEY), (F.col("t.count") / F.col("n")).alias("share")).where(
-        F.col(_KEY).isNotNull() & (F.col("share") * tasks > 1))
+    top = df.select(text.alias(_KEY)).agg(F.expr(f"approx_top_k({_KEY}, {HOT_ITEMS}, {HOT_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"))
+    return top.select(F.expr(f"map_from_entries(transform(filter(top, t -> t.item IS NOT NULL AND t.count * {tasks} > n), "
+                             f"t -> struct(t.item, cast(ceil(t.count * {salts} / n) AS bigint))))").alias("fans"))
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -54,21 +57,32 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
 
 
-def _dealt(df: DataFrame, keys: Sequence[str], hot: DataFrame, own: str, other: str, own_first: bool) -> DataFrame:
-    """``df`` with its grid cell: the own salt drawn by hash, one copy for each salt of the other side."""
-    text = key_text([F.col(f"`{k}`") for k in keys])
-    marked = df.withColumn(_KEY, text).withColumn(_SALT, _row_hash(df)).join(F.broadcast(hot), _KEY, "left")
-    mine = F.pmod(F.col(_SALT), F.coalesce(F.col(own), F.lit(1)).cast("bigint"))
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other), F.lit(1)).cast("bigint") - 1))
-    cell = [F.lit(1 << 31).cast("bigint") * mine + F.col(_COPIES), F.lit(1 << 31).cast("bigint") * F.col(_COPIES) + mine][not own_first]
-    null_bucket = -1 - F.pmod(F.col(_SALT), F.lit(NULL_BUCKETS).cast("bigint"))
-    return marked.withColumn(_COPIES, copies).withColumn(_SALT, F.when(F.col(_KEY).isNull(), null_bucket).otherwise(cell))
+def _dealt(df: DataFrame, keys: Sequence[str], own: Column | None, other: Column | None, left: bool) -> DataFrame:
+    """``df`` with its grid cell: the own salt drawn by hash, one copy for each salt of the other side (None: no hot keys there)."""
+    p = "_l" if left else "_r"
+    key, one = F.col(_KEY), F.lit(1).cast("bigint")
+    fan = lambda fans: one if fans is None else F.coalesce(F.try_element_at(fans, key), one)
+    hashed, cells = _row_hash(df), F.lit(1 << 31).cast("bigint")  # most rows need no hash
+    mine = F.when(key.isNull(), -1 - F.pmod(hashed, F.lit(NULL_BUCKETS).cast("bigint")))
+    if own is not None:
+        mine = mine.when(fan(own) > 1, F.pmod(hashed, fan(own)) * (cells if left else 1))
+    mine = mine.otherwise(F.pmod(F.length(key).cast("bigint"), one))  # 0, but no literal: it has to stay a join key
+    out = df.withColumn(_KEY, key_text([F.col(f"`{k}`") for k in keys])).withColumns({_CELL + p: mine, _OTHER: fan(other)}).drop(_KEY)
+    out = out.withColumn(_COPIED + p, F.col(_OTHER) > 1)
+    if other is not None:
+        out = out.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(_OTHER) - 1)))
+        out = out.withColumn(_CELL + p, F.col(_CELL + p) + F.col(_COPY) * (F.lit(1) if left else cells)).drop(_COPY)
+    return out.drop(_OTHER)
 
 
 def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str, *,
-                 left_sample: DataFrame | None = None, right_sample: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+                 left_sample: DataFrame | None = None, right_sample: DataFrame | None = None, sides: str | None = None,
+                 tasks: int | None = None) -> DataFrame:
     """``left JOIN right ON l.a = r.b AND ...`` (``how``: inner, left, full); column names of the two sides must differ.
 
+    ``sides`` ("left", "right", "both") are the sides whose hot keys are split.  A left join splits those of the right
+    side, since the engine itself splits a preserved side at run time; the other joins split both.
+
     ``left_sample`` / ``right_sample`` are frames to sketch instead of the sides themselves, where a side is dear to
     compute twice: they need the side's key columns, and every key in them must occur in the side.  ``tasks`` is the
     number of tasks to spread over (the session's shuffle partitions).
@@ -78,18 +92,14 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
     tasks = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = tasks * max(4, min(16, 65536 // tasks))  # several salts a task, so that hashing them stays even
-    fan = F.ceil(F.col("share") * salts).cast("int")
-    hot_left = heavy_hitters(left if left_sample is None else left_sample, lkeys, tasks).select(_KEY, fan.alias(_A))
-    hot_right = heavy_hitters(right if right_sample is None else right_sample, rkeys, tasks).select(_KEY, fan.alias(_B))
-    hot = hot_left.unionByName(hot_right, allowMissingColumns=True).groupBy(_KEY).agg(F.max(_A).alias(_A), F.max(_B).alias(_B))
-    side = lambda df, p: df.select("*", F.lit(True).alias(_HERE + p)).withColumnsRenamed(
-        {c: c + p for c in (_A, _B, _SALT)}).drop(_KEY, _COPIES)
-    l2 = side(_dealt(left, lkeys, hot, _A, _B, True), "_l")
-    r2 = side(_dealt(right, rkeys, hot, _B, _A, False), "_r")
-    cond = reduce(lambda x, y: x & y, [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in on]) & (F.col(_SALT + "_l") == F.col(_SALT + "_r"))
+    sides = sides or ("right" if how == "left" else "both")
+    a = heavy_hitters(left if left_sample is None else left_sample, lkeys, tasks, salts).scalar() if sides != "right" else None
+    b = heavy_hitters(right if right_sample is None else right_sample, rkeys, tasks, salts).scalar() if sides != "left" else None
+    l2, r2 = _dealt(left, lkeys, a, b, True), _dealt(right, rkeys, b, a, False)
+    cond = reduce(lambda x, y: x & y, [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in on]) & (F.col(_CELL + "_l") == F.col(_CELL + "_r"))
     out = l2.join(r2, cond, how)
     if how in ("left", "full"):  # a copied left row has its partner in another cell
-        out = out.where(F.col(_HERE + "_r").isNotNull() | (F.coalesce(F.col(_B + "_l"), F.lit(1)) == 1))
+        out = out.where(F.col(_CELL + "_r").isNotNull() | ~F.col(_COPIED + "_l"))
     if how == "full":
-        out = out.where(F.col(_HERE + "_l").isNotNull() | (F.coalesce(F.col(_A + "_r"), F.lit(1)) == 1))
+        out = out.where(F.col(_CELL + "_l").isNotNull() | ~F.col(_COPIED + "_r"))
     return out.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]])

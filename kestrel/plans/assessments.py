@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.columns import canon_text, norm, safe_long, typed_null
 from kestrel.functions.rules import ica_curriculum, score_label_split
-from kestrel.operators.dedupe import all_columns_tiebreak, keep_best
+from kestrel.operators.dedupe import all_columns_tiebreak
 from kestrel.operators.stack import union_all
-from kestrel.plans.reloads import latest_reload
+from kestrel.plans.reloads import best_row, latest_reload
 from kestrel.sources.fixtures import ICA_MATH_11
 from kestrel.sources.registry import Inputs
 
@@ -147,7 +147,7 @@ def richest_diagnostic(diag: DataFrame) -> DataFrame:
     keyed = diag.withColumn("__key", F.col("local_student_id").cast("string"))
     order = [non_null_count(*[f"{t}_{m}" for m in ("composite_dibels", "ela_overall_relative_placement",
                                                  "math_overall_relative_placement")]).desc() for t in ("eoy", "moy", "boy")]
-    return keep_best(keyed, ["__key"], order, all_columns_tiebreak(diag)).drop("local_student_id")
+    return best_row(keyed, ["__key"], order, all_columns_tiebreak(diag)).drop("local_student_id")
 
 
 def verified_assessments(inputs: Inputs) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel.plans import alignment, assessments, enrollment, meals, operations, primitives, quality, state_testing
-from kestrel.session import configure
-from kestrel.sources.registry import load_inputs
+from kestrel.session import checkpoint_dir, configure
+from kestrel.sources.registry import load_inputs, register, unregister
+from kestrel.sources.sinks import as_table, as_view, read_table, run_sql, vacuum
 
 CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "pear_best_submission": (operations.pear_best_submission, ["assignment_updates"]),
@@ -99,14 +102,44 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def build(spark: SparkSession, name: str, sf_dir: str, table_root: str) -> DataFrame:
     """Materialise one model as the source project declares it: a table (overwrite) or a temp view."""
-    from kestrel.sources.sinks import as_table, as_view
-
-    df = runner(name)(spark, sf_dir)
     if name in TABLES:
         path = f"{table_root.rstrip('/')}/{name}"
-        as_table(df, path)
-        return as_view(spark.read.parquet(path), name)
-    return as_view(df, name)
+        as_table(runner(name)(spark, sf_dir), path)
+        return as_view(spark, name, lambda s: read_table(s, path))
+    return as_view(spark, name, lambda s: runner(name)(s, sf_dir))
+
+
+def grade_audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``grade_audit`` written as a table, replaced by itself (a table may read its own rows), and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/kestrel-tables/grade_audit-{uuid.uuid4().hex}"
+    build(spark, "grade_audit", sf_dir, path)
+    table = f"{path}/grade_audit"
+    as_table(read_table(spark, table), table)
+    vacuum(spark, table)
+    return read_table(spark, table)
+
+
+def enrollment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``enrollment_demographics`` as a view, read through SQL over its sources as they are."""
+    build(spark, "enrollment_demographics", sf_dir, "")
+    return run_sql(spark, "SELECT * FROM enrollment_demographics")
+
+
+def file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines under a logical name of their own, each with the file it came from; rows and keys per file."""
+    register("order_lines", f"{sf_dir.rstrip('/')}/lineitem.parquet", provenance_column="source_file")
+    try:
+        lines = load_inputs(spark, sf_dir, ["order_lines"])["order_lines"]
+    finally:
+        unregister("order_lines")
+    return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"), F.max("l_orderkey").alias("max_orderkey"),
+                                            F.countDistinct("l_shipmode").alias("ship_modes"))
+
+
+#: queries over the sources and sinks themselves
+SINK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (grade_audit_table, enrollment_view, file_provenance)
+}
 
 
 def build_all(spark: SparkSession, sf_dir: str, table_root: str, *, include_disabled: bool = False) -> list[str]:

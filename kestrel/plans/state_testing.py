@@ -41,7 +41,7 @@ def _roster_join(roster: DataFrame, scores: DataFrame, grades: list[int], score_
     stands for the scores in the sketch of hot numbers: numbers that all occur in ``scores``.
     """
     r = roster.where(F.col("grade_level").isin(grades))
-    return hot_key_join(r, scores, [("st_student_number", "student_number")], "left", left_sample=roster, right_sample=score_numbers)
+    return hot_key_join(r, scores, [("st_student_number", "student_number")], "left", right_sample=score_numbers)
 
 
 # ---- CAST ------------------------------------------------------------------------------------------
@@ -132,14 +132,19 @@ def _subject_scores(df: DataFrame, subject: str, *, sid: str, name: str, level:
     )
 
 
-def _ela_math_full_join(ela: DataFrame, math: DataFrame, ela_ids: DataFrame | None = None, math_ids: DataFrame | None = None) -> DataFrame:
+def _ela_math_full_join(ela: DataFrame, math: DataFrame, ela_ids: DataFrame | None = None, math_ids: DataFrame | None = None, *,
+                        split_hot: bool = True) -> DataFrame:
     """ELA FULL OUTER JOIN Math on state id; NULL ids never match, so each stays its own row.
 
-    ``ela_ids`` (e_sid) and ``math_ids`` (m_sid) stand for the two sides in the sketch of hot ids.
+    ``ela_ids`` (e_sid) and ``math_ids`` (m_sid) stand for the two sides in the sketch of hot ids; without
+    ``split_hot`` only NULL ids are spread.
     """
     e = ela.withColumnRenamed("studentidentifier", "e_sid").withColumnRenamed("student_number", "e_sn")
     m = math.withColumnRenamed("studentidentifier", "m_sid").withColumnRenamed("student_number", "m_sn")
-    j = full_outer_null_safe(e, m, "e_sid", "m_sid", left_sample=ela_ids, right_sample=math_ids)
+    if split_hot:
+        j = full_outer_null_safe(e, m, "e_sid", "m_sid", left_sample=ela_ids, right_sample=math_ids)
+    else:
+        j = equi_join(e, m, [("e_sid", "m_sid")], "full")
     rest = [c for c in ela.columns if c not in ("studentidentifier", "student_number")] + \
            [c for c in math.columns if c not in ("studentidentifier", "student_number")]
     return j.select(
@@ -188,8 +193,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     )
     # several prior rows per state id are possible (ELA x Math pairs): a hot id is split on both sides
     scores_2425 = hot_key_join(
-        joined, prior_2324, [("studentidentifier", "p_sid")], "left", left_sample=ids_of(snake, "ELA", "studentidentifier"),
-        right_sample=ids_2324["e_sid"].union(ids_2324["m_sid"]).withColumnRenamed("e_sid", "p_sid")).drop("p_sid")
+        joined, prior_2324, [("studentidentifier", "p_sid")], "left", right_sample=ids_2324["e_sid"].union(ids_2324["m_sid"]).withColumnRenamed("e_sid", "p_sid")).drop("p_sid")
 
     # prior year of 25-26: the 24-25 scores, maxed per student number column by column
     prior_2425 = joined.where(F.col("student_number").isNotNull()).groupBy(
@@ -208,7 +212,7 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
     math26 = _subject_scores(latest_reload(summ26.where(norm("Subject") == "math")), "math", sid="StudentIdentifier",
                              name="AssessmentName", level="ScaleScoreAchievementLevel", score="ScaleScore",
                              lexile="LexileMeasure", domains=list(zip(PASCAL_MATH, MATH_DOMAINS)))
-    scores_2526 = _ela_math_full_join(ela26, math26)
+    scores_2526 = _ela_math_full_join(ela26, math26, split_hot=False)  # one latest row per number and test
     sid_lookup = log.where(F.col("student_number").isNotNull()).groupBy(
         F.col("student_number").alias("l_number")).agg(F.max("StudentIdentifier").alias("l_sid"))
     intervention = inputs["intervention"].select(F.col("student_number").alias("i_number"), "intervention")
@@ -227,15 +231,16 @@ def sbac_tabular(inputs: Inputs) -> DataFrame:
         return j.select([cols[c].alias(c) for c in SBAC_COLUMNS])
 
     r2425 = _roster(inputs, "24-25", teachers)
-    # every number of an ELA row comes through the joins above, and every number of the log through its latest rows
+    # every number of an ELA row comes through the joins above
     j25 = _roster_join(r2425, scores_2425, SBAC_GRADES, summative.where(F.col("subject") == "ELA").select("student_number"))
     # the intervention lookup is not unique per student (kept as in the source)
-    j25 = hot_key_join(j25, intervention, [("st_student_number", "i_number")], "left", left_sample=r2425)
+    j25 = equi_join(j25, intervention, [("st_student_number", "i_number")], "left")
     # read by the union and by the archive overlay
     live_2425 = out(j25, F.col("studentidentifier"), F.col("student_number"), "", "24-25", F.col("intervention"))
 
     r2526 = _roster(inputs, "25-26", teachers)
-    j26 = _roster_join(r2526, scores_2526, SBAC_GRADES, summ26.where(norm("Subject") == "ela").select("student_number"))
+    # the latest rows have one row per number and test: no hot numbers
+    j26 = equi_join(r2526.where(F.col("grade_level").isin(SBAC_GRADES)), scores_2526, [("st_student_number", "student_number")], "left")
     j26 = j26.join(sid_lookup, j26["st_student_number"] == sid_lookup["l_number"], "left")
     p = prior_2425.select(F.col("p_number"), *[F.col(c).alias(f"p_{c}") for c in PRIOR])
     j26 = j26.join(p, j26["st_student_number"] == p["p_number"], "left")
