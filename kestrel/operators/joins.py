@@ -13,7 +13,8 @@
 * ``overlay``        — live rows win; archived rows only for entities the live side lacks.
 * ``conditional_key_join`` — left join whose key switches per row (an exception list joins on
                        one id, everyone else on another): computed (kind, value) key pair.
-* ``band_join``      — left join to a small lookup on an equality key plus ``x BETWEEN lo AND hi``.
+* ``band_join``      — left join to a lookup of any size on an equality key plus ``x BETWEEN lo AND hi``: an
+                       equi-join on the key and a cell of the value axis.
 """
 
 from __future__ import annotations
@@ -142,15 +143,30 @@ def band_join(
     low: str,
     high: str,
     prefix: str,
+    cell: float | None = None,
 ) -> DataFrame:
-    """Left join a small band table on ``band_key = left_band AND left_value BETWEEN low AND high``.
+    """Left join a band table on ``band_key = left_band AND left_value BETWEEN low AND high``.
 
-    ``left_band`` may be NULL for rows that must not look up a band (conditions of the
-    original ON clause on the left side): they keep their row with NULL band columns.  Spark
-    broadcasts the band table if its size allows.
+    The value axis is cut into cells of equal width; a band stands in every cell it touches and a row in the one
+    cell of its value, so band key and cell make an equi-join whatever the number of bands of a key, and each band
+    that holds the value is met once.  ``cell`` is the width, by default the mean length of a band (a scalar
+    subquery): then all bands together stand in at most twice as many cells as there are bands.  Bands may
+    overlap (one row each); a band with a NULL bound, or low > high, matches nothing.
+
+    ``left_band`` may be NULL for rows that must not look up a band (conditions of the original ON clause on the
+    left side): they keep their row with NULL band columns.  Spark broadcasts the band table if its size allows.
     """
-    b = bands.select([F.col(c).alias(f"{prefix}{c}") for c in bands.columns])
-    lb, lv = f"{prefix}__band", f"{prefix}__value"
-    l2 = left.withColumn(lb, left_band).withColumn(lv, left_value)
-    cond = (l2[lb] == b[f"{prefix}{band_key}"]) & l2[lv].between(b[f"{prefix}{low}"], b[f"{prefix}{high}"])
-    return l2.join(b, cond, "left").drop(lb, lv)
+    lo, hi = F.col(f"`{low}`").cast("double"), F.col(f"`{high}`").cast("double")
+    real = bands.where(lo <= hi)
+    if cell is None:
+        mean = real.select(F.avg(hi - lo).alias("mean")).scalar()
+        width = F.when(mean > 0, mean).otherwise(F.lit(1.0))
+    else:
+        width = F.lit(float(cell))
+    touched = F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))
+    b = real.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in bands.columns], touched.alias(f"{prefix}__cell"))
+    lb, lv, lc = f"{prefix}__band", f"{prefix}__value", f"{prefix}__at"
+    l2 = left.withColumn(lb, left_band).withColumn(lv, left_value).withColumn(lc, F.floor(F.col(lv).cast("double") / width))
+    cond = ((F.col(lb) == F.col(f"{prefix}{band_key}")) & (F.col(lc) == F.col(f"{prefix}__cell"))
+            & F.col(lv).between(F.col(f"{prefix}{low}"), F.col(f"{prefix}{high}")))
+    return l2.join(b, cond, "left").drop(lb, lv, lc, f"{prefix}__cell")

@@ -133,7 +133,7 @@ def file_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         unregister("order_lines")
     return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"), F.max("l_orderkey").alias("max_orderkey"),
-                                            F.countDistinct("l_shipmode").alias("ship_modes"))
+                                            F.countDistinct("l_suppkey").alias("suppliers"))
 
 
 #: queries over the sources and sinks themselves

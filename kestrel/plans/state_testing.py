@@ -266,6 +266,8 @@ ELPAC_DOMAINS = [("ELPAC: Oral Language Level", "elpac__oral_language_level"),
                  ("ELPAC: Written Language Level", "elpac__written_language_level"),
                  ("ELPAC: Listening", "elpac__listening"), ("ELPAC: Speaking", "elpac__speaking"),
                  ("ELPAC: Reading", "elpac__reading"), ("ELPAC: Writing", "elpac__writing")]
+#: width of a score cell in the cut-score lookup: about the length of a band
+CUT_CELL = 50.0
 ELPAC_COLUMNS = [
     "studentidentifier", "student_number", "lastfirst", "grade_level", "elastatus", "race", "school_name",
     "sped_identifier", "absenteeism_status", "hit_tutoring", "english_teacher", "year", "subject", "prev_year_subject",
@@ -319,11 +321,11 @@ def elpac_growth(inputs: Inputs, exceptions: dict[int, int] | None = None) -> Da
     is_elpac = F.col("elpac_track") == "elpac"
     j = band_join(j, cuts, left_band=F.when(is_elpac & level_2_3("scalescoreachievementlevel"),
                                             grade_band("grade_level", inputs["roster"].schema["grade_level"].dataType)),
-                  left_value=F.col("scalescore"), band_key="grade_band", low="min_score", high="max_score", prefix="cc_")
+                  left_value=F.col("scalescore"), band_key="grade_band", low="min_score", high="max_score", prefix="cc_", cell=CUT_CELL)
     prev_band = grade_band("prev_year_gradelevelwhenassessed", snake.schema["gradelevelwhenassessed"].dataType)
     j = band_join(j, cuts, left_band=F.when(is_elpac & level_2_3("prev_year_scalescoreachievementlevel"), prev_band),
                   left_value=F.col("prev_year_scalescore"), band_key="grade_band", low="min_score", high="max_score",
-                  prefix="pc_")
+                  prefix="pc_", cell=CUT_CELL)
     lvl = elpi_level("scalescoreachievementlevel", "elpac_track", "cc_level_code")
     plvl = elpi_level("prev_year_scalescoreachievementlevel", "elpac_track", "pc_level_code")
     j = j.withColumn("elpi_level", lvl).withColumn("prev_year_elpi_level", plvl)

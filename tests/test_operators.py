@@ -181,3 +181,35 @@ def test_equi_join_equals_plain_join_with_hot_keys(spark):
         plain = left.join(right, left.lk == right.rk, how)
         assert sorted(got.columns) == sorted(plain.columns)
         assert rows(got.select(plain.columns)) == rows(plain), how
+
+
+def test_band_join_of_many_overlapping_bands_equals_the_naive_join(spark):
+    rng = random.Random(13)
+    span = lambda: (lambda a: (a, a + rng.choice([0, 1, 3, 50, 4000])))(rng.randint(-5000, 5000))
+    bands = [(rng.choice(["K", "1"]), f"c{i}", *span()) for i in range(300)] + [("K", "none", None, 5), ("K", "turned", 9, 3)]
+    bands = spark.createDataFrame(bands, "k string, code string, lo long, hi long")
+    rows_ = [(i, rng.choice(["K", "1", "2", None]), rng.choice([None, float("nan"), float(rng.randint(-5200, 5200)), rng.uniform(-6, 6)])) for i in range(500)]
+    left = spark.createDataFrame(rows_, "id int, band string, v double")
+    naive = left.join(bands, (left.band == bands.k) & left.v.between(bands.lo, bands.hi), "left").select("id", "code")
+    for cell in (None, 7.5):
+        got = band_join(left, bands, left_band=F.col("band"), left_value=F.col("v"), band_key="k", low="lo", high="hi", prefix="b_", cell=cell)
+        assert got.columns == ["id", "band", "v", "b_k", "b_code", "b_lo", "b_hi"]
+        assert rows(got.select("id", "b_code")) == rows(naive)
+
+
+def test_band_join_of_a_large_band_table_is_a_merge_of_cells(spark):
+    bands = spark.range(300_000).selectExpr("'K' AS k", "id AS code", "id * 10 AS lo", "id * 10 + 9 AS hi")
+    left = spark.range(100_000).selectExpr("id", "'K' AS band", "cast(id * 31 AS double) AS v")
+    got = band_join(left, bands, left_band=F.col("band"), left_value=F.col("v"), band_key="k", low="lo", high="hi", prefix="b_")
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("b_code = floor(v / 10) OR (b_code IS NULL AND v >= 3000000)").count() == 100_000
+
+
+def test_enrollment_plans_two_scans(spark, sf_dir):
+    from kestrel.plans.enrollment import enrollment_demographics
+    from kestrel.sources.registry import load_inputs
+
+    inputs = load_inputs(spark, sf_dir, ["roster", "budget"])
+    one_year = {"roster": spark.createDataFrame(inputs["roster"].limit(300).collect(), inputs["roster"].schema).repartition(2), "budget": inputs["budget"]}
+    plan = enrollment_demographics(one_year, ordered=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 2  # the roster once, the budget once

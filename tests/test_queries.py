@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from kestrel.plans.catalog import CATALOG
+from kestrel.plans.catalog import CATALOG, SINK_QUERIES
 from tests.harness import compare, duck
 
-QUERIES = {n: entry.queries()[n] for n in CATALOG}
-ORACLES = {n: entry.oracle_sql()[n] for n in CATALOG}
+QUERIES = {n: entry.queries()[n] for n in [*CATALOG, *SINK_QUERIES]}
+ORACLES = {n: entry.oracle_sql()[n] for n in [*CATALOG, *SINK_QUERIES]}
 
 
 @pytest.fixture(scope="module")
