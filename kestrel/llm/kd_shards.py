@@ -5,8 +5,12 @@ whole table) at the weighted median, or at the share of the shards that go left,
 shard of about the target bytes.  Medians of all nodes of a level are found together: each round is one
 aggregation of sizes into bins of the interval in question, which returns bins, not rows, and the next
 round looks into the bin that holds the median.  Rows that tie in the dimension are ordered by a hash of
-the text, then by id, so equal texts lie side by side and large ties can still be cut.  The search stops
-when the cut is within ``tolerance`` of a shard, which bounds how unequal shards can be.
+the text, then by id, so large ties can still be cut.  The search stops when the cut is within
+``tolerance`` of a shard, which bounds how unequal shards can be.
+
+Rows of equal texts are one point of the tree, at the smallest of their values in each dimension, so no cut
+parts them and they share a shard.  A group of more than ``whole`` of a shard's bytes would make shards unequal:
+its rows are points of their own.
 
 Defined results: a null text has no bytes; a null id or metadata value counts as -1 in the order; rows that
 repeat an id are rows of their own; an empty table gives an empty result; other columns are ignored.
@@ -112,8 +116,17 @@ def _medians(rows: DataFrame, open_nodes: list[tuple[Node, _Search]], here: str,
                 s.lo, s.hi = lo, hi
 
 
+def _with_points(rows: DataFrame, columns: Sequence[str], shards: int, whole: float) -> DataFrame:
+    """Rows of one text get the smallest value of each of ``columns`` among them, unless the text is too large for that."""
+    limit = rows.select(F.sum("__w") * whole / shards).scalar()
+    groups = rows.groupBy(F.col("__text_sha").alias("__sha")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__w").alias("w"), *[F.min(c).alias(f"least{c}") for c in columns]).where((F.col("n") > 1) & (F.col("w") <= limit))
+    joined = rows.join(groups.drop("n", "w"), F.col("__text_sha") == F.col("__sha"), "left")  # texts that stand once have no partner
+    return stage(joined.withColumns({c: F.coalesce(f"least{c}", c) for c in columns}).select(*[c for c in rows.columns if c != "__text_sha"]), "kd-points")
+
+
 def kd_shards(docs: DataFrame, *, dims: Sequence[str], shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-              tolerance: float = 0.001) -> DataFrame:
+              tolerance: float = 0.001, whole: float = 0.5) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law (``bytes``), shard, slot, grown_shard (null)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     names = [f"__dim{i}" for i in range(len(dims))]
@@ -121,9 +134,9 @@ def kd_shards(docs: DataFrame, *, dims: Sequence[str], shards: int = 8, id_col:
         F.col(id_col).cast("bigint").alias(ID), order_number(docs, id_col).alias("__idn"),
         (F.octet_length(text) + 1).cast("bigint").alias("__w"), F.crc32(text.cast("binary")).alias("__crc"),
         F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).alias(_TIE),
-        *[order_number(docs, d).alias(n) for d, n in zip(dims, names)])
-    rows = stage(rows, "kd-rows")
+        *[order_number(docs, d).alias(n) for d, n in zip(dims, names)], F.unhex(F.sha2(text.cast("binary"), 256)).alias("__text_sha"))
     every = [*names, _TIE, "__idn"]
+    rows = _with_points(stage(rows, "kd-rows"), [*names, "__idn"], shards, whole)
     spread = [F.min(c).alias(f"lo{c}") for c in every] + [F.max(c).alias(f"hi{c}") for c in every]
     total = rows.agg(F.coalesce(F.sum("__w"), F.lit(0)).alias("w"), *spread).first()
     ranges = {c: (total[f"lo{c}"] or 0, total[f"hi{c}"] or 0) for c in every}

@@ -4,9 +4,9 @@ Layout (little-endian), one set of files per range of ids:
 
 * ``<name>.bin``  token ids one after another, ``uint16`` when the vocabulary fits, else ``uint32``
 * ``<name>.off``  ``int64`` offsets of each document within the ``.bin``, one more than documents
-* ``<name>.ids``  ``int64`` document ids in the same order (``NULL_ID`` stands for null)
+* ``<name>.ids``  ``int64`` document ids in the same order; the first ``n_null`` documents of a set have none
 
-A small index table holds one row per set of files; the global offset of a partition's first id is the
+A small index table holds one row per set of files (its path, type, documents, ``n_null`` and tokens); the global offset of a partition's first id is the
 prefix sum of the id counts of the partitions before it.  Every task writes files under names of its own
 and only the files named by the tasks that Spark committed are in the index, so a task that is retried
 or run twice does no harm.
@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import ID, ROW, TEXT, fresh_path, keyed_texts, map_array, open_output, stage, text_slices
 from kestrel.llm.word_bpe import encoder
 
-NULL_ID = -(1 << 63)
-_INDEX = "part int, path string, dtype string, n_docs long, n_tokens long"
+_INDEX = "part int, path string, dtype string, n_docs long, n_null long, n_tokens long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: documents read back per Arrow batch
 _BATCH_DOCS = 4096
@@ -55,10 +54,11 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer:
         dtype = "<u2" if max(enc.vocab_size - 1, end_id) < 1 << 16 else "<u4"
         part = TaskContext.get().partitionId()
         path = f"{out}/tokens-{part:06d}-{uuid.uuid4().hex}"
-        n_docs = n_tokens = 0
+        n_docs = n_null = n_tokens = 0
         files = None
         for batch in batches:
-            ids_col = batch.column(0).fill_null(NULL_ID).to_numpy()
+            n_null += batch.column(0).null_count  # nulls come first
+            ids_col = batch.column(0).fill_null(0).to_numpy()
             for first, texts in text_slices(batch.column(1)):
                 if files is None:
                     files = [open_output(f"{path}.{x}") for x in ("bin", "off", "ids")]
@@ -72,7 +72,7 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer:
             for f in files:
                 f.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [path], "dtype": [dtype],
-                                              "n_docs": [n_docs], "n_tokens": [n_tokens]})
+                                              "n_docs": [n_docs], "n_null": [n_null], "n_tokens": [n_tokens]})
 
     # a range shuffle without a count: small neighbouring ranges may be joined at run time, order is kept
     texts = keyed_texts(docs, id_col, text_col).repartitionByRange(F.col(ID).asc_nulls_first(), ROW)
@@ -100,7 +100,7 @@ def read_token_files(spark: SparkSession, index: DataFrame) -> DataFrame:
                     crc = [zlib.crc32(tokens[x:y].astype("<u4").tobytes()) for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
                     own = np.asarray(ids[a: a + len(crc)])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own, mask=own == NULL_ID), pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)),
+                        [pa.array(own, mask=np.arange(a, a + len(own)) < row["n_null"]), pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)),
                          pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, index.count())

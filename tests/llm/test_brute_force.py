@@ -381,3 +381,34 @@ def test_slices_hold_their_own_text():
         got += list(zip(part.to_pylist(), pc.ascii_lower(part).to_pylist(), pc.ascii_trim_whitespace(part).to_pylist()))
     lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
     assert got == [(t, lower(t), t.strip()) for t in (x or "" for x in texts)]
+
+
+def test_kd_shards_keep_equal_texts_together(spark):
+    import random
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 400))) for _ in range(700)]
+    texts += [t for t in texts[:60] for _ in range(rng.randint(1, 12))] + ["the same long text " * 40] * 400  # the last are more than a shard
+    rng.shuffle(texts)
+    rows = [(i, t, len(t), rng.choice(["en", "de", None]), f"s{i % 7}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, lang string, source string").repartition(4)
+    out = kd_shards.kd_shards(docs, dims=["n_chars", "doc_id", "lang", "source"], shards=8).collect()
+    assert len(out) == len(rows)
+    where, sizes = defaultdict(set), Counter()
+    for r in out:
+        where[texts[r["doc_id"]]].add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    assert {t[:19] for t, s in where.items() if len(s) > 1} == {"the same long text "}
+    assert max(sizes.values()) - min(sizes.values()) < 0.15 * sum(sizes.values()) / 8
+
+
+def test_kd_shards_of_whole_awkward_table(docs):
+    out = kd_shards.kd_shards(docs, dims=["n_chars", "doc_id", "lang", "source"], shards=4).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter((i, len((t or "").encode()) + 1) for i, t in ROWS)
+    assert {r["shard"] for r in out} <= {0, 1, 2, 3}
+
+
+def test_token_files_of_extreme_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (-(1 << 63), "c"), (0, "d e f"), (None, None), ((1 << 63) - 1, "")], "doc_id long, text string")
+    out = sorted(token_files.token_files(spark, docs, tokenizer=WORD_BPE, end_id=1).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in out] == [None, None, -(1 << 63), 0, (1 << 63) - 1]
