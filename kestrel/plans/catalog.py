@@ -35,7 +35,7 @@ CATALOG: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "sbac_tabular": (state_testing.sbac_tabular, ["state_results_snake", "state_results_2324", "state_results_pascal",
                                                   "roster", "intervention", "sbac_archive"]),
     "elpac_growth": (state_testing.elpac_growth, ["state_results_pascal", "state_results_snake", "roster", "cut_scores"]),
-    "align_and_stack_two_years": (alignment.align_and_stack_two_years, ["state_results_snake", "state_results_pascal"]),
+    "align_and_stack_two_years": (alignment.align_and_stack_two_years, ["state_results_2425_full", "state_results_2526_full"]),
     "roster_subject_assignment": (alignment.roster_subject_assignment, ["stored_grades", "roster_snapshots"]),
     "check_roster_source": (quality.roster_source_checks, ["roster"]),
     "check_state_results_source": (quality.state_results_source_checks, ["state_results_snake"]),
