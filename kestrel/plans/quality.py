@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import norm
 from kestrel.operators.checks import (
     RowCheck, accepted_range, accepted_values, duplicate_keys, missing_required_values, not_null, summarize,
 )
+from kestrel.operators.stack import union_all
 from kestrel.plans import alignment, meals, operations, state_testing
+from kestrel.session import checkpoint_dir
 from kestrel.sources.registry import Inputs
 
 ELIGIBILITY_CATEGORIES = ["Direct Certification", "Homeless", "Migrant", "Foster", "Meal Application"]
@@ -136,21 +142,78 @@ ROW_CHECKS = {
 }
 
 
+def checked_write(df: DataFrame, path: str, checks: list[RowCheck]) -> list[tuple[str, int]]:
+    """Write ``df`` to ``path`` and count the failing rows of each check on the way: (check name, failing rows).
+
+    The counts are metrics observed on the write itself, so no check costs a pass of its own.
+    """
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    counts = [F.count_if(F.coalesce(c.fails, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+    return [(c.name, seen.get[f"c{i}"]) for i, c in enumerate(checks)]
+
+
+def _years() -> list[RowCheck]:
+    return [not_null("year"), accepted_values("year", ["24-25", "25-26"])]
+
+
+@dataclass(frozen=True)
+class ModelChecks:
+    """What is checked of one model: row checks and unique keys under ``label``, duplicate grains under names of their own."""
+
+    model: Callable[[Inputs], DataFrame]
+    label: str
+    checks: Callable[[], list[RowCheck]] = list
+    unique: tuple[tuple[str, ...], ...] = ()
+    duplicates: tuple[tuple[str, tuple[str, ...], str], ...] = ()  # (check, keys, column that must be set)
+
+    def columns(self) -> list[str]:
+        named = [c.name.split(":", 1)[1] for c in self.checks()]
+        keys = [k for ks in self.unique for k in ks] + [k for _, ks, c in self.duplicates for k in (*ks, c)]
+        return list(dict.fromkeys([*named, *keys]))
+
+
+MODEL_CHECKS = [
+    ModelChecks(state_testing.cast_tabular, "check_state_testing_years.cast_tabular.", _years,
+                duplicates=(("check_cast_duplicates", ("year", "studentidentifier", "assessmentname"), "studentidentifier"),)),
+    ModelChecks(state_testing.sbac_tabular, "check_state_testing_years.sbac_tabular.", _years,
+                duplicates=(("check_sbac_duplicates", ("year", "studentidentifier"), "studentidentifier"),)),
+    ModelChecks(state_testing.elpac_growth, "", duplicates=(("check_elpac_duplicates", ("student_number", "elpac_track"), "student_number"),)),
+    ModelChecks(meals.meal_applications_best, "check_meals.meal_applications_best.", lambda: [not_null("student_id"), not_null("academic_year")],
+                unique=(("student_id", "academic_year"),)),
+    ModelChecks(meals.meal_coverage_roster, "check_meals.meal_coverage_roster.", lambda: [
+        not_null("student_id"), not_null("academic_year"), accepted_values("eligibility_category", ELIGIBILITY_CATEGORIES, where="eligibility_category IS NOT NULL")],
+        unique=(("student_id", "academic_year"),)),
+    ModelChecks(operations.ixl_scores, "check_ixl_scores.", lambda: [
+        not_null("local_student_id"), not_null("skill_name"), not_null("score"), accepted_range("score", 0, 100), not_null("subject"), not_null("curriculum")]),
+    ModelChecks(alignment.roster_subject_assignment, "check_roster_subjects.", lambda: [not_null("student_number"), not_null("course_name"), not_null("subject")]),
+]
+#: checks of the inputs themselves: one pass each
+SOURCE_SUMMARIES = {k: SUMMARY_CHECKS[k] for k in ("check_roster_source", "check_state_results_source", "check_participation_dates")}
+SOURCE_ROWS = {k: ROW_CHECKS[k] for k in ("check_school_coverage", "check_elpac_reload_duplicates", "check_reload_unusable_numbers")}
+
+
 def all_checks(inputs: Inputs) -> DataFrame:
     """Every declared check in one frame ``(check, failing_rows)``; zero everywhere means the run passes.
 
-    The CAST and SBAC views are each tested twice (year values, duplicate grain): one frame each serves both.
+    Each model is built once: its checked columns are written to the shared folder, row checks are counted on that
+    write, and key checks read the narrow table it leaves.
     """
-    from kestrel.operators.stack import union_all
-
-    cast_model = state_testing.cast_tabular(inputs)
-    sbac_model = state_testing.sbac_tabular(inputs)
-    summaries = dict(SUMMARY_CHECKS, check_state_testing_years=lambda i: state_testing_year_checks(i, cast_model, sbac_model))
-    rows = dict(ROW_CHECKS, check_cast_duplicates=lambda i: cast_duplicates(i, cast_model),
-                check_sbac_duplicates=lambda i: sbac_duplicates(i, sbac_model))
-    frames = [fn(inputs).select(F.concat(F.lit(f"{key}."), F.col("check")).alias("check"),
-                                F.col("failing_rows").cast("bigint").alias("failing_rows"))
-              for key, fn in summaries.items()]
-    frames += [fn(inputs).agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))
-               .select(F.lit(key).alias("check"), "failing_rows") for key, fn in rows.items()]
-    return union_all(frames)
+    spark = inputs["roster"].sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/kestrel-checks/{uuid.uuid4().hex}"
+    counted, frames = [], []
+    for i, m in enumerate(MODEL_CHECKS):
+        path = f"{root}/{i}"
+        narrow = m.model(inputs).select(m.columns())
+        counted += [(m.label + name, n) for name, n in checked_write(narrow, path, m.checks())]
+        written = spark.read.schema(narrow.schema).parquet(path)
+        for keys in m.unique:
+            repeated = duplicate_keys(written, keys).agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("failing_rows"))
+            frames.append(repeated.select(F.lit(f"{m.label}unique_combination:{'+'.join(keys)}").alias("check"), "failing_rows"))
+        for check, keys, set_column in m.duplicates:
+            groups = duplicate_keys(written, keys, where=F.col(set_column).isNotNull()).agg(F.count(F.lit(1)).alias("failing_rows"))
+            frames.append(groups.select(F.lit(check).alias("check"), "failing_rows"))
+    frames += [fn(inputs).select(F.concat(F.lit(f"{key}."), F.col("check")).alias("check"), F.col("failing_rows").cast("bigint").alias("failing_rows"))
+               for key, fn in SOURCE_SUMMARIES.items()]
+    frames += [fn(inputs).agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(key).alias("check"), "failing_rows") for key, fn in SOURCE_ROWS.items()]
+    return union_all([spark.createDataFrame(counted, "check string, failing_rows bigint"), *frames])

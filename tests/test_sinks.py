@@ -139,3 +139,23 @@ def test_split_part_takes_plain_delimiters(spark):
     df = spark.createDataFrame([("a.b|c,d",)], "x string")
     got = df.select(*[split_part("x", d, 1, safe=True).alias(f"d{i}") for i, d in enumerate([".", "|", ",", "\\", "b|c"])]).first()
     assert tuple(got) == ("b|c,d", "c,d", "d", None, ",d")
+
+
+def test_checks_ride_on_the_write(spark, tmp_path):
+    from kestrel.operators.checks import accepted_range, not_null
+    from kestrel.plans.quality import checked_write
+
+    df = spark.createDataFrame([(1, 5), (None, 700), (3, None)], "k int, score int")
+    path = str(tmp_path / "out")
+    assert checked_write(df, path, [not_null("k"), accepted_range("score", 0, 100)]) == [("not_null:k", 1), ("accepted_range:score", 1)]
+    assert spark.read.parquet(path).count() == 3
+    assert checked_write(df, str(tmp_path / "plain"), []) == []
+
+
+def test_every_check_is_in_the_whole_run(spark, sf_dir):
+    from kestrel.plans.catalog import runner
+    from kestrel.plans.quality import ROW_CHECKS, SUMMARY_CHECKS
+
+    found = {r.check for r in runner("check_all")(spark, sf_dir).collect()}
+    assert set(ROW_CHECKS) <= found
+    assert all(any(c.startswith(f"{key}.") for c in found) for key in SUMMARY_CHECKS)
