@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -215,6 +215,14 @@ def narrowed(df: DataFrame, id_col: str, keys: DataFrame, bits: int = 23) -> Dat
     return split_by_keys(df, id_col, keys, bits)[0]
 
 
+def fresh_name(taken: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to be none of ``taken`` (without regard to case)."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def renewed(df: DataFrame) -> DataFrame:
     """``df`` with columns of its own, so that it can be cogrouped with a table it shares columns with."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

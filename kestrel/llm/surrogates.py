@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, narrowed, split_by_keys, stage, text_slices
+from kestrel.llm.common import ID, ROW, TEXT, fresh_name, keyed_texts, narrowed, split_by_keys, stage, text_slices
 
 # --- detection -------------------------------------------------------------------------------------
 
@@ -462,17 +462,26 @@ def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text
 
 
 def with_surrogates(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text", attempts: int = 64) -> DataFrame:
-    """``docs`` with entities replaced in the text column, plus ``n_entities`` and ``kinds``."""
-    changed = surrogate_texts(docs, key=key, id_col=id_col, text_col=text_col, attempts=attempts)
+    """``docs`` with entities replaced in the text column, plus ``n_entities`` and ``kinds``.
+
+    Other columns, whatever their names, are passed through untouched; where ``docs`` has an ``n_entities`` or
+    ``kinds`` of its own, the added column has an underscore behind its name.
+    """
+    n_entities, kinds = (fresh_name(docs.columns, c) for c in ("n_entities", "kinds"))
+    own = [f"own_{i}" for i in range(len(docs.columns))]  # so the callers' names meet none of those used here
+    low = [c.lower() for c in docs.columns]
+    id_at, text_at = own[low.index(id_col.lower())], own[low.index(text_col.lower())]
+    docs, names = docs.toDF(*own), docs.columns
+    changed = surrogate_texts(docs, key=key, id_col=id_at, text_col=text_at, attempts=attempts)
     changed = stage(changed, "surrogate-texts").dropDuplicates([ID, ROW])
     changed = changed.select(F.col(ID).alias("__cid"), F.col(ROW).alias("__crow"), F.col(TEXT).alias("__new"),
                              F.col("n_entities").alias("__n"), F.col("kinds").alias("__kinds"))
     # a document that certainly has no change stays where it is; the others meet their new texts
-    some, none = split_by_keys(docs, id_col, changed.select("__cid"))
-    keyed = some.withColumn(ID, F.col(id_col).cast("bigint")).withColumn(ROW, F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
+    some, none = split_by_keys(docs, id_at, changed.select("__cid"))
+    keyed = some.withColumn(ID, F.col(id_at).cast("bigint")).withColumn(ROW, F.coalesce(F.xxhash64(F.col(text_at).cast("string")), F.lit(0)))
     joined = keyed.join(changed, keyed[ID].eqNullSafe(changed["__cid"]) & (keyed[ROW] == changed["__crow"]), "left")
-    text = F.coalesce("__new", F.col(text_col).cast("string"))
-    cols = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    out = joined.select(*cols, F.coalesce("__n", F.lit(0)).cast("long").alias("n_entities"), F.coalesce("__kinds", F.lit("")).alias("kinds"))
-    same = [F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return out.unionByName(none.select(*same, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds")))
+    text = F.coalesce("__new", F.col(text_at).cast("string"))
+    out = joined.select(*[text.alias(c) if c == text_at else F.col(c) for c in own],
+                        F.coalesce("__n", F.lit(0)).cast("long").alias("n"), F.coalesce("__kinds", F.lit("")).alias("kinds"))
+    same = [F.col(c).cast("string").alias(c) if c == text_at else F.col(c) for c in own]
+    return out.unionByName(none.select(*same, F.lit(0).cast("long").alias("n"), F.lit("").alias("kinds"))).toDF(*names, n_entities, kinds)
