@@ -28,12 +28,14 @@ def _rows_of(docs: DataFrame, verdicts: DataFrame, *, once: bool) -> DataFrame:
     """
     keys = verdicts.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__times")).where("__kept")
     keys = keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__times")
-    text_hash = F.xxhash64(docs["text"].cast("string"))
-    kept = docs.join(keys, docs["doc_id"].cast("bigint").eqNullSafe(keys["__id"]) & (text_hash == keys["__hash"]))
-    if not once:
-        return kept.select(*[docs[c] for c in docs.columns])
-    single, repeated = kept.where("__times = 1"), kept.where("__times > 1").dropDuplicates(["__id", "__hash"])
-    return single.unionByName(repeated).drop("__id", "__hash", "__times")
+    # columns by place, so that the table's names meet none of those used here
+    own = docs.toDF(*[f"own_{i}" for i in range(len(docs.columns))])
+    doc_id, text = (own.columns[docs.columns.index(c)] for c in ("doc_id", "text"))
+    text_hash = F.xxhash64(own[text].cast("string"))
+    kept = own.join(keys, own[doc_id].cast("bigint").eqNullSafe(keys["__id"]) & (text_hash == keys["__hash"]))
+    if once:
+        kept = kept.where("__times = 1").unionByName(kept.where("__times > 1").dropDuplicates(["__id", "__hash"]))
+    return kept.select(own.columns).toDF(*docs.columns)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +59,9 @@ def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     out = with_surrogates(docs, key=SURROGATE_KEY)
+    changed = F.col(f"`{out.columns[-2]}`") > 0  # the number of entities
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
