@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from kestrel.llm.common import ID, stage
 
 BINS = 8192
+#: the rows of one text meet its group in this many parts
+SALTS = 64
 _TIE = "__tie"
 
 
@@ -121,7 +123,10 @@ def _with_points(rows: DataFrame, columns: Sequence[str], shards: int, whole: fl
     limit = rows.select(F.sum("__w") * whole / shards).scalar()
     groups = rows.groupBy(F.col("__text_sha").alias("__sha")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("__w").alias("w"), *[F.min(c).alias(f"least{c}") for c in columns]).where((F.col("n") > 1) & (F.col("w") <= limit))
-    joined = rows.join(groups.drop("n", "w"), F.col("__text_sha") == F.col("__sha"), "left")  # texts that stand once have no partner
+    # texts that stand once have no partner; the rows of a common one are spread over salts
+    salted = groups.drop("n", "w").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = rows.withColumn("__spread", F.pmod(F.xxhash64(ID, *columns), F.lit(SALTS)).cast("int"))
+    joined = spread.join(salted, (F.col("__text_sha") == F.col("__sha")) & (F.col("__spread") == F.col("__salt")), "left")
     return stage(joined.withColumns({c: F.coalesce(f"least{c}", c) for c in columns}).select(*[c for c in rows.columns if c != "__text_sha"]), "kd-points")
 
 
