@@ -17,6 +17,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist".split())
+UNSEEN = frozenset("head script style template title iframe noembed noframes audio video canvas datalist".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table ul xmp".split())
 #: blocks with a blank line around them
@@ -51,7 +52,13 @@ CLOSES = {
 }
 #: an end tag is not looked for beyond these
 _END_LIMIT = {"td": ("table",), "th": ("table",), "tr": ("table",), "li": ("ul", "ol", "menu")}
-_TOKEN = re.compile(r"<!--(.*?)(?:--!?>|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+#: one token from any place on; nothing is tried twice, so reading a page takes time in proportion to its length.  A
+#: quote opens a value only behind "="; a comment or a tag that nothing closes goes on to the end of the page
+_PLAIN = (r"<!--(.*?)(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)"
+          r"((?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|)|[^=>])*+)(>|\Z)|[^<]+|<")
+_TOKEN, _WITH_CDATA = re.compile(_PLAIN, re.S), re.compile(r"<!\[CDATA\[.*?\]\]>|" + _PLAIN, re.S)
+#: elements are nested no deeper; what lies deeper stands side by side at this depth, as in browsers
+MAX_DEPTH = 512
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 #: comments, strings and addresses of a style sheet
 _OPAQUE = re.compile(r"/\*.*?(?:\*/|$)|\"(?:\\.|[^\"\\\n])*\"?|'(?:\\.|[^'\\\n])*'?|\burl\([^)]*\)?|<!--|-->", re.S)
@@ -82,45 +89,63 @@ def build_tree(html: str) -> tuple[Node, list[str]]:
     """(root, style sheets); children are nodes and strings."""
     root = Node("html", {})
     stack, sheets = [root], []
-    at = 0
+    opened: Counter[str] = Counter()  # the tags in the stack, so that a tag that is not open is not looked for
+
+    def cut_off(place: int) -> None:
+        opened.subtract(n.tag for n in stack[place:])
+        del stack[place:]
+
+    def enter(node: Node) -> None:
+        if len(stack) < MAX_DEPTH:
+            stack.append(node)
+            opened[node.tag] += 1
+
+    at, last_cdata = 0, html.rfind("]]>")
     while at < len(html):
-        m = _TOKEN.match(html, at)
+        m = (_WITH_CDATA if at < last_cdata else _TOKEN).match(html, at)
         at = m.end()
         name = m.group(3)
         if name is None:
             text = m.group()
             if text.startswith(("<!", "<?")):
                 continue
-            if stack[-1].tag == "table" or stack[-1].tag in ("tbody", "thead", "tfoot", "tr"):
-                if text.isspace():
-                    continue
+            if stack[-1].tag in ("table", "tbody", "thead", "tfoot", "tr"):
+                if not text.isspace():  # text between cells is shown before the table
+                    table = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "table"), 0)
+                    if table:
+                        stack[table - 1].children.insert(-1, unescape(text))
+                    else:
+                        stack[-1].children.append(unescape(text))
+                continue
             stack[-1].children.append(unescape(text))
             continue
+        if not m.group(5):  # the page ends within a tag: no browser shows the rest
+            break
         tag = name.lower()
         if m.group(2):  # an end tag
             if tag == "br":
                 stack[-1].children.append(Node("br", {}))
-            elif tag == "p" and not any(n.tag == "p" for n in stack):
+            elif tag == "p" and not opened["p"]:
                 stack[-1].children.append(Node("p", {}))
-            else:
+            elif opened[tag] > 0:
                 limits = _END_LIMIT.get(tag, ("td", "th") if tag not in ("table", "tbody", "thead", "tfoot", "body", "html") else ())
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == tag:
-                        del stack[i:]
+                        cut_off(i)
                         break
                     if stack[i].tag in limits:
                         break
             continue
         if tag in ("html", "body"):
             if tag == "body":
-                while len(stack) > 1 and any(n.tag == "head" for n in stack[1:]):
-                    stack.pop()
+                while len(stack) > 1 and opened["head"] > 0:
+                    cut_off(len(stack) - 1)
             stack[0].attrs |= _attributes(m.group(4))
             continue
         if stack[-1].tag == "head" and tag not in ("title", "meta", "link", "style", "script", "base", "noscript", "template"):
-            stack.pop()
+            cut_off(len(stack) - 1)
         closes, limits = CLOSES.get(tag, ((), ()))
-        if closes:
+        if any(opened[c] > 0 for c in closes):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in limits:
                     break
@@ -128,13 +153,13 @@ def build_tree(html: str) -> tuple[Node, list[str]]:
                     cut = i
                     while cut - 1 > 0 and stack[cut - 1].tag in closes:
                         cut -= 1
-                    del stack[cut:]
+                    cut_off(cut)
                     break
                 if tag in ("li", "dt", "dd", "tr", "td", "th") or stack[i].tag not in BLOCK:
                     continue
                 break
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
-            stack.append(_add(stack, Node("tr", {})))
+            enter(_add(stack, Node("tr", {})))
         node = _add(stack, Node(tag, _attributes(m.group(4))))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -147,7 +172,7 @@ def build_tree(html: str) -> tuple[Node, list[str]]:
             elif tag in ("textarea", "xmp"):
                 node.children.append(unescape(text) if tag == "textarea" else text)
         elif tag not in VOID and not m.group(4).endswith("/") or tag in ("div", "p", "span"):
-            stack.append(node)
+            enter(node)
     return root, sheets
 
 
@@ -269,7 +294,7 @@ class StyleRules:
 
 def visible(node: Node, rules: StyleRules) -> bool:
     a = node.attrs
-    if node.tag in UNSEEN or "hidden" in a:
+    if node.tag in UNSEEN or "hidden" in a or node.tag == "object" and "data" in a:  # an object without data shows what it holds
         return False
     if node.tag == "input" and a.get("type", "text").lower() in ("hidden", "password", "checkbox", "radio", "file", "image"):
         return False
@@ -371,6 +396,26 @@ def _span(node: Node, name: str) -> int:
     return min(100, max(1, int(value))) if value.isascii() and value.isdigit() else 1
 
 
+def _whole(text: str | None, otherwise: int) -> int:
+    text = (text or "").strip()
+    return int(text) if re.fullmatch(r"[-+]?\d{1,9}", text) else otherwise
+
+
+def _numeral(n: int, kind: str) -> str:
+    """The number of a list item in the ``type`` of its list: 1, a, A, i, I; plain digits where a type has no such number."""
+    if kind in ("a", "A") and n > 0:
+        letters = ""
+        while n:
+            n, digit = divmod(n - 1, 26)
+            letters = chr(ord(kind) + digit) + letters
+        return letters
+    if kind in ("i", "I") and 0 < n < 4000:
+        units = ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")
+        roman = "m" * (n // 1000) + "".join(units[n // place % 10].translate(str.maketrans("ivx", signs)) for place, signs in ((100, "cdm"), (10, "xlc"), (1, "ivx")))
+        return roman if kind == "i" else roman.upper()
+    return str(n)
+
+
 def render(html: str) -> str:
     root, sheets = build_tree(html)
     rules = StyleRules(sheets)
@@ -422,14 +467,17 @@ def render(html: str) -> str:
                 nested = tag in ("ul", "ol", "menu", "dl") and bool(lists)
                 to.block(tag in SPACED and not nested)
             if tag in ("ul", "menu", "dir"):
-                lists.append(["-", 0])
+                lists.append(["-", 0, 1])
             elif tag == "ol":
-                start = node.attrs.get("start", "1").strip()
-                lists.append(["#", int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1])
+                items = sum(isinstance(c, Node) and c.tag == "li" for c in node.children)
+                down = "reversed" in node.attrs
+                lists.append([node.attrs.get("type", "1").strip() or "1", _whole(node.attrs.get("start"), items if down else 1), -1 if down else 1])
             elif tag == "li":
-                kind = lists[-1] if lists else ["-", 0]
-                marker = "- " if kind[0] == "-" else f"{kind[1]}. "
-                kind[1] += 1
+                kind = lists[-1] if lists else ["-", 0, 1]
+                if kind[0] != "-":
+                    kind[1] = _whole(node.attrs.get("value"), kind[1])
+                marker = "- " if kind[0] == "-" else f"{_numeral(kind[1], kind[0])}. "
+                kind[1] += kind[2]
                 to.prefix.append(" " * len(marker))
                 to.marker = marker
             elif tag == "dd":

@@ -412,3 +412,28 @@ def test_token_files_of_extreme_ids(spark):
     docs = spark.createDataFrame([(None, "a b"), (-(1 << 63), "c"), (0, "d e f"), (None, None), ((1 << 63) - 1, "")], "doc_id long, text string")
     out = sorted(token_files.token_files(spark, docs, tokenizer=WORD_BPE, end_id=1).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in out] == [None, None, -(1 << 63), 0, (1 << 63) - 1]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a href=\"x", "<![CDATA[", "<b>", "</i>", "<b></i>", "<!", "<p><b>", "<td>", "<li>x", "<table>", "<!--", "<a b='", "<ul><li>", "<i></p>"])
+def test_html_takes_time_in_proportion_to_the_page(unit):
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        html_layout.build_tree(unit * (n // len(unit)))
+        return time.perf_counter() - begin
+
+    seconds(10_000)
+    assert seconds(1_000_000) < 20  # a megabyte; quadratic reading takes hours
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<p>a<a href=\"x>b</a> c", "a"), ("x <b", "x"), ("a <p title=it's>b", "a\n\nb"), ("<a title = 'x>y'>z</a>", "z"), ("<a title=\"x>y\" b>z", "z"),
+    ("<![CDATA[ a > b", "b"), ("<svg><text><![CDATA[a]]>b</text></svg>", "b"), ("<noscript>shown</noscript>", "shown"),
+    ("<object>instead</object><object data=x.png>no</object>", "instead"),
+    ("<ol reversed><li>a<li>b</ol>", "2. a\n1. b"), ("<ol type=a><li>x<li value=28>y<li>z</ol>", "a. x\nab. y\nac. z"), ("<ol type=I start=1994><li>x</ol>", "MCMXCIV. x"),
+    ("<table>before<tr><td>c</table>", "before\n\nc"), ("<table><tr>in<td>c</tr> <tr><td>d</table>", "in\n\nc\nd"),
+    ("<b>" * 700 + "deep</b> tail", "deep tail"),
+])
+def test_html_ends_lists_and_stray_text(html, text):
+    assert html_layout.render(html) == text
