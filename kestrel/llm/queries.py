@@ -101,6 +101,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS place FROM d WHERE len(words) >= 50
+), win AS (
+  SELECT doc_id, place, array_to_string(words[place:place + 49], ' ') AS said FROM starts
+), earliest AS (
+  SELECT said, min(doc_id) AS doc_id FROM win GROUP BY said
+), covered AS (
+  SELECT DISTINCT w.doc_id, w.place + t.step AS place FROM win w JOIN earliest e ON e.said = w.said AND e.doc_id < w.doc_id, range(0, 50) t(step)
+), word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS said FROM word ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op5_overlap_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(words) - 3, 2)), lambda i: array_to_string(words[i:i + 4], ' '))) AS s FROM d WHERE len(words) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id
+    JOIN size a ON a.doc_id = x.doc_id JOIN size b ON b.doc_id = y.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(doc_id, met) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT link.b, reach.met FROM reach JOIN link ON link.a = reach.doc_id
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, (SELECT min(met) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM d LEFT JOIN size USING (doc_id)
+""",
     "op8_grace_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
