@@ -142,6 +142,28 @@ def _encode_pieces(pieces: DataFrame, ranks: str, pattern: str) -> DataFrame:
     return pieces.mapInArrow(encode, _PIECE)
 
 
+def _joined_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document from its pieces in order, each fed to the digests as it comes: no text is held whole."""
+    at, tokens, digests = None, 0, []
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int64()), pa.array([tokens], pa.int64()), *[pa.array([d.hexdigest()]) for d in digests]], _OUT)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            doc, row_no, _, n, ids, raw = (column[i] for column in batch.columns)
+            here = (doc.as_py(), row_no.as_py())
+            if here != at:
+                if at is not None:
+                    yield row()
+                at, tokens, digests = here, 0, [hashlib.sha256(), hashlib.sha256()]
+            tokens += n.as_py()
+            for digest, value in zip(digests, (ids, raw)):
+                digest.update(value.as_buffer())
+    if at is not None:
+        yield row()
+
+
 def chunked_bpe(docs: DataFrame, *, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                 chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 (hex, of the ids as little-endian uint32 and of the decoded bytes)."""
@@ -165,14 +187,8 @@ def chunked_bpe(docs: DataFrame, *, ranks: str, pattern: str, id_col: str = "doc
         cut = cuts.select(*right)
         met = parts[ID].eqNullSafe(cut[f"{ID}_c"]) & (parts["row_no"] == cut["row_no_c"]) & (parts["chunk"] == cut["chunk_c"])
         pieces = _encode_pieces(parts.join(cut.where("stitched"), met).select(*key, "chunk", "at", "part", "cut", "cut_end"), ranks, pattern)
-        joined = pieces.groupBy(*key).agg(F.sum("n_tokens").alias("n_tokens"),
-                                          F.sort_array(F.collect_list(F.struct("chunk", "ids", "raw"))).alias("p"))
-        empty = F.lit(b"").cast("binary")
-
-        def digest(name: str, empty=empty):
-            return F.sha2(F.aggregate(F.col("p"), empty, lambda a, x: F.concat(a, x[name])), 256)
-
-        done.append(joined.select(F.col(ID).alias("doc_id"), "n_tokens", digest("ids").alias("ids_sha256"), digest("raw").alias("decoded_sha256")))
+        in_order = pieces.repartition(*key).sortWithinPartitions(*key, "chunk")
+        done.append(in_order.mapInArrow(_joined_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
         if cuts.where("not stitched").limit(1).count() == 0:
             break
         # no boundary in an overlap: put those texts together again and take longer chunks and overlaps
