@@ -7,7 +7,7 @@ full outer join cannot be split at all.  ``hot_key_join`` splits both sides by o
    row is a scalar subquery, so nothing is collected or joined for it.
 2. A key that holds more than one task's share of the left rows gets ``a`` > 1 left salts, of the right rows
    ``b`` > 1 right salts; every other key has one of each.
-3. A left row draws its left salt from a hash of the row and is copied once for each of the key's ``b`` right
+3. A left row draws its left salt from a hash of the row's columns and is copied once for each of the key's ``b`` right
    salts; a right row the other way round.  Every pair of a left and a right row meets in exactly one cell of
    the a x b grid, and no cell holds more than its share of either side.
 4. In an outer join a copy whose cell is empty on the other side comes out unmatched.  A copied row's key is
@@ -23,7 +23,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: keys a sketch reports, and counters it keeps; a key with more than rows / HOT_TRACKED is never missed
 HOT_ITEMS = 256
@@ -52,27 +51,23 @@ def heavy_hitters(df: DataFrame, keys: Sequence[str], tasks: int, salts: int) ->
                              f"t -> struct(t.item, cast(ceil(t.count * {salts} / n) AS bigint))))").alias("fans"))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """A hash over the row, so that retried tasks deal rows alike."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
-
-
 def _dealt(df: DataFrame, keys: Sequence[str], own: Column | None, other: Column | None, left: bool) -> DataFrame:
-    """``df`` with its grid cell: the own salt drawn by hash, one copy for each salt of the other side (None: no hot keys there)."""
+    """``df`` with its grid cell: the own salt drawn by hash, one copy for each salt of the other side (None: no hot keys there).
+
+    The hash is over the first three other columns: enough to spread a key, and few enough to prune the rest.
+    """
     p = "_l" if left else "_r"
-    key, one = F.col(_KEY), F.lit(1).cast("bigint")
-    fan = lambda fans: one if fans is None else F.coalesce(F.try_element_at(fans, key), one)
-    hashed, cells = _row_hash(df), F.lit(1 << 31).cast("bigint")  # most rows need no hash
-    mine = F.when(key.isNull(), -1 - F.pmod(hashed, F.lit(NULL_BUCKETS).cast("bigint")))
-    if own is not None:
-        mine = mine.when(fan(own) > 1, F.pmod(hashed, fan(own)) * (cells if left else 1))
-    mine = mine.otherwise(F.pmod(F.length(key).cast("bigint"), one))  # 0, but no literal: it has to stay a join key
-    out = df.withColumn(_KEY, key_text([F.col(f"`{k}`") for k in keys])).withColumns({_CELL + p: mine, _OTHER: fan(other)}).drop(_KEY)
-    out = out.withColumn(_COPIED + p, F.col(_OTHER) > 1)
-    if other is not None:
-        out = out.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(_OTHER) - 1)))
-        out = out.withColumn(_CELL + p, F.col(_CELL + p) + F.col(_COPY) * (F.lit(1) if left else cells)).drop(_COPY)
-    return out.drop(_OTHER)
+    text, one = key_text([F.col(f"`{k}`") for k in keys]), F.lit(1).cast("bigint")
+    spread = [c for c in df.columns if c not in set(keys)][:3] or list(keys)
+    fan = lambda fans: one if fans is None else F.coalesce(F.try_element_at(fans, text), one)
+    # a key without salts has 0 here, which is no literal: it has to stay a join key
+    mine = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), F.when(text.isNull(), F.lit(NULL_BUCKETS).cast("bigint")).otherwise(fan(own)))
+    row, column = F.lit(1 << 31).cast("bigint") if left else one, one if left else F.lit(1 << 31).cast("bigint")
+    if other is None:
+        return df.withColumn(_CELL + p, mine * row)
+    out = df.withColumns({_CELL + p: mine * row, _OTHER: fan(other)})
+    out = out.withColumn(_COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(_OTHER) - 1)))
+    return out.withColumns({_CELL + p: F.col(_CELL + p) + F.col(_COPY) * column, _COPIED + p: F.col(_OTHER) > 1}).drop(_OTHER, _COPY)
 
 
 def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str, *,
@@ -96,10 +91,10 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]
     a = heavy_hitters(left if left_sample is None else left_sample, lkeys, tasks, salts).scalar() if sides != "right" else None
     b = heavy_hitters(right if right_sample is None else right_sample, rkeys, tasks, salts).scalar() if sides != "left" else None
     l2, r2 = _dealt(left, lkeys, a, b, True), _dealt(right, rkeys, b, a, False)
-    cond = reduce(lambda x, y: x & y, [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in on]) & (F.col(_CELL + "_l") == F.col(_CELL + "_r"))
+    cond = reduce(lambda m, n: m & n, [F.col(f"`{x}`") == F.col(f"`{y}`") for x, y in on]) & (F.col(_CELL + "_l") == F.col(_CELL + "_r"))
     out = l2.join(r2, cond, how)
-    if how in ("left", "full"):  # a copied left row has its partner in another cell
+    if how in ("left", "full") and b is not None:  # a copied left row has its partner in another cell
         out = out.where(F.col(_CELL + "_r").isNotNull() | ~F.col(_COPIED + "_l"))
-    if how == "full":
+    if how == "full" and a is not None:
         out = out.where(F.col(_CELL + "_l").isNotNull() | ~F.col(_COPIED + "_r"))
     return out.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]])
