@@ -3,17 +3,19 @@
 Sets of up to a boundary size are *light*: for each pair of sizes that can link, a set enumerates all its
 subsets of the size that two such sets must share at least, and sets with a common subset are linked.
 Larger sets are *heavy*: they are written to inverted lists, and lists are scanned for candidates that are
-then compared in full.  The boundary is where enumerating a size costs more rows than listing and comparing
-it, by the sizes counted over all documents.
+then compared in full.  The boundary is the size up to which enumerating costs fewer rows than scanning the
+lists, by the sizes and the list lengths counted over all sets.
 
-A heavy set is listed only under its first shingles in one order of all shingles (two sets that reach the
-threshold share one of those), the rarest first by counts over all documents in a table of fixed size, so
-a passage that a third of the documents share comes last and is listed only where a set has little else.
+Equal sets are collapsed first.  Two filters that lose no link go before the join.  Of the shingles in a fixed
+part of the hash range, those that only one set has are counted for each set: a set with more of them than a
+link allows has none.  For the sets left all shingles are counted, and a set keeps those that another has too;
+it stays if they can reach the threshold.  Ordered from the rarest up, a heavy set is listed only under its
+first shingles (two sets that reach the threshold share one of those).
 
-Equal sets are collapsed first.  Lists are scanned without making the pairs of a list: in the first rounds
-each set is compared with one hub of its lists, and what links becomes one component.  What is then still
-apart within a list is paired, but only across components, and compared in full only where the shingles
-that two sets share in their lists leave the threshold possible, so the result is exact.
+Lists are scanned without making the pairs of a list: in each of some rounds a set is compared with one hub
+of its lists, and what links is one component from then on.  What is then still apart within a list is paired,
+but only across components, and compared in full only where the shingles that two sets share in their lists
+leave the threshold possible, so the result is exact.
 
 Defined results: an empty set (no words) links with nothing; fewer than ``n`` words make one shingle of the
 whole text; a row with a null id links with nothing and has a null component; rows that repeat an id share a
@@ -22,7 +24,6 @@ component; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -31,18 +32,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import ID, ROW, TEXT, Words, grams, keyed_texts, mix, narrowed, stage, text_slices
 from kestrel.llm.components import connected_components
 
-#: counters of the table of shingle counts; its size bounds what is sent to every task
-COUNTERS = 1 << 20
-_BLOCK = 1 << 14
-#: no boundary above this size is considered (subsets grow fast)
-_LIGHT_LIMIT = 12
+#: sixteenths of the hash range whose shingles the first filter counts; any number loses no link, more filter better
+SIEVE = 7
+#: a shingle with at least this share of all occurrences is joined over salts; there are at most so many of them
+HOT_SHARE = 50_000
+#: a set of this size has more subsets than any table has rows, so the boundary is below it
+_NEVER_LIGHT = 100
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,246 +79,286 @@ def partners(n: int, percent: int) -> range:
     return range(-(-percent * n // 100), 100 * n // percent + 1)
 
 
-def prefix(n: int, percent: int) -> int:
-    """Shingles to list: two linked sets share one among the first so many of each."""
-    return n - -(-percent * n // 100) + 1
-
-
 def light_rows(n: int, percent: int) -> int:
     return sum(comb(n, need(n, m, percent)) for m in partners(n, percent))
 
 
-def boundary(sizes: dict[int, int], percent: int) -> int:
-    """The largest light size: the total cost, in rows made and shingles compared, is least there."""
+def boundary(sizes: dict[int, tuple[int, int]], percent: int) -> int:
+    """The largest light size: rows made for subsets and rows scanned in lists are fewest there.
+
+    ``sizes`` gives for each size the number of sets and the rows of the lists that they are in.
+    """
 
     def cost(x: int) -> int:
-        light = sum(c * light_rows(n, percent) for n, c in sizes.items() if n <= x)
-        heavy = sum(c * (prefix(n, percent) + n) for n, c in sizes.items() if n > x or 100 * n >= percent * (x + 1))
+        light = sum(count * light_rows(n, percent) for n, (count, _) in sizes.items() if n <= x)
+        heavy = sum(scan + count * n for n, (count, scan) in sizes.items() if n > x or 100 * n >= percent * (x + 1))
         return light + heavy
 
-    return min(range(_LIGHT_LIMIT + 1), key=cost)
+    return min([0, *sorted(sizes)], key=cost)
 
 
-_FIRST = f"{ID} long, {ROW} long, n int, lo long, hi long, block int, part int, counts binary"
+def _digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """128 bits of each set, as two numbers."""
+    import xxhash
 
+    raw = memoryview(values.tobytes())
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[8 * a: 8 * b]) for a, b in zip(offsets[:-1], offsets[1:])), np.int64).reshape(-1, 2)
 
-def _first_pass(texts: DataFrame, n: int) -> DataFrame:
-    """A row per document (size and digest of its set), and the task's shingle counts in compressed blocks."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+def _set_rows(texts: DataFrame, n: int) -> DataFrame:
+    """A row per document: size and digest of its set."""
 
-        names = ["n", "lo", "hi", "block", "part", "counts"]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        counts = np.zeros(COUNTERS, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in text_slices(batch.column(2)):
                 values, offsets = shingle_sets(part, n)
-                counts += np.bincount((values >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
-                raw = memoryview(values.tobytes())
-                digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[8 * a: 8 * b]) for a, b in zip(offsets[:-1], offsets[1:])), np.int64)
-                k = len(part)
-                cols = [np.diff(offsets).astype(np.int32), digest[0::2], digest[1::2]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, k), batch.column(1).slice(first, k), *[pa.array(c, t) for c, t in zip(cols, kinds)],
-                     *[pa.nulls(k, t) for t in kinds[3:]]], [ID, ROW, *names])
-        task = TaskContext.get().partitionId()
-        for b in range(0, COUNTERS, _BLOCK):
-            block = counts[b: b + _BLOCK]
-            if block.any():
+                digest, k = _digests(values, offsets), len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.array([0]), *[pa.nulls(1, t) for t in kinds[:3]], pa.array([b // _BLOCK], pa.int32()),
-                     pa.array([task % 1024], pa.int32()), pa.array([zlib.compress(block.tobytes(), 1)])], [ID, ROW, *names])
+                    [batch.column(0).slice(first, k), batch.column(1).slice(first, k), pa.array(np.diff(offsets).astype(np.int32)),
+                     pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy())], [ID, ROW, "n", "lo", "hi"])
+
+    return texts.mapInArrow(run, f"{ID} long, {ROW} long, n int, lo long, hi long")
+
+
+def _sieved(texts: DataFrame, n: int) -> DataFrame:
+    """(token, lo): the shingles in the first part of the hash range, with half of the digest of the set."""
 
-    return texts.mapInArrow(run, _FIRST)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part in text_slices(batch.column(0)):
+                values, offsets = shingle_sets(part, n)
+                lo = np.repeat(_digests(values, offsets)[:, 0], np.diff(offsets))
+                own = (values >> np.uint64(60)) < SIEVE
+                yield pa.RecordBatch.from_arrays([pa.array(values[own].view(np.int64)), pa.array(lo[own])], ["token", "lo"])
 
+    return texts.select(TEXT).mapInArrow(run, "token long, lo long")
 
-def _shingle_levels(first: DataFrame) -> np.ndarray:
-    """The logarithm of each counter's total as 16 bits: two steps of sums over blocks, then 2 MB to the driver."""
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(_BLOCK, np.int64)
-        for c in pdf["counts"]:
-            total += np.frombuffer(zlib.decompress(c), np.int64)
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+def _tokens(texts: DataFrame, n: int) -> DataFrame:
+    """(token, ord, row, n): every shingle of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in text_slices(batch.column(2)):
+                values, offsets = shingle_sets(part, n)
+                size = np.diff(offsets)
+                at = pa.array(np.repeat(np.arange(len(size)), size) + first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
+                     pa.array(np.repeat(size, size).astype(np.int32))], ["token", "ord", "row", "n"])
 
-    blocks = first.where("block is not null").select("block", "part", "counts")
-    blocks = blocks.groupBy("block", "part").applyInPandas(add, "block int, counts binary")
-    blocks = blocks.groupBy("block").applyInPandas(add, "block int, counts binary")
-    total = np.zeros(COUNTERS, np.int64)
-    for r in blocks.collect():  # COUNTERS / _BLOCK rows
-        total[r["block"] * _BLOCK: (r["block"] + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
-    return np.floor(1024 * np.log2(1.0 + total)).astype(np.uint16)
+    return texts.mapInArrow(run, "token long, ord long, row long, n int")
 
 
+def _may_have_links(texts: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """(ord, row) of the sets with no more shingles of their own, in part of the hash range, than a link allows."""
+    own = _sieved(texts, n).groupBy("token").agg(F.min("lo").alias("lo"), F.max("lo").alias("other")).where("lo = other")
+    own = own.groupBy("lo").agg(F.count(F.lit(1)).alias("own"))
+    # where two sets share half a digest their counts are not known, so both stay
+    known = classes.groupBy("lo").agg(F.max("n").alias("n"), F.min("ord").alias("ord"), F.min("row").alias("row"), F.count(F.lit(1)).alias("c"))
+    out = known.where("c = 1").join(own, "lo", "left_anti").unionByName(
+        known.where("c = 1").join(own, "lo").where(100 * F.col("own") <= (100 - percent) * F.col("n")).drop("own"))
+    twice = classes.join(known.where("c > 1").select("lo"), "lo", "left_semi").select("ord", "row")
+    return out.select("ord", "row").unionByName(twice)
 
-_LISTED = "token long, ord long, slot smallint, n int, kind tinyint, set long"
 
+def _salted(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tokens, their counts) with a salt in both: a hot token is spread over as many salts as its count asks for."""
+    counts = stage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "shingle-counts")
+    total = counts.agg(F.sum("c").alias("t")).first()["t"] or 0
+    share = max(total // HOT_SHARE, 1 << 10)
+    hot = counts.where(F.col("c") >= share).select("token", "c").toPandas().sort_values("token")  # HOT_SHARE rows at most
+    salts = tokens.sparkSession.sparkContext.broadcast((hot["token"].to_numpy(np.int64), (hot["c"].to_numpy(np.int64) // share)))
 
-def _slot(row):
-    """A small hash that keeps most rows with one id apart in the lists; full sets are told apart by the whole hash."""
-    return F.pmod(row, F.lit(1 << 15)).cast("smallint")
+    @F.pandas_udf("long")
+    def salt(token: pd.Series, spread: pd.Series) -> pd.Series:
+        keys, many = salts.value
+        if not len(keys):
+            return pd.Series(np.zeros(len(token), np.int64))
+        t = token.to_numpy()
+        at = np.minimum(np.searchsorted(keys, t), len(keys) - 1)
+        return pd.Series(np.where(keys[at] == t, spread.to_numpy() % np.maximum(many[at], 1), 0))
 
+    spread = F.pmod(F.xxhash64("ord", "row"), F.lit(1 << 31))
+    every = F.when(F.col("c") >= share, F.sequence(F.lit(0).cast("long"), F.floor(F.col("c") / share) - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    return tokens.withColumn("salt", salt("token", spread)), counts.withColumn("salt", F.explode(every))
 
-def _listings(texts: DataFrame, n: int, percent: int, light: int, levels) -> DataFrame:
-    """kind 0: a heavy set under one of its first shingles; 1, 2: a light set of the smaller, larger size under a subset."""
+
+_SETS = "ord long, row long, n int, items binary, listed int, scan long"
+
+
+def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
+    """A row per set that may link: its shingles that others have too, the rarest first, and how many of them it lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+        def made(cols: list[np.ndarray]) -> pa.RecordBatch:
+            ord_, row, n, token, c = cols
+            new = np.ones(len(ord_), bool)
+            new[1:] = (ord_[1:] != ord_[:-1]) | (row[1:] != row[:-1])
+            fresh = new.copy()
+            fresh[1:] |= token[1:] != token[:-1]  # rows that repeat an id and a text
+            ord_, row, n, token, c, new = (x[fresh] for x in (ord_, row, n, token, c, new))
+            start = np.flatnonzero(new)
+            k = np.diff(np.append(start, len(new)))
+            size = n[start].astype(np.int64)
+            least = -(-percent * size // 100)
+            listed = k - least + 1  # of the first (size - least + 1) shingles, those that no other set has come first
+            sums = np.concatenate([[0], np.cumsum(c)])
+            ok = listed > 0
+            start, k, size, listed = start[ok], k[ok], size[ok], listed[ok]
+            raw = token.tobytes()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ord_[start]), pa.array(row[start]), pa.array(size.astype(np.int32)),
+                 pa.array([raw[8 * a: 8 * (a + b)] for a, b in zip(start, k)], pa.binary()), pa.array(listed.astype(np.int32)),
+                 pa.array(sums[start + listed] - sums[start])], ["ord", "row", "n", "items", "listed", "scan"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                cols = [np.concatenate([a, b]) for a, b in zip(held, cols)]
+            last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+            cut = last[-1] + 1 if len(last) else 0  # the last set may go on in the next batch
+            if cut:
+                yield made([c[:cut] for c in cols])
+            held = [c[cut:] for c in cols]
+        if held is not None:
+            yield made(held)
+
+    rows = tokens.select("ord", "row", "n", "token", "c").repartition("ord", "row").sortWithinPartitions("ord", "row", "c", "token")
+    return rows.mapInArrow(run, _SETS)
+
+
+def _lists(sets: DataFrame) -> DataFrame:
+    """A row for every shingle that a set lists."""
 
-        table = levels.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
-                values, offsets = shingle_sets(part, n)
-                size = np.diff(offsets)
-                # heavy: all sets of the slice are ordered at once
-                level = table[(values >> np.uint64(44)).astype(np.int64)]
-                doc = np.repeat(np.arange(len(size)), size)
-                order = np.lexsort((values, level, doc))
-                pos = np.arange(len(values)) - np.repeat(offsets[:-1], size)
-                few = size - -(-percent * size // 100) + 1
-                listed = (pos < few[doc]) & ((size > light) | (100 * size >= percent * (light + 1)))[doc]
-                token, d = values[order][listed], doc[listed]
-                tokens, docs, kinds = [token], [d], [np.zeros(len(d), np.int64)]
-                raw = memoryview(values.tobytes())
-                digest = np.array([xxhash.xxh3_64_intdigest(raw[8 * a: 8 * b]) for a, b in zip(offsets[:-1], offsets[1:])], np.uint64)
-                for t in np.flatnonzero((size > 0) & (size <= light)):
-                    own = values[offsets[t]: offsets[t + 1]]
-                    k = len(own)
-                    for m in partners(k, percent):
-                        if m > light:
-                            continue
-                        a, b = min(k, m), max(k, m)
-                        sub = np.array(list(combinations(own.tolist(), need(a, b, percent))), np.uint64)
-                        key = np.full(len(sub), np.uint64(a * 1000 + b), np.uint64)
-                        for c in range(sub.shape[1]):
-                            key = mix(key * np.uint64(31) + sub[:, c])
-                        tokens.append(key)
-                        docs.append(np.full(len(sub), t))
-                        kinds.append(np.full(len(sub), 1 if k == a else 2))
-                docs = np.concatenate(docs)
-                at = pa.array(docs + first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(size[docs].astype(np.int32)), pa.array(np.concatenate(kinds).astype(np.int8)),
-                     pa.array(digest[docs].view(np.int64))], ["token", "ord", "slot", "n", "kind", "set"])
+            if not batch.num_rows:
+                continue
+            listed = batch.column(4).to_numpy()
+            token = np.concatenate([np.frombuffer(x.as_buffer(), np.int64)[:m] for x, m in zip(batch.column(3), listed)])
+            at = pa.array(np.repeat(np.arange(len(listed)), listed))
+            yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)]], ["token", "ord", "row", "n"])
+
+    return sets.mapInArrow(run, "token long, ord long, row long, n int")
 
-    return texts.mapInArrow(run, _LISTED)
 
+def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
+    """A light set under each subset that a set of a light size has to share with it; kind 1, 2: the smaller, larger size."""
 
-def _sets(texts: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
-                values, offsets = shingle_sets(part, n)
-                raw = values.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(i).slice(first, len(part)) for i in (0, 1)],
-                     pa.array([raw[8 * a: 8 * b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())], ["ord", "slot", "items"])
-
-    return texts.mapInArrow(run, "ord long, slot smallint, items binary")
+            for ord_, n, items in zip(*(batch.column(i) for i in (0, 2, 3))):
+                k, own = n.as_py(), np.sort(np.frombuffer(items.as_buffer(), np.uint64))
+                for m in partners(k, percent):
+                    a, b = min(k, m), max(k, m)
+                    if m > light or len(own) < need(a, b, percent):
+                        continue
+                    sub = np.array(list(combinations(own.tolist(), need(a, b, percent))), np.uint64)
+                    key = np.full(len(sub), np.uint64(a * 1000 + b), np.uint64)
+                    for c in range(sub.shape[1]):
+                        key = mix(key * np.uint64(31) + sub[:, c])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(np.full(len(key), ord_.as_py(), np.int64)),
+                         pa.array(np.full(len(key), 1 if k == a else 2, np.int8))], ["token", "ord", "kind"])
+
+    return sets.where(F.col("n") <= light).mapInArrow(run, "token long, ord long, kind tinyint")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, a_slot, b, b_slot) whose sets reach the threshold, compared in full."""
-    left = sets.toDF("a", "a_slot", "a_items")
-    right = sets.toDF("b", "b_slot", "b_items")
-    both = pairs.join(left, ["a", "a_slot"]).join(right, ["b", "b_slot"]).select("a", "b", "a_items", "b_items")
+    """The pairs (a_label, b_label) whose sets reach the threshold, compared in full."""
+    left = sets.select("ord", "row", "n", "items").toDF("a", "a_row", "a_n", "a_items")
+    right = sets.select("ord", "row", "n", "items").toDF("b", "b_row", "b_n", "b_items")
+    both = pairs.join(left, ["a", "a_row"]).join(right, ["b", "b_row"]).select("a_label", "b_label", "a_n", "b_n", "a_items", "b_items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                o = int((y[at] == x).sum())
-                ok.append(100 * o >= percent * (len(x) + len(y) - o))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            size = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            both = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True))
+                    for x, y in zip(batch.column(4), batch.column(5))]
+            o = np.array(both, np.int64)
+            yield batch.select([0, 1]).filter(pa.array(100 * o >= percent * (size - o)))
+
+    return both.mapInArrow(run, "a_label long, b_label long")
 
-    return both.mapInArrow(run, "a long, b long")
+
+def _relabelled(labels: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """``labels`` (ord, label) after the labels that ``links`` joins have become the smallest of them."""
+    component = connected_components(links, *links.columns)
+    out = labels.join(component, labels["label"] == component["node"], "left")
+    return stage(out.select("ord", F.coalesce("component", "label").alias("label")), label)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75,
-                    hub_rounds: int = 12) -> DataFrame:
+                    hub_rounds: int = 3) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
     texts = keyed_texts(docs, id_col, text_col)
-    first = stage(_first_pass(texts, n), "shingle-sets")
-    rows = first.where("block is null").select(ID, ROW, "n", "lo", "hi")
-    sizes = {r["n"]: r["c"] for r in rows.where(f"n between 1 and {2 * _LIGHT_LIMIT}").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
-    light = boundary(sizes, percent)
-    levels = spark.sparkContext.broadcast(_shingle_levels(first))  # COUNTERS numbers of 16 bits
+    rows = stage(_set_rows(texts, n), "shingle-sets")
 
-    # one document of each set, and links of the others to it
+    # one document of each set, and of each document that repeats an id with other texts the sets
     known = rows.where(f"n > 0 and {ID} is not null")
     classes = known.groupBy("lo", "hi", "n").agg(F.min(F.struct(F.col(ID).alias("ord"), F.col(ROW).alias("row"))).alias("one"))
     classes = stage(classes.select("lo", "hi", "n", F.col("one.ord").alias("ord"), F.col("one.row").alias("row")), "set-classes")
     member = stage(known.join(classes.drop("n"), ["lo", "hi"]).select(F.col(ID).alias("id"), F.col("ord").alias("rep")).distinct(), "set-members")
-
-    # lists: only shingles that two different sets list can make a candidate; listing twice spares the disk a copy
-    source = texts.where(F.col(ID).isNotNull()).select(F.col(ID).alias("ord"), _slot(F.col(ROW)).alias("slot"), TEXT)
-    listed = _listings(source, n, percent, light, levels)
-    shared = listed.groupBy("token").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo < hi").select("token")
-    listed = listed.drop("set")
-    one = classes.select("ord", _slot(F.col("row")).alias("slot")).distinct()
-    lists = stage(listed.join(shared, "token", "left_semi").join(one, ["ord", "slot"], "left_semi"), "lists")
+    least = member.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep < other").select("id", F.col("rep").alias("one"))
+    links = member.join(least, "id").where("rep <> one").select(F.col("one").alias("a"), F.col("rep").alias("b"))
+
+    # the sets that may link at all, with the shingles that others have too
+    with_id = texts.where(F.col(ID).isNotNull())
+    few = stage(_may_have_links(with_id, classes, n, percent), "sets-sieved")
+    near = narrowed(with_id.select(F.col(ID).alias("ord"), F.col(ROW).alias("row"), TEXT), "ord", few.select("ord"))
+    tokens, counts = _salted(stage(_tokens(near.join(few, ["ord", "row"], "left_semi"), n), "shingles"))
+    sets = stage(_ordered_sets(tokens.join(counts, ["token", "salt"]), percent), "sets-ordered")
+    sizes = {r["n"]: (r["c"], r["s"]) for r in sets.where(F.col("n") < _NEVER_LIGHT).groupBy("n").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("scan").alias("s")).collect()}
+    light = boundary(sizes, percent)
 
     # light sets: a common subset of the size in its key is a link by itself
-    subsets = lists.where("kind > 0")
-    least = subsets.where("kind = 1").groupBy("token").agg(F.min("ord").alias("hub"))
-    links = subsets.join(least, "token").where("ord <> hub").select(F.col("hub").alias("a"), F.col("ord").alias("b")).distinct()
-    links = stage(links.unionByName(member.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))), "links-light")
-
-    lists = lists.where("kind = 0").select("token", "ord", "slot", "n").distinct()
-    several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    lists = stage(lists.join(several, "token", "left_semi"), "lists-heavy")
-    tested, round_no, hubs = None, 0, True
-    while True:
-        component = connected_components(links)
-        labelled = lists.join(component.withColumnRenamed("node", "ord"), "ord", "left").withColumn("component", F.coalesce("component", "ord"))
-        open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-        labelled = stage(labelled.join(open_lists, "token", "left_semi"), f"open-lists-{round_no}")
-        lists = labelled.drop("component")  # a list within one component stays so
-        own = F.struct("ord", "slot", "n", "component")
-        if hubs:
+    if light:
+        subsets = stage(_subsets(sets, percent, light), "subsets")
+        hub = subsets.where("kind = 1").groupBy("token").agg(F.min("ord").alias("hub"))
+        links = links.unionByName(subsets.join(hub, "token").where("ord <> hub").select(F.col("hub").alias("a"), F.col("ord").alias("b")))
+    labels = member.select(F.col("rep").alias("ord")).distinct().withColumn("label", F.col("ord"))
+    labels = _relabelled(labels, links, "labels-light")
+
+    heavy = sets.where((F.col("n") > light) | (100 * F.col("n") >= percent * (light + 1)))
+    lists = _lists(heavy)
+    for round_no in range(hub_rounds + 1):
+        labelled = lists.join(labels, "ord")
+        apart = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
+        labelled = stage(labelled.join(apart, "token", "left_semi"), f"lists-{round_no}")
+        lists = labelled.drop("label")  # a list within one component stays so
+        own = F.struct("ord", "row", "n", "label")
+        if round_no < hub_rounds:
             # one hub a list, by a hash of the set that is the same in all its lists and another each round
-            drawn = F.struct(F.xxhash64("ord", "slot", F.lit(round_no)).alias("h"), own.alias("hub"))
+            drawn = F.struct(F.xxhash64("ord", "row", F.lit(round_no)).alias("h"), own.alias("hub"))
             met = labelled.join(labelled.groupBy("token").agg(F.min(drawn).alias("x")).select("token", "x.hub"), "token")
         else:
             # what is still apart within a list, in full
-            other = labelled.select("token", own.alias("hub"))
-            met = labelled.join(other, "token").where("hub.ord < ord or (hub.ord = ord and hub.slot < slot)")
+            met = labelled.join(labelled.select("token", own.alias("hub")), "token").where("hub.ord < ord or (hub.ord = ord and hub.row < row)")
         sizes_fit = 100 * F.least("hub.n", "n") >= percent * F.greatest("hub.n", "n")
-        met = met.where((F.col("hub.component") != F.col("component")) & sizes_fit).groupBy(
-            F.col("ord").alias("b"), F.col("slot").alias("b_slot"), F.col("hub.ord").alias("a"), F.col("hub.slot").alias("a_slot"),
-            F.col("n").alias("b_n"), F.col("hub.n").alias("a_n")).agg(F.count(F.lit(1)).alias("times"))
+        met = met.where((F.col("hub.label") != F.col("label")) & sizes_fit).groupBy(
+            F.col("ord").alias("b"), F.col("row").alias("b_row"), F.col("label").alias("b_label"), F.col("n").alias("b_n"),
+            F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("hub.label").alias("a_label"), F.col("hub.n").alias("a_n"),
+        ).agg(F.count(F.lit(1)).alias("times"))
         pairs = met.where(_may_link(percent))
-        if hubs:  # of the hubs a set meets, the one it meets most often
-            pairs = pairs.groupBy("b", "b_slot").agg(F.max(F.struct("times", "a", "a_slot")).alias("x")).select("x.a", "x.a_slot", "b", "b_slot")
-        pairs = pairs.select("a", "a_slot", "b", "b_slot")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "a_slot", "b", "b_slot"], "left_anti").join(
-                tested.toDF("b", "b_slot", "a", "a_slot"), ["a", "a_slot", "b", "b_slot"], "left_anti")
-        pairs = stage(pairs, f"pairs-{round_no}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        wanted = pairs.select("a", "a_slot").union(pairs.select("b", "b_slot")).distinct().toDF("ord", "slot")
-        near = narrowed(source, "ord", wanted.select("ord"))
-        # rows that repeat an id and a text would only repeat comparisons
-        sets = stage(_sets(near.join(wanted, ["ord", "slot"], "left_semi"), n), f"sets-{round_no}")
-        found = stage(_linked(pairs, sets, percent).distinct(), f"links-{round_no}")
-        links = links.unionByName(found)
-        if not hubs:
-            break
-        # hubs go on while they join much of what is compared; what they leave apart is then paired in full
-        round_no, hubs = round_no + 1, round_no + 1 < hub_rounds and 10 * found.count() > pairs.count()
-
-    component = connected_components(links).withColumnRenamed("node", "c_node")
-    out = rows.join(component, rows[ID] == component["c_node"], "left")
+        if round_no < hub_rounds:  # of the hubs a set meets, the one it meets most often
+            pairs = pairs.groupBy("b", "b_row", "b_label").agg(F.max(F.struct("times", "a", "a_row", "a_label")).alias("x")).select(
+                "x.*", "b", "b_row", "b_label")
+        pairs = pairs.select("a", "a_row", "a_label", "b", "b_row", "b_label")
+        labels = _relabelled(labels, _linked(pairs, sets, percent), f"labels-{round_no}")
+
+    # a document's component is that of one of its sets
+    final = member.groupBy("id").agg(F.min("rep").alias("rep")).join(labels, F.col("rep") == F.col("ord")).select("id", "label")
+    out = rows.join(final, rows[ID] == final["id"], "left")
     return out.select(F.col(ID).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                      F.coalesce("component", F.col(ID)).alias("component_id"))
+                      F.coalesce("label", F.col(ID)).alias("component_id"))
 
 
-def _may_link(percent: int):
+def _may_link(percent: int) -> Column:
     """Whether sets that share ``times`` listed shingles can reach the threshold.
 
     Of two sets, take the one whose list ends first in the common order: what it lists and the other has is
