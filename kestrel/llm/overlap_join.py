@@ -12,10 +12,10 @@ link allows has none.  For the sets left all shingles are counted, and a set kee
 it stays if they can reach the threshold.  Ordered from the rarest up, a heavy set is listed only under its
 first shingles (two sets that reach the threshold share one of those).
 
-Lists are scanned without making the pairs of a list: in each of some rounds a set is compared with one hub
-of its lists, and what links is one component from then on.  What is then still apart within a list is paired,
-but only across components, and compared in full only where the shingles that two sets share in their lists
-leave the threshold possible, so the result is exact.
+Lists are scanned without making the pairs of a list: in each of some rounds a set meets some hubs of its
+lists and is compared with the one it meets most often, and what links is one component from then on.  What is
+then still apart within a list is paired, but only across components, and only where sizes, places and number
+of the shingles that two sets share leave the threshold possible, so the result is exact.
 
 Defined results: an empty set (no words) links with nothing; fewer than ``n`` words make one shingle of the
 whole text; a row with a null id links with nothing and has a null component; rows that repeat an id share a
@@ -44,6 +44,8 @@ SIEVE = 7
 HOT_SHARE = 50_000
 #: a set of this size has more subsets than any table has rows, so the boundary is below it
 _NEVER_LIGHT = 100
+#: hubs of a list in a round
+HUBS = 16
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,18 +234,21 @@ def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def _lists(sets: DataFrame) -> DataFrame:
-    """A row for every shingle that a set lists."""
+    """A row for every shingle that a set lists, with its place in the order of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             listed = batch.column(4).to_numpy()
+            own = batch.column(2).to_numpy() - pc.binary_length(batch.column(3)).to_numpy() // 8  # shingles that no other set has
+            place = np.arange(listed.sum()) - np.repeat(np.cumsum(listed) - listed, listed) + np.repeat(own, listed)
             token = np.concatenate([np.frombuffer(x.as_buffer(), np.int64)[:m] for x, m in zip(batch.column(3), listed)])
             at = pa.array(np.repeat(np.arange(len(listed)), listed))
-            yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)]], ["token", "ord", "row", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)], pa.array(place.astype(np.int32))],
+                ["token", "ord", "row", "n", "pos"])
 
-    return sets.mapInArrow(run, "token long, ord long, row long, n int")
+    return sets.mapInArrow(run, "token long, ord long, row long, n int, pos int")
 
 
 def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
@@ -268,6 +273,39 @@ def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
     return sets.where(F.col("n") <= light).mapInArrow(run, "token long, ord long, kind tinyint")
 
 
+def _reaches(overlap: Column, a: Column, b: Column, percent: int) -> Column:
+    """Whether sets of these sizes with this overlap are linked."""
+    return overlap * (100 + percent) >= percent * (a + b)
+
+
+def _meetings(labelled: DataFrame, percent: int, round_no: int | None) -> DataFrame:
+    """Rows (one set, the other as ``hub``) of one list, not in one component, that may still link from this shingle on.
+
+    With a round, each list gives up to ``HUBS`` hubs, by a hash of the set that is the same in all its lists and
+    another each round; without, each two sets of a list meet.  A shingle after which too little of one of both
+    sets is left for a link, were it their first common one, makes no row: nor would any later one.
+    """
+    own = F.struct("ord", "row", "n", "label", "pos")
+    if round_no is None:
+        met = labelled.join(labelled.select("token", own.alias("hub")), "token").where("hub.ord < ord or (hub.ord = ord and hub.row < row)")
+    else:
+        h = F.xxhash64("ord", "row", F.lit(round_no))
+        drawn = labelled.select("token", F.pmod(h, F.lit(HUBS)).alias("place"), F.struct(h.alias("h"), own.alias("hub")).alias("x"))
+        met = labelled.join(drawn.groupBy("token", "place").agg(F.min("x").alias("x")).select("token", "x.hub"), "token")
+    left = F.least(F.col("hub.n") - F.col("hub.pos"), F.col("n") - F.col("pos"))
+    return met.where((F.col("hub.label") != F.col("label")) & _reaches(left, F.col("n"), F.col("hub.n"), percent))
+
+
+def _pairs(met: DataFrame, percent: int) -> DataFrame:
+    """The pairs that meet so often that with all that is left after their last meeting they can link."""
+    pairs = met.groupBy(
+        F.col("ord").alias("b"), F.col("row").alias("b_row"), F.col("label").alias("b_label"), F.col("n").alias("b_n"),
+        F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("hub.label").alias("a_label"), F.col("hub.n").alias("a_n"),
+    ).agg(F.count(F.lit(1)).alias("times"), F.max("hub.pos").alias("a_pos"), F.max("pos").alias("b_pos"))
+    left = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
+    return pairs.where(_reaches(F.col("times") + left, F.col("a_n"), F.col("b_n"), percent))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a_label, b_label) whose sets reach the threshold, compared in full."""
     left = sets.select("ord", "row", "n", "items").toDF("a", "a_row", "a_n", "a_items")
@@ -331,20 +369,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         apart = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
         labelled = stage(labelled.join(apart, "token", "left_semi"), f"lists-{round_no}")
         lists = labelled.drop("label")  # a list within one component stays so
-        own = F.struct("ord", "row", "n", "label")
-        if round_no < hub_rounds:
-            # one hub a list, by a hash of the set that is the same in all its lists and another each round
-            drawn = F.struct(F.xxhash64("ord", "row", F.lit(round_no)).alias("h"), own.alias("hub"))
-            met = labelled.join(labelled.groupBy("token").agg(F.min(drawn).alias("x")).select("token", "x.hub"), "token")
-        else:
-            # what is still apart within a list, in full
-            met = labelled.join(labelled.select("token", own.alias("hub")), "token").where("hub.ord < ord or (hub.ord = ord and hub.row < row)")
-        sizes_fit = 100 * F.least("hub.n", "n") >= percent * F.greatest("hub.n", "n")
-        met = met.where((F.col("hub.label") != F.col("label")) & sizes_fit).groupBy(
-            F.col("ord").alias("b"), F.col("row").alias("b_row"), F.col("label").alias("b_label"), F.col("n").alias("b_n"),
-            F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("hub.label").alias("a_label"), F.col("hub.n").alias("a_n"),
-        ).agg(F.count(F.lit(1)).alias("times"))
-        pairs = met.where(_may_link(percent))
+        # the last round compares what is still apart within a list, in full
+        pairs = _pairs(_meetings(labelled, percent, round_no if round_no < hub_rounds else None), percent)
         if round_no < hub_rounds:  # of the hubs a set meets, the one it meets most often
             pairs = pairs.groupBy("b", "b_row", "b_label").agg(F.max(F.struct("times", "a", "a_row", "a_label")).alias("x")).select(
                 "x.*", "b", "b_row", "b_label")
@@ -356,14 +382,3 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     out = rows.join(final, rows[ID] == final["id"], "left")
     return out.select(F.col(ID).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                       F.coalesce("label", F.col(ID)).alias("component_id"))
-
-
-def _may_link(percent: int) -> Column:
-    """Whether sets that share ``times`` listed shingles can reach the threshold.
-
-    Of two sets, take the one whose list ends first in the common order: what it lists and the other has is
-    listed by both, so beyond ``times`` they share at most what it does not list.
-    """
-    unlisted = [F.floor((percent * F.col(c) + 99) / 100) - 1 for c in ("a_n", "b_n")]
-    needed = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
-    return F.col("times") + F.greatest(*unlisted) >= needed

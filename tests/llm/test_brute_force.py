@@ -201,7 +201,7 @@ def test_isolation_forest_finds_plain_junk(spark, half):
     assert good.kept.mean() > 0.99
 
 
-def test_overlap_join(docs, empty):
+def test_overlap_join(docs, empty, monkeypatch):
     low = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
     sets = []
     for _, t in ROWS:
@@ -225,6 +225,8 @@ def test_overlap_join(docs, empty):
     assert got(overlap_join.near_duplicates(docs), "doc_id", "n_shingles", "component_id") == expected
     assert got(overlap_join.near_duplicates(docs, hub_rounds=0 + 1), "doc_id", "n_shingles", "component_id") == expected
     assert overlap_join.near_duplicates(empty).count() == 0
+    monkeypatch.setattr(overlap_join, "boundary", lambda sizes, percent: 8)  # small sets by their subsets
+    assert got(overlap_join.near_duplicates(docs, hub_rounds=0), "doc_id", "n_shingles", "component_id") == expected
 
 
 def test_small_sets_enumerate_every_link():
