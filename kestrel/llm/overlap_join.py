@@ -14,8 +14,8 @@ first shingles (two sets that reach the threshold share one of those).
 
 Lists are scanned without making the pairs of a list: in each of some rounds a set meets some hubs of its
 lists and is compared with the one it meets most often, and what links is one component from then on.  What is
-then still apart within a list is paired, but only across components, and only where sizes, places and number
-of the shingles that two sets share leave the threshold possible, so the result is exact.
+then still apart within a list is paired, but only across components, and only where sizes and the places
+of a shared shingle in both orders leave the threshold possible, so the result is exact.
 
 Defined results: an empty set (no words) links with nothing; fewer than ``n`` words make one shingle of the
 whole text; a row with a null id links with nothing and has a null component; rows that repeat an id share a
@@ -234,7 +234,7 @@ def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def _lists(sets: DataFrame) -> DataFrame:
-    """A row for every shingle that a set lists, with its place in the order of the set."""
+    """A row for every shingle that a set lists, with its place in the order of the set and the one listed before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,10 +245,11 @@ def _lists(sets: DataFrame) -> DataFrame:
             place = np.arange(listed.sum()) - np.repeat(np.cumsum(listed) - listed, listed) + np.repeat(own, listed)
             token = np.concatenate([np.frombuffer(x.as_buffer(), np.int64)[:m] for x, m in zip(batch.column(3), listed)])
             at = pa.array(np.repeat(np.arange(len(listed)), listed))
-            yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)], pa.array(place.astype(np.int32))],
-                ["token", "ord", "row", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)], pa.array(place.astype(np.int32)),
+                 pa.array(np.roll(token, 1), mask=np.roll(np.diff(np.repeat(np.arange(len(listed)), listed), append=len(listed)) > 0, 1))],
+                ["token", "ord", "row", "n", "pos", "before"])
 
-    return sets.mapInArrow(run, "token long, ord long, row long, n int, pos int")
+    return sets.mapInArrow(run, "token long, ord long, row long, n int, pos int, before long")
 
 
 def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
@@ -285,9 +286,11 @@ def _meetings(labelled: DataFrame, percent: int, round_no: int | None) -> DataFr
     another each round; without, each two sets of a list meet.  A shingle after which too little of one of both
     sets is left for a link, were it their first common one, makes no row: nor would any later one.
     """
-    own = F.struct("ord", "row", "n", "label", "pos")
+    own = F.struct("ord", "row", "n", "label", "pos", "before")
     if round_no is None:
-        met = labelled.join(labelled.select("token", own.alias("hub")), "token").where("hub.ord < ord or (hub.ord = ord and hub.row < row)")
+        # after a common shingle before it, this one is not the first common one
+        met = labelled.join(labelled.select("token", own.alias("hub")), "token").where(
+            "(hub.ord < ord or (hub.ord = ord and hub.row < row)) and not coalesce(hub.before = before, false)")
     else:
         h = F.xxhash64("ord", "row", F.lit(round_no))
         drawn = labelled.select("token", F.pmod(h, F.lit(HUBS)).alias("place"), F.struct(h.alias("h"), own.alias("hub")).alias("x"))
@@ -296,14 +299,12 @@ def _meetings(labelled: DataFrame, percent: int, round_no: int | None) -> DataFr
     return met.where((F.col("hub.label") != F.col("label")) & _reaches(left, F.col("n"), F.col("hub.n"), percent))
 
 
-def _pairs(met: DataFrame, percent: int) -> DataFrame:
-    """The pairs that meet so often that with all that is left after their last meeting they can link."""
-    pairs = met.groupBy(
-        F.col("ord").alias("b"), F.col("row").alias("b_row"), F.col("label").alias("b_label"), F.col("n").alias("b_n"),
-        F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("hub.label").alias("a_label"), F.col("hub.n").alias("a_n"),
-    ).agg(F.count(F.lit(1)).alias("times"), F.max("hub.pos").alias("a_pos"), F.max("pos").alias("b_pos"))
-    left = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
-    return pairs.where(_reaches(F.col("times") + left, F.col("a_n"), F.col("b_n"), percent))
+def _pairs(met: DataFrame) -> DataFrame:
+    """The pairs that meet, and how often."""
+    return met.groupBy(
+        F.col("ord").alias("b"), F.col("row").alias("b_row"), F.col("label").alias("b_label"),
+        F.col("hub.ord").alias("a"), F.col("hub.row").alias("a_row"), F.col("hub.label").alias("a_label"),
+    ).agg(F.count(F.lit(1)).alias("times"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -370,7 +371,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         labelled = stage(labelled.join(apart, "token", "left_semi"), f"lists-{round_no}")
         lists = labelled.drop("label")  # a list within one component stays so
         # the last round compares what is still apart within a list, in full
-        pairs = _pairs(_meetings(labelled, percent, round_no if round_no < hub_rounds else None), percent)
+        pairs = _pairs(_meetings(labelled, percent, round_no if round_no < hub_rounds else None))
         if round_no < hub_rounds:  # of the hubs a set meets, the one it meets most often
             pairs = pairs.groupBy("b", "b_row", "b_label").agg(F.max(F.struct("times", "a", "a_row", "a_label")).alias("x")).select(
                 "x.*", "b", "b_row", "b_label")
