@@ -1,14 +1,16 @@
 """Quality rules: an isolation forest on rule statistics.
 
 Rule statistics of every whole text are counted once.  Base rules (too few words, too much repetition)
-reject on their own.  For the rest, trees of random splits, each over a small draw from a bounded sample of
-labelled rows, isolate a document by how far its rule ratios lie outside the range of the labelled good rows:
-the shorter the mean path, the more anomalous.  Each ratio counts on its bad side only, the mean length of words
-on either; all that lies within the range is equally ordinary.  The trees see the good rows and a few of the bad ones (many alike would hide each other).  The threshold is the
-one that best tells the labelled bad rows from the good at a bounded loss of good ones.
+reject on their own.  For the rest, trees of random splits, over the labelled rows, isolate a document by how
+far its rule ratios lie outside the range of the labelled good rows: the shorter the mean path, the more
+anomalous.  Each ratio counts on its bad side only, the mean length of words on either; all that lies within the
+range is equally ordinary.  Bad rows weigh little in the trees (many alike would hide each other).  The threshold
+is the one that best tells the labelled bad rows from the good at a bounded loss of good ones.
 
-The sample is the only thing bounded: ``sample_rows`` labelled rows, those with the smallest hash of their
-id.  Everything else covers all rows.
+Range, trees and threshold come from all labelled rows that pass the base rules.  The ends of the range are order
+statistics, found digit by digit from counts of all good rows.  Every labelled row goes to at least one tree, and
+to so many that each tree has about ``draw`` rows or more; a tree is grown in a task of its own.  Scores are
+steps of 1 / ``STEPS``, so the threshold is chosen from the good and bad rows counted at each step.
 
 Defined results: a null or blank text has no words and fails the base rules; rows that repeat an id are
 judged each by its own text; with no labelled row of either quality no threshold can be set and only the
@@ -100,56 +102,138 @@ def rule_ratios(c: dict[str, np.ndarray]) -> np.ndarray:
                      beyond(c["n_dup_lines"] / lines), beyond(c["n_repeat_words"] / words), chars / words, -chars / words], axis=1)
 
 
-def good_limits(ratios: np.ndarray, clean_loss: float) -> np.ndarray:
-    """The upper end of each ratio of good rows, beyond which ``clean_loss`` of them at most lie in all."""
-    return np.quantile(ratios, 1 - clean_loss / ratios.shape[1], axis=0, method="higher")
+#: ratios of a document, and digits of a number in the search for an order statistic
+_RATIOS, _DIGIT_BITS = 7, 11
+
+
+def _sortable(x: np.ndarray) -> np.ndarray:
+    """Numbers as unsigned integers in the same order."""
+    bits = (x + 0.0).view(np.int64)
+    return (bits ^ ((bits >> 63) & np.int64(0x7FFF_FFFF_FFFF_FFFF))).view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def _unsorted(keys: np.ndarray) -> np.ndarray:
+    bits = (keys ^ np.uint64(1 << 63)).view(np.int64)
+    return (bits ^ ((bits >> 63) & np.int64(0x7FFF_FFFF_FFFF_FFFF))).view(np.float64)
+
+
+def _batch_ratios(batch: pa.RecordBatch) -> np.ndarray:
+    return rule_ratios({c: batch.column(c).to_numpy() for c in _COUNTS})
+
+
+def good_limits(good: DataFrame, rows: int, clean_loss: float) -> np.ndarray:
+    """The upper end of each ratio of all good rows (so many ``rows``), beyond which ``clean_loss`` of them at most lie in all.
+
+    A digit of each end in a pass: the rows that agree with the digits so far are counted by their next one.
+    """
+    rank = np.full(_RATIOS, ceil((1 - clean_loss / _RATIOS) * (rows - 1)))
+    known, left = np.zeros(_RATIOS, np.uint64), 64
+    while left:
+        bits = min(_DIGIT_BITS, left)
+        left -= bits
+
+        def count(batches: Iterator[pa.RecordBatch], known=known, shift=left, bits=bits) -> Iterator[pa.RecordBatch]:
+            found = np.zeros((_RATIOS, 1 << bits), np.int64)
+            for batch in batches:
+                keys = _sortable(_batch_ratios(batch)) >> np.uint64(shift)
+                for i in range(_RATIOS):
+                    own = keys[:, i][(keys[:, i] >> np.uint64(bits)) == known[i]]
+                    found[i] += np.bincount((own & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+            i, digit = np.nonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(digit), pa.array(found[i, digit])], ["ratio", "digit", "n"])
+
+        counts = good.mapInArrow(count, "ratio long, digit long, n long").groupBy("ratio", "digit").agg(F.sum("n").alias("n")).collect()
+        found = np.zeros((_RATIOS, 1 << bits), np.int64)
+        for r in counts:
+            found[r["ratio"], r["digit"]] = r["n"]
+        below = np.cumsum(found, axis=1)
+        digit = (below <= rank[:, None]).sum(axis=1)
+        rank = rank - np.where(digit > 0, below[np.arange(_RATIOS), digit - 1], 0)
+        known = (known << np.uint64(bits)) | digit.astype(np.uint64)
+    return _unsorted(known)
 
 
 def excess(ratios: np.ndarray, limits: np.ndarray) -> np.ndarray:
     return np.maximum(0, ratios - limits)
 
 
-class IsolationForest:
-    """Trees as flat arrays: feature (-1 in a leaf), split, right child (the left one is next), path length at a leaf."""
+#: steps of the anomaly score, which lies between 0 and 1
+STEPS = 1 << 16
+_TREE = "feature array<long>, split array<double>, right array<long>, length array<double>"
+
+
+def mean_path(n: float) -> float:
+    """Mean path of an unsuccessful search among ``n`` rows."""
+    return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
 
-    def __init__(self, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], draw: int):
-        self.trees, self.draw = trees, draw
 
-    @staticmethod
-    def mean_path(n: int) -> float:
-        """Mean path of an unsuccessful search among ``n`` rows."""
-        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+def grow_tree(x: np.ndarray, weight: np.ndarray, depth_limit: int, rng: np.random.Generator) -> tuple[list, list, list, list]:
+    """A tree over weighted rows as flat arrays: feature (-1 in a leaf), split, right child (the left one is next), path length at a leaf."""
+    feature, split, right, length = [], [], [], []
+
+    def grow(rows: np.ndarray, depth: int) -> None:
+        at, total = len(feature), weight[rows].sum()
+        for part in (feature, split, right, length):
+            part.append(0)
+        own = x[rows]
+        spread = np.flatnonzero(own.max(0) > own.min(0)) if len(rows) > 1 and total > 1 and depth < depth_limit else []
+        if len(spread) == 0:
+            feature[at], length[at] = -1, float(depth + mean_path(total))
+            return
+        f = int(rng.choice(spread))
+        v = float(rng.uniform(own[:, f].min(), own[:, f].max()))
+        feature[at], split[at] = f, v
+        grow(rows[own[:, f] <= v], depth + 1)
+        right[at] = len(feature)
+        grow(rows[own[:, f] > v], depth + 1)
+
+    grow(np.arange(len(x)), 0)
+    return feature, [float(v) for v in split], right, [float(v) for v in length]
+
+
+class IsolationForest:
+    """Trees of ``grow_tree``, each over about ``size`` rows."""
+
+    def __init__(self, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], size: float):
+        self.trees, self.size = trees, size
 
     @classmethod
-    def fit(cls, x: np.ndarray, *, trees: int = 100, draw: int = 256, seed: int = 0) -> IsolationForest:
-        rng = np.random.default_rng(seed)
-        draw = min(draw, len(x))
-        limit = ceil(log2(max(2, draw)))
-        made = []
-        for _ in range(trees):
-            feature, split, right, length = [], [], [], []
-
-            def grow(rows: np.ndarray, depth: int) -> None:
-                at = len(feature)  # noqa: B023  (used at once)
-                for part in (feature, split, right, length):  # noqa: B023
-                    part.append(0)
-                spread = np.flatnonzero(rows.max(0) > rows.min(0)) if len(rows) > 1 and depth < limit else []
-                if len(spread) == 0:
-                    feature[at], length[at] = -1, depth + cls.mean_path(len(rows))  # noqa: B023
-                    return
-                f = int(rng.choice(spread))
-                v = rng.uniform(rows[:, f].min(), rows[:, f].max())
-                feature[at], split[at] = f, v  # noqa: B023
-                grow(rows[rows[:, f] <= v], depth + 1)
-                right[at] = len(feature)  # noqa: B023
-                grow(rows[rows[:, f] > v], depth + 1)
-
-            grow(x[rng.choice(len(x), draw, replace=False)], 0)
-            made.append((np.array(feature), np.array(split, float), np.array(right), np.array(length, float)))
-        return cls(made, draw)
+    def fit(cls, labelled: DataFrame, limits: np.ndarray, good_rows: int, bad_rows: int, *, trees: int, draw: int, bad_share: float,
+            seed: int) -> IsolationForest:
+        """Trees over all ``labelled`` rows (counts and ``good``); the bad ones together weigh ``bad_share`` of the good at most."""
+        each = min(trees, max(1, ceil(trees * draw / (good_rows + bad_rows))))  # trees that a row goes to
+        bad_weight = min(1.0, max(1.0, bad_share * good_rows) / max(1, bad_rows))
+        depth_limit = ceil(log2(max(2, min(draw, good_rows + bad_rows))))
+        names = [f"x{i}" for i in range(_RATIOS)]
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first in range(0, batch.num_rows, max(1, 200_000 // each)):
+                    part = batch.slice(first, max(1, 200_000 // each))
+                    x = excess(_batch_ratios(part), limits)
+                    tree = (part.column("tree").to_numpy()[:, None] + np.arange(each)) % trees
+                    weight = np.where(part.column("good").to_numpy(zero_copy_only=False), 1.0, bad_weight)
+                    yield pa.RecordBatch.from_arrays([pa.array(tree.ravel()), *[pa.array(np.repeat(c, each)) for c in x.T], pa.array(np.repeat(weight, each))],
+                                                     ["tree", *names, "weight"])
+
+        def grow(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            x = np.stack([rows.column(c).to_numpy() for c in names], axis=1)
+            order = np.lexsort(x.T)
+            rng = np.random.default_rng([seed, key[0].as_py()])
+            made = grow_tree(x[order], rows.column("weight").to_numpy()[order], depth_limit, rng)
+            return pa.table([pa.array([key[0].as_py()]), *[pa.array([part]) for part in made]], names=["tree", "feature", "split", "right", "length"])
+
+        dealt = labelled.withColumn("tree", F.pmod(F.xxhash64(ID, ROW, F.lit(seed)), F.lit(trees)))
+        rows = dealt.mapInArrow(deal, "tree long, " + ", ".join(f"{c} double" for c in names) + ", weight double")
+        # rows within the range are all alike, so a tree reads few of them; weights are multiples of two numbers, and summed as counts
+        alike = rows.groupBy("tree", *names, "weight").agg(F.count(F.lit(1)).alias("n"))
+        grown = alike.withColumn("weight", F.col("weight") * F.col("n")).drop("n").groupBy("tree").applyInArrow(grow, f"tree long, {_TREE}").collect()
+        return cls([(np.array(r["feature"]), np.array(r["split"], float), np.array(r["right"]), np.array(r["length"], float))
+                    for r in sorted(grown, key=lambda r: r["tree"])], (good_rows + bad_weight * bad_rows) * each / trees)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """2 ** -(mean path / mean path of a draw): near 1 for the anomalous, near 0.5 and less for the ordinary."""
+        """2 ** -(mean path / mean path of a tree's rows), in ``STEPS``: near 1 for the anomalous, near 0.5 and less for the ordinary."""
+        x, back = np.unique(x, axis=0, return_inverse=True)
         total = np.zeros(len(x))
         rows = np.arange(len(x))
         for feature, split, right, length in self.trees:
@@ -159,22 +243,38 @@ class IsolationForest:
                 step = np.where(x[rows, f] <= split[at], at + 1, right[at])
                 at = np.where(inner, step, at)
             total += length[at]
-        return 2.0 ** -(total / len(self.trees) / max(1e-9, self.mean_path(self.draw)))
+        return (np.round(STEPS * 2.0 ** -(total / max(1, len(self.trees)) / max(1e-9, mean_path(self.size)))) / STEPS)[back.ravel()]
+
 
+def calibrate(score: np.ndarray, good: np.ndarray, bad: np.ndarray, clean_loss: float) -> float:
+    """The threshold with the most bad rows above it less the share of good ones, of which ``clean_loss`` at most go.
 
-def calibrate(score: np.ndarray, good: np.ndarray, clean_loss: float) -> float:
-    """The threshold with the most bad rows above it less the share of good ones, of which ``clean_loss`` at most go."""
-    if not good.any() or good.all():
+    ``good`` and ``bad`` are the numbers of rows with each score, which ascends.
+    """
+    if not good.sum() or not bad.sum():
         return float("inf")
-    at = np.unique(score)
-    cuts = np.concatenate([(at[1:] + at[:-1]) / 2, [np.inf]])
-    lost = 1 - np.searchsorted(np.sort(score[good]), cuts, side="right") / good.sum()
-    caught = 1 - np.searchsorted(np.sort(score[~good]), cuts, side="right") / (~good).sum()
+    cuts = np.concatenate([(score[1:] + score[:-1]) / 2, [np.inf]])
+    lost, caught = (1 - np.cumsum(n) / n.sum() for n in (good, bad))
     gain = np.where(lost <= clean_loss, caught - lost, -1)
     return float(cuts[np.flatnonzero(gain == gain.max())[-1]])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 20_000,
+def score_counts(labelled: DataFrame, forest: IsolationForest, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The scores of all labelled rows, ascending, and how many good and bad ones have each (at most ``STEPS`` + 1)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score, good = forest.score(excess(_batch_ratios(batch), limits)), batch.column("good").to_numpy(zero_copy_only=False)
+            at, back = np.unique(score, return_inverse=True)
+            n = [np.bincount(back[own], minlength=len(at)) for own in (good, ~good)]
+            yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(c) for c in n]], ["score", "good", "bad"])
+
+    found = labelled.mapInArrow(count, "score double, good long, bad long").groupBy("score").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    rows = sorted(found.collect())
+    return tuple(np.array([r[i] for r in rows]) for i in range(3))
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   trees: int = 200, draw: int = 1024, bad_share: float = 0.01, clean_loss: float = 0.005, min_words: int = 50,
                   max_repeat_percent: int = 50, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, kept, the anomaly score and a hash of the text."""
@@ -183,20 +283,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     stats = stats.withColumn("base_failed", failed)
     label = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("l")).agg(
         F.min("quality").alias("quality"))
-    labelled = stats.where("not base_failed").join(label, stats[ID] == label["l"]).withColumn("draw", F.pmod(F.xxhash64(ID), F.lit(1 << 30)))
-    # rows of small hash only, about half as many again as are kept: no task sends the driver a sample of its own
-    most = min(1.0, 1.5 * sample_rows / max(1, labelled.count())) * (1 << 30)
-    labelled = labelled.where(F.col("draw") <= int(most)).orderBy("draw", ID, *_COUNTS).limit(sample_rows)
-    sample = labelled.select(*_COUNTS, "quality").toPandas()  # at most sample_rows rows
+    labelled = stats.where("not base_failed").join(label, stats[ID] == label["l"]).select(ID, ROW, *_COUNTS, (F.col("quality") > 0).alias("good"))
+    labelled = stage(labelled, "labelled-rows")
+    rows = labelled.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).first()
     forest, limits, threshold = None, None, float("inf")
-    if len(sample):
-        x = rule_ratios({c: sample[c].to_numpy() for c in _COUNTS})
-        good = sample["quality"].to_numpy() > 0
-        limits = good_limits(x[good], clean_loss) if good.any() else np.zeros(x.shape[1])
-        x = excess(x, limits)
-        few = np.flatnonzero(~good)[: max(1, int(bad_share * good.sum()))]
-        forest = IsolationForest.fit(x[np.concatenate([np.flatnonzero(good), few])], trees=trees, draw=draw, seed=seed)
-        threshold = calibrate(forest.score(x), good, clean_loss)
+    if rows["good"] + rows["bad"]:
+        limits = good_limits(labelled.where("good"), rows["good"], clean_loss) if rows["good"] else np.zeros(_RATIOS)
+        forest = IsolationForest.fit(labelled, limits, rows["good"], rows["bad"], trees=trees, draw=draw, bad_share=bad_share, seed=seed)
+        threshold = calibrate(*score_counts(labelled, forest, limits), clean_loss)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -201,6 +201,26 @@ def test_isolation_forest_finds_plain_junk(spark, half):
     assert good.kept.mean() > 0.99
 
 
+
+def test_quality_rules_learn_from_all_labelled_rows(spark):
+    """Range, trees and scores counted over every labelled row, against numpy over the same rows."""
+    rng = np.random.default_rng(3)
+    counts = [[int(v) for v in rng.integers(50, 400, 8)] for _ in range(23_000)]
+    good = [bool(v) for v in rng.random(len(counts)) < 0.8]
+    names = isolation_rules._COUNTS
+    labelled = spark.createDataFrame([(i, i, *c, g) for i, (c, g) in enumerate(zip(counts, good))],
+                                     "__doc long, __row long, " + ", ".join(f"{c} long" for c in names) + ", good boolean").repartition(3)
+    x = isolation_rules.rule_ratios({c: np.array(counts)[:, i] for i, c in enumerate(names)})
+    n = sum(good)
+    limits = isolation_rules.good_limits(labelled.where("good"), n, 0.1)
+    assert limits.tolist() == np.quantile(x[np.array(good)], 1 - 0.1 / 7, axis=0, method="higher").tolist()
+    forest = isolation_rules.IsolationForest.fit(labelled, limits, n, len(good) - n, trees=8, draw=64, bad_share=0.01, seed=1)
+    assert len(forest.trees) == 8 and abs(8 * forest.size - 1.01 * n) < 1e-6  # a row in one tree each, the bad ones 1 % of the good
+    score, has_good, has_bad = isolation_rules.score_counts(labelled, forest, limits)
+    assert (has_good.sum(), has_bad.sum()) == (n, len(good) - n)
+    assert Counter(forest.score(isolation_rules.excess(x, limits)).tolist()) == Counter(dict(zip(score.tolist(), (has_good + has_bad).tolist())))
+
+
 def test_overlap_join(docs, empty, monkeypatch):
     low = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
     sets = []
