@@ -14,8 +14,10 @@ first shingles (two sets that reach the threshold share one of those).
 
 Lists are scanned without making the pairs of a list: in each of some rounds a set meets some hubs of its
 lists and is compared with the one it meets most often, and what links is one component from then on.  What is
-then still apart within a list is paired, but only across components, and only where sizes and the places
-of a shared shingle in both orders leave the threshold possible, so the result is exact.
+then still apart within a list is paired, but only across components, and only where sizes, the places of a
+shared shingle in both orders and the sketches of both sets leave the threshold possible, so the result is exact.
+The sketch of a set is a bitmap in which each of its shingles flips a bit: two sets differ in at least as many
+shingles as their sketches do in bits.
 
 Defined results: an empty set (no words) links with nothing; fewer than ``n`` words make one shingle of the
 whole text; a row with a null id links with nothing and has a null component; rows that repeat an id share a
@@ -25,6 +27,7 @@ component; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -46,6 +49,8 @@ HOT_SHARE = 50_000
 _NEVER_LIGHT = 100
 #: hubs of a list in a round
 HUBS = 16
+#: numbers of 64 bits in the sketch of a set
+SKETCH = 8
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +104,14 @@ def boundary(sizes: dict[int, tuple[int, int]], percent: int) -> int:
     return min([0, *sorted(sizes)], key=cost)
 
 
+def _sketches(items: list[np.ndarray]) -> np.ndarray:
+    """For each set ``SKETCH`` numbers of 64 bits, in which each of its shingles flips one bit."""
+    values = mix(np.concatenate([*items, np.zeros(0, np.int64)]).view(np.uint64))
+    bit = (values % np.uint64(64 * SKETCH)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(len(items)), [len(x) for x in items]) * 64 * SKETCH + bit, minlength=len(items) * 64 * SKETCH)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(len(items), 64 * SKETCH), axis=1).view(np.int64)
+
+
 def _digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """128 bits of each set, as two numbers."""
     import xxhash
@@ -186,6 +199,7 @@ def _salted(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tokens.withColumn("salt", salt("token", spread)), counts.withColumn("salt", F.explode(every))
 
 
+_BITS = [f"bits{i}" for i in range(SKETCH)]
 _SETS = "ord long, row long, n int, items binary, listed int, scan long"
 
 
@@ -234,7 +248,7 @@ def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def _lists(sets: DataFrame) -> DataFrame:
-    """A row for every shingle that a set lists, with its place in the order of the set and the one listed before it."""
+    """A row for every shingle that a set lists, with its place in the order of the set, the one listed before it, and the set's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,13 +257,16 @@ def _lists(sets: DataFrame) -> DataFrame:
             listed = batch.column(4).to_numpy()
             own = batch.column(2).to_numpy() - pc.binary_length(batch.column(3)).to_numpy() // 8  # shingles that no other set has
             place = np.arange(listed.sum()) - np.repeat(np.cumsum(listed) - listed, listed) + np.repeat(own, listed)
-            token = np.concatenate([np.frombuffer(x.as_buffer(), np.int64)[:m] for x, m in zip(batch.column(3), listed)])
+            items = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
+            token = np.concatenate([x[:m] for x, m in zip(items, listed)])
+            sketch, shared = _sketches(items), np.array([len(x) for x in items], np.int32)
             at = pa.array(np.repeat(np.arange(len(listed)), listed))
             yield pa.RecordBatch.from_arrays([pa.array(token), *[batch.column(i).take(at) for i in (0, 1, 2)], pa.array(place.astype(np.int32)),
-                 pa.array(np.roll(token, 1), mask=np.roll(np.diff(np.repeat(np.arange(len(listed)), listed), append=len(listed)) > 0, 1))],
-                ["token", "ord", "row", "n", "pos", "before"])
+                 pa.array(np.roll(token, 1), mask=np.roll(np.diff(np.repeat(np.arange(len(listed)), listed), append=len(listed)) > 0, 1)),
+                 pa.array(shared).take(at), *[pa.array(bits.copy()).take(at) for bits in sketch.T]],
+                ["token", "ord", "row", "n", "pos", "before", "shared", *_BITS])
 
-    return sets.mapInArrow(run, "token long, ord long, row long, n int, pos int, before long")
+    return sets.mapInArrow(run, "token long, ord long, row long, n int, pos int, before long, shared int, " + ", ".join(f"{b} long" for b in _BITS))
 
 
 def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
@@ -284,9 +301,10 @@ def _meetings(labelled: DataFrame, percent: int, round_no: int | None) -> DataFr
 
     With a round, each list gives up to ``HUBS`` hubs, by a hash of the set that is the same in all its lists and
     another each round; without, each two sets of a list meet.  A shingle after which too little of one of both
-    sets is left for a link, were it their first common one, makes no row: nor would any later one.
+    sets is left for a link, were it their first common one, makes no row: nor would any later one.  Nor do sets
+    whose sketches differ too much for the overlap of a link.
     """
-    own = F.struct("ord", "row", "n", "label", "pos", "before")
+    own = F.struct("ord", "row", "n", "label", "pos", "before", "shared", *_BITS)
     if round_no is None:
         # after a common shingle before it, this one is not the first common one
         met = labelled.join(labelled.select("token", own.alias("hub")), "token").where(
@@ -296,7 +314,11 @@ def _meetings(labelled: DataFrame, percent: int, round_no: int | None) -> DataFr
         drawn = labelled.select("token", F.pmod(h, F.lit(HUBS)).alias("place"), F.struct(h.alias("h"), own.alias("hub")).alias("x"))
         met = labelled.join(drawn.groupBy("token", "place").agg(F.min("x").alias("x")).select("token", "x.hub"), "token")
     left = F.least(F.col("hub.n") - F.col("hub.pos"), F.col("n") - F.col("pos"))
-    return met.where((F.col("hub.label") != F.col("label")) & _reaches(left, F.col("n"), F.col("hub.n"), percent))
+    # the shingles that both sets have cancel out: at least ``differ`` of the others are in one set only
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"hub.{b}"))) for b in _BITS])
+    most = F.floor((F.col("shared") + F.col("hub.shared") - differ) / 2)
+    return met.where((F.col("hub.label") != F.col("label")) & _reaches(left, F.col("n"), F.col("hub.n"), percent)
+                     & _reaches(most, F.col("n"), F.col("hub.n"), percent))
 
 
 def _pairs(met: DataFrame) -> DataFrame:

@@ -221,6 +221,31 @@ def test_quality_rules_learn_from_all_labelled_rows(spark):
     assert Counter(forest.score(isolation_rules.excess(x, limits)).tolist()) == Counter(dict(zip(score.tolist(), (has_good + has_bad).tolist())))
 
 
+
+def test_sketches_leave_few_pairs_to_compare(spark, monkeypatch):
+    """Sets put together from the same passages share many shingles, but few of them enough for a link: few pairs are compared in full."""
+    rng = np.random.default_rng(11)
+    passages = [" ".join(f"w{p}x{i}" for i in range(25)) for p in range(14)]
+    texts = [" ".join(passages[p] for p in sorted(rng.choice(14, 9, replace=False))) for _ in range(120)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = [[100 * len(a & b) >= 75 * len(a | b) for b in sets] for a in sets]
+    linked = sum(near[i][j] for i in range(120) for j in range(i) if sets[i] != sets[j])
+    compared, real = [], overlap_join._linked
+
+    def counted(pairs, *rest):
+        compared.append(pairs.select("a", "b").distinct().count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(overlap_join, "_linked", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["component_id"] for r in overlap_join.near_duplicates(docs, hub_rounds=0).collect()}
+    assert compared[0] <= 2 * linked + 20
+    component = list(range(120))
+    for _ in range(120):
+        component = [min(component[j] for j in range(120) if near[i][j]) for i in range(120)]
+    assert out == dict(enumerate(component))
+
+
 def test_overlap_join(docs, empty, monkeypatch):
     low = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
     sets = []
