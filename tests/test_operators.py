@@ -213,3 +213,21 @@ def test_enrollment_plans_two_scans(spark, sf_dir):
     one_year = {"roster": spark.createDataFrame(inputs["roster"].limit(300).collect(), inputs["roster"].schema).repartition(2), "budget": inputs["budget"]}
     plan = enrollment_demographics(one_year, ordered=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ") == 2  # the roster once, the budget once
+
+
+def test_keep_best_of_latest_sorts_only_rows_that_tie_on_it(spark):
+    from kestrel.operators.dedupe import keep_best_of_latest
+
+    rows = [(None if i % 11 == 0 else i % 7, "a" if i % 3 else None, None if i % 5 == 0 else i % 4, f"f{i % 6}", i) for i in range(300)]
+    rows += [(99, "only", None, "f1", 1000), (99, "only", None, "f2", 1001)]
+    df = spark.createDataFrame(rows, "k1 long, k2 string, day int, file string, v long").repartition(5)
+    order, tie = [F.col("file").desc_nulls_last()], [F.col("v").asc_nulls_first()]
+    out = keep_best_of_latest(df, ["k1", "k2"], F.col("day"), order, tie)
+    best = {}
+    for r in rows:  # by day and file descending, NULL last, then v ascending
+        place = (r[2] is not None, r[2] or 0, r[3], -r[4])
+        if r[:2] not in best or place > best[r[:2]][0]:
+            best[r[:2]] = (place, r)
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(str(r) for _, r in best.values())
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
