@@ -43,3 +43,16 @@ def test_stack_has_every_row_of_both_years(spark, sf_dir):
     out = align_and_stack_two_years(inputs)
     assert out.columns == TARGET_COLUMNS
     assert out.count() == sum(df.count() for df in inputs.values())
+
+
+def test_no_stage_runs_in_a_method_that_the_jvm_leaves_interpreted(spark, sf_dir):
+    from kestrel.plans.catalog import runner
+    from kestrel.session import configure
+
+    configure(spark)
+    plan = runner("align_and_stack_two_years")(spark, sf_dir)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    used = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))  # a larger stage is generated projection by projection
+    assert sizes and max(sizes) > 8000 and not [n for n in sizes if 8000 < n <= used]
