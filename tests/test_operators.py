@@ -231,3 +231,15 @@ def test_keep_best_of_latest_sorts_only_rows_that_tie_on_it(spark):
     assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(str(r) for _, r in best.values())
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_coalesced_partitions_are_bounded_unless_the_session_asks_for_more(spark):
+    from kestrel.session import COALESCED_BYTES, configure, scale_conf
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    assert configure(other).conf.get(key) == str(COALESCED_BYTES)  # Spark's default is 64 MB
+    for asked, kept in (("64m", str(COALESCED_BYTES)), ("33554432", str(COALESCED_BYTES)), ("65536kb", str(COALESCED_BYTES)), ("8m", "8m"), ("16MB", "16MB"),
+                        ("1048576b", "1048576b"), (scale_conf(1 << 40)[key], str(256 << 20)), ("1g", "1g")):
+        other.conf.set(key, asked)
+        assert configure(other).conf.get(key) == kept
