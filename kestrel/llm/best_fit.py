@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, TEXT, keyed_texts, stage, text_slices
+from kestrel.llm.common import ID, TEXT, keyed_texts, stage, text_slices, tidy
 from kestrel.llm.word_bpe import encoder
 
 _PIECE = f"{ID} long, row_no long, piece int, start long, length long, ids_crc32 long"
@@ -78,6 +78,7 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, tokenizer: str,
     ``row_no`` numbers the document within its task, and keeps rows that repeat an id apart.
     """
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         row_no = TaskContext.get().partitionId() << 40
@@ -101,11 +102,13 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, tokenizer: str,
                      pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                     [ID, "row_no", "piece", "start", "length", "ids_crc32"])
                 row_no += len(texts)
+        enc.forget()  # the worker lives on for other stages
 
     return keyed_texts(docs, id_col, text_col).select(ID, TEXT).mapInArrow(cut, _PIECE)
 
 
 def _pack_round(pieces: DataFrame, streams: int, round_no: int, capacity: int, open_bins: int) -> DataFrame:
+    @tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = BestFit(capacity, open_bins)
         first = (round_no << 56) | (TaskContext.get().partitionId() << 32)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, stage
+from kestrel.llm.common import ID, ROW, TEXT, keyed_texts, stage, tidy
 
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 #: bits of the hash a level of partitioning takes
@@ -97,6 +97,7 @@ _ROWS = f"{ID} long, row_no long, {ROW} long, points int, sha string, entry stri
 def _dedup_buckets(records: DataFrame, keep_content: bool) -> DataFrame:
     """Stream each bucket, sorted together, through a table; ``entry`` names the table entry of a record."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaf, table = None, ContentTable()
         task = TaskContext.get().partitionId()

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, ROW, TEXT, Words, grams, keyed_texts, mix, stage, text_slices
+from kestrel.llm.common import ID, ROW, TEXT, Words, grams, keyed_texts, mix, stage, text_slices, tidy
 
 SYMBOLS = "[#*$%&|<>]"
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks"]
@@ -79,6 +79,7 @@ def rule_counts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 
 def rule_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in text_slices(batch.column(2)):
@@ -206,6 +207,7 @@ class IsolationForest:
         depth_limit = ceil(log2(max(2, min(draw, good_rows + bad_rows))))
         names = [f"x{i}" for i in range(_RATIOS)]
 
+        @tidy
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for first in range(0, batch.num_rows, max(1, 200_000 // each)):
@@ -262,6 +264,7 @@ def calibrate(score: np.ndarray, good: np.ndarray, bad: np.ndarray, clean_loss:
 def score_counts(labelled: DataFrame, forest: IsolationForest, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The scores of all labelled rows, ascending, and how many good and bad ones have each (at most ``STEPS`` + 1)."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score, good = forest.score(excess(_batch_ratios(batch), limits)), batch.column("good").to_numpy(zero_copy_only=False)
@@ -292,6 +295,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
         forest = IsolationForest.fit(labelled, limits, rows["good"], rows["bad"], trees=trees, draw=draw, bad_share=bad_share, seed=seed)
         threshold = calibrate(*score_counts(labelled, forest, limits), clean_loss)
 
+    @tidy
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts = {c: b.column(c).to_numpy() for c in _COUNTS}

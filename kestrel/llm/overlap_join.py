@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, ROW, TEXT, Words, grams, keyed_texts, mix, narrowed, stage, text_slices
+from kestrel.llm.common import ID, ROW, TEXT, Words, grams, keyed_texts, mix, narrowed, stage, text_slices, tidy
 from kestrel.llm.components import connected_components
 
 #: sixteenths of the hash range whose shingles the first filter counts; any number loses no link, more filter better
@@ -49,6 +49,8 @@ HOT_SHARE = 50_000
 _NEVER_LIGHT = 100
 #: hubs of a list in a round
 HUBS = 16
+#: sets whose lists a task makes at once, so memory does not follow the Arrow batch
+LISTED_SETS = 1000
 #: numbers of 64 bits in the sketch of a set
 SKETCH = 8
 
@@ -123,6 +125,7 @@ def _digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _set_rows(texts: DataFrame, n: int) -> DataFrame:
     """A row per document: size and digest of its set."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in text_slices(batch.column(2)):
@@ -138,6 +141,7 @@ def _set_rows(texts: DataFrame, n: int) -> DataFrame:
 def _sieved(texts: DataFrame, n: int) -> DataFrame:
     """(token, lo): the shingles in the first part of the hash range, with half of the digest of the set."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in text_slices(batch.column(0)):
@@ -152,6 +156,7 @@ def _sieved(texts: DataFrame, n: int) -> DataFrame:
 def _tokens(texts: DataFrame, n: int) -> DataFrame:
     """(token, ord, row, n): every shingle of every text."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in text_slices(batch.column(2)):
@@ -206,6 +211,7 @@ _SETS = "ord long, row long, n int, items binary, listed int, scan long"
 def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
     """A row per set that may link: its shingles that others have too, the rarest first, and how many of them it lists."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(cols: list[np.ndarray]) -> pa.RecordBatch:
             ord_, row, n, token, c = cols
@@ -250,10 +256,9 @@ def _ordered_sets(tokens: DataFrame, percent: int) -> DataFrame:
 def _lists(sets: DataFrame) -> DataFrame:
     """A row for every shingle that a set lists, with its place in the order of the set, the one listed before it, and the set's sketch."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, LISTED_SETS) for b in batches for at in range(0, b.num_rows, LISTED_SETS)):
             listed = batch.column(4).to_numpy()
             own = batch.column(2).to_numpy() - pc.binary_length(batch.column(3)).to_numpy() // 8  # shingles that no other set has
             place = np.arange(listed.sum()) - np.repeat(np.cumsum(listed) - listed, listed) + np.repeat(own, listed)
@@ -272,6 +277,7 @@ def _lists(sets: DataFrame) -> DataFrame:
 def _subsets(sets: DataFrame, percent: int, light: int) -> DataFrame:
     """A light set under each subset that a set of a light size has to share with it; kind 1, 2: the smaller, larger size."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ord_, n, items in zip(*(batch.column(i) for i in (0, 2, 3))):
@@ -335,6 +341,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select("ord", "row", "n", "items").toDF("b", "b_row", "b_n", "b_items")
     both = pairs.join(left, ["a", "a_row"]).join(right, ["b", "b_row"]).select("a_label", "b_label", "a_n", "b_n", "a_items", "b_items")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()

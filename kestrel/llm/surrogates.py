@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import ID, ROW, TEXT, fresh_name, keyed_texts, narrowed, split_by_keys, stage, text_slices
+from kestrel.llm.common import ID, ROW, TEXT, fresh_name, keyed_texts, narrowed, split_by_keys, stage, text_slices, tidy
 
 # --- detection -------------------------------------------------------------------------------------
 
@@ -375,6 +375,7 @@ _FOUND = f"{ID} long, {ROW} long, at int, until int, kind string, canonical stri
 def entities(texts: DataFrame) -> DataFrame:
     """One row per mention in (ID, ROW, TEXT) rows."""
 
+    @tidy
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(ID, pa.int64()), (ROW, pa.int64()), ("at", pa.int32()), ("until", pa.int32()),
                             ("kind", pa.string()), ("canonical", pa.string()), ("gender", pa.string()), ("mention", pa.string())])
@@ -394,6 +395,7 @@ def _per_entity(df: DataFrame, fn: Callable[..., str], columns: list[str], out:
     """A string column from a function of others, one Arrow batch at a time."""
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [fn(*x) for x in zip(*(b.column(c).to_pylist() for c in columns))]
@@ -442,6 +444,7 @@ def surrogate_texts(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text
     todo = todo.join(changes, todo[ID].eqNullSafe(changes["__cid"]) & (todo[ROW] == changes["__crow"])).select(ID, ROW, TEXT, "changes")
     out = f"{ID} long, {ROW} long, {TEXT} string, n_entities long, kinds string"
 
+    @tidy
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, counts, kinds = [], [], []

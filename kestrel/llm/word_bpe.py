@@ -68,9 +68,10 @@ class WordEncoder:
         self.ends_word = np.zeros(self.vocab_size + 1, bool)
         for token, i in self.whole.get_vocab().items():
             self.ends_word[i] = bool(suffix) and token.endswith(suffix)
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        """Empty the cache of pieces."""
         self.code: dict[str, int] = {"": 0}
         self.size, self.start, self.pool = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
@@ -132,7 +133,7 @@ class WordEncoder:
         """(ids of all texts one after another, offsets of each text in them: one more than texts)."""
         w = Words(texts)
         if len(self.code) > CACHE_PIECES:
-            self._clear()
+            self.forget()
         if self.shortcut:
             core, tail = self._pieces(w.distinct)
         else:
