@@ -28,6 +28,8 @@ ID, TEXT, ROW = "__doc", "__text", "__row"
 #: an Arrow batch is handled in slices of about this many text bytes, so memory does not follow the batch;
 #: the arrays made from a slice are some twenty times as large
 SLICE_BYTES = 2 << 20
+#: the same where one executor's workers would together take too much
+SMALL_SLICE_BYTES = 512 << 10
 
 
 _SHIPPED: set[str] = set()

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, ROW, TEXT, fresh_path, keyed_texts, map_array, open_output, stage, text_slices
+from kestrel.llm.common import ID, ROW, SMALL_SLICE_BYTES, TEXT, fresh_path, keyed_texts, map_array, open_output, stage, text_slices, tidy
 from kestrel.llm.word_bpe import encoder
 
 _INDEX = "part int, path string, dtype string, n_docs long, n_null long, n_tokens long"
@@ -42,13 +42,10 @@ def _with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.nda
     return np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
 
 
-def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer: str, end_id: int, out: str) -> DataFrame:
-    """Tokenise and write all documents in ascending id order; returns the (staged) index with ``base``.
-
-    One range shuffle of the texts.  Tokenising comes after it, so ranges are found without tokenising,
-    and each task streams its sorted documents into its files: memory is one slice of a batch.
-    """
+def _written(ordered: DataFrame, *, tokenizer: str, end_id: int, out: str) -> DataFrame:
+    """A row per set of files: the documents of each partition, written in their order."""
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         dtype = "<u2" if max(enc.vocab_size - 1, end_id) < 1 << 16 else "<u4"
@@ -59,7 +56,7 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer:
         for batch in batches:
             n_null += batch.column(0).null_count  # nulls come first
             ids_col = batch.column(0).fill_null(0).to_numpy()
-            for first, texts in text_slices(batch.column(1)):
+            for first, texts in text_slices(batch.column(1), SMALL_SLICE_BYTES):
                 if files is None:
                     files = [open_output(f"{path}.{x}") for x in ("bin", "off", "ids")]
                     files[1].write(np.zeros(1, "<i8").tobytes())
@@ -74,21 +71,28 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [path], "dtype": [dtype],
                                               "n_docs": [n_docs], "n_null": [n_null], "n_tokens": [n_tokens]})
 
+    return ordered.mapInArrow(write, _INDEX)
+
+
+def write_token_files(docs: DataFrame, id_col: str, text_col: str, *, tokenizer: str, end_id: int, out: str) -> DataFrame:
+    """Tokenise and write all documents in ascending id order; returns the (staged) index with ``base``.
+
+    One range shuffle of the texts.  Tokenising comes after it, so ranges are found without tokenising,
+    and each task streams its sorted documents into its files: memory is one slice of a batch.
+    """
     # a range shuffle without a count: small neighbouring ranges may be joined at run time, order is kept
     texts = keyed_texts(docs, id_col, text_col).repartitionByRange(F.col(ID).asc_nulls_first(), ROW)
     ordered = texts.sortWithinPartitions(F.col(ID).asc_nulls_first(), ROW).select(ID, TEXT)
-    parts = stage(ordered.mapInArrow(write, _INDEX), "token-index")
+    parts = stage(_written(ordered, tokenizer=tokenizer, end_id=end_id, out=out), "token-index")
     # one row per partition of the write: a running sum over so few rows is one small task
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def read_token_files(spark: SparkSession, index: DataFrame) -> DataFrame:
-    """One row per document, from the files alone: doc_id, start, n_tokens and crc32 of its ids as uint32.
-
-    Files are dealt over tasks (``index`` has a row per file) and mapped, so a task touches only the pages it reads.
-    """
+def _read(dealt: DataFrame) -> DataFrame:
+    """A row per document of the files that the rows of ``dealt`` name."""
 
+    @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -103,11 +107,18 @@ def read_token_files(spark: SparkSession, index: DataFrame) -> DataFrame:
                         [pa.array(own, mask=np.arange(a, a + len(own)) < row["n_null"]), pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)),
                          pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    n = max(1, index.count())
-    dealt = index.repartition(n)  # a file a task
     return dealt.mapInArrow(read, _READ)
 
 
+def read_token_files(spark: SparkSession, index: DataFrame) -> DataFrame:
+    """One row per document, from the files alone: doc_id, start, n_tokens and crc32 of its ids as uint32.
+
+    Files are dealt over tasks (``index`` has a row per file) and mapped, so a task touches only the pages it reads.
+    """
+    n = max(1, index.count())
+    return _read(index.repartition(n))  # a file a task
+
+
 def token_files(spark: SparkSession, docs: DataFrame, *, tokenizer: str, end_id: int, id_col: str = "doc_id",
                 text_col: str = "text", out: str | None = None) -> DataFrame:
     """Write the files, then read them back (see the two functions above)."""

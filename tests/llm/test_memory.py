@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from kestrel.llm import best_fit, common, overlap_join, word_bpe
+from kestrel.llm import best_fit, common, overlap_join, token_files, word_bpe
 
 pytest.importorskip("public_tokenizers")
 
@@ -75,3 +75,49 @@ def test_lists_are_made_a_few_sets_at_a_time(monkeypatch):
     parts = _task(overlap_join._lists, [batch])
     assert len(parts) == 3
     assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches(whole).to_pydict()
+
+
+class _Context:
+    @staticmethod
+    def get():
+        return _Context
+
+    @staticmethod
+    def partitionId():
+        return 0
+
+
+def _texts(*texts):
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], ["id", "row", "text"])
+
+
+def _calls(monkeypatch, module):
+    """(memory handed back, text bytes of each slice) of the tasks that follow."""
+    freed, slices = [], []
+    monkeypatch.setattr(common, "release_memory", lambda: freed.append(1))
+
+    def sliced(*args):
+        for first, part in common.text_slices(*args):
+            slices.append(sum(map(len, part.to_pylist())))
+            yield first, part
+
+    monkeypatch.setattr(module, "text_slices", sliced)
+    return freed, slices
+
+
+def test_token_files_hand_memory_back_and_take_small_slices(monkeypatch, tmp_path):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(token_files, "TaskContext", _Context)
+    freed, slices = _calls(monkeypatch, token_files)
+    texts = ["some words " * 10_000] * 9
+    batch = _texts(*texts).select(["id", "text"])
+    index = _task(lambda rows: token_files._written(rows, tokenizer=path, end_id=1, out=str(tmp_path)), [batch])
+    assert len(freed) == 1
+    assert sum(slices) == sum(map(len, texts)) and max(slices) <= 512 << 10
+    named = [pa.RecordBatch.from_pylist([r | {"base": 0} for r in b.to_pylist()]) for b in index]
+    out = pa.Table.from_batches(_task(token_files._read, named)).to_pydict()
+    assert len(freed) == 2
+    assert out["doc_id"] == list(range(9)) and len(set(out["ids_crc32"])) == 1
+    assert out["start"] == [i * out["n_tokens"][0] for i in range(9)]
