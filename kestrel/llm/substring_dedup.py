@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ID, ROW, TEXT, Rolling, Words, keyed_texts, narrowed, stage, text_slices
+from kestrel.llm.common import ID, ROW, SMALL_SLICE_BYTES, TEXT, Rolling, Words, keyed_texts, narrowed, stage, text_slices, tidy
 
 GRAM = 16
 _DOCS = (f"{ID} long, {ROW} long, n_words long, sha string, seeds array<struct<hash: long, around: long, start: int, runs: int>>")
@@ -57,9 +57,10 @@ def _anchors(hashes: np.ndarray, offsets: np.ndarray, length: int, gram: int):
 def _seeds(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """A row per document: its words counted, the digest of the unchanged text, and its anchors."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(2)):
+            for first, part in text_slices(batch.column(2), SMALL_SLICE_BYTES):
                 w = Words(part)
                 text, start, runs, anchor, around, _ = _anchors(w.hashes(), w.offsets, length, gram)
                 ends = np.searchsorted(text, np.arange(len(part) + 1))
@@ -80,10 +81,11 @@ _RUNS = "run long, class long, ord long, i int"
 def _run_hashes(texts: DataFrame, length: int) -> DataFrame:
     """The hash of every run of the classes that ``parts`` names in each text."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = batch.column(2)
-            for first, part in text_slices(batch.column(1)):
+            for first, part in text_slices(batch.column(1), SMALL_SLICE_BYTES):
                 w = Words(part)
                 rolling = Rolling(w.hashes())
                 lists = parts.slice(first, len(part))
@@ -105,6 +107,7 @@ def _repeats(found: DataFrame, length: int) -> DataFrame:
     schema = f"{ID} long, {ROW} long, n_words long, n_removed long, repeats array<struct<start: int, end: int>>"
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans = [], []
@@ -132,10 +135,11 @@ def _repeats(found: DataFrame, length: int) -> DataFrame:
 def _cut(texts: DataFrame) -> DataFrame:
     """The texts without their repeats (words joined by one space)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for first, part in text_slices(batch.column(2)):
+            for first, part in text_slices(batch.column(2), SMALL_SLICE_BYTES):
                 lists = Words(part)
                 for words, spans in zip(lists.lists.to_pylist(), batch.column(3).slice(first, len(part)).to_pylist()):
                     out, at = [], 0
@@ -174,7 +178,8 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.col(f"one.{ID}").alias("o_id"), F.col(f"one.{ROW}").alias("o_row"), F.struct(F.col("one.start").alias("start"), "runs", "class").alias("p"))
     parts = stage(ones.groupBy("o_id", "o_row").agg(F.collect_list("p").alias("parts")), "seed-parts")
     near = narrowed(texts, ID, parts.select("o_id"))
-    near = near.join(parts, near[ID].eqNullSafe(parts["o_id"]) & (near[ROW] == parts["o_row"]))
+    # merged, not broadcast: the filter of ``narrowed`` and the step after the join would run in one task, each with a Python worker
+    near = near.join(parts.hint("merge"), near[ID].eqNullSafe(parts["o_id"]) & (near[ROW] == parts["o_row"]))
     runs = stage(_run_hashes(near.select(ord_, TEXT, "parts"), length), "seed-runs")
     earliest = runs.groupBy("run").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("run", "lo")
     marked = runs.join(earliest, "run").where("ord > lo").groupBy("class").agg(
@@ -190,7 +195,7 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # only texts of which something is left have to be read again
     some = repeats.where("n_removed < n_words").select(F.col(ID).alias("r_id"), F.col(ROW).alias("r_row"), "repeats")
     todo = narrowed(texts, ID, some.select("r_id"))
-    todo = todo.join(some, todo[ID].eqNullSafe(some["r_id"]) & (todo[ROW] == some["r_row"])).select(ID, ROW, TEXT, "repeats")
+    todo = todo.join(some.hint("merge"), todo[ID].eqNullSafe(some["r_id"]) & (todo[ROW] == some["r_row"])).select(ID, ROW, TEXT, "repeats")
     kept = _cut(todo).dropDuplicates([ID, ROW]).select(F.col(ID).alias("k_id"), F.col(ROW).alias("k_row"), "kept")
     changed = repeats.join(kept, repeats[ID].eqNullSafe(kept["k_id"]) & (repeats[ROW] == kept["k_row"]), "left").select(
         F.col(ID).alias("c_id"), F.col(ROW).alias("c_row"), "n_removed", "repeats", F.coalesce("kept", F.lit("")).alias("kept"))

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from kestrel.llm import best_fit, common, overlap_join, token_files, word_bpe
+from kestrel.llm import best_fit, common, overlap_join, substring_dedup, token_files, word_bpe
 
 pytest.importorskip("public_tokenizers")
 
@@ -121,3 +121,31 @@ def test_token_files_hand_memory_back_and_take_small_slices(monkeypatch, tmp_pat
     assert len(freed) == 2
     assert out["doc_id"] == list(range(9)) and len(set(out["ids_crc32"])) == 1
     assert out["start"] == [i * out["n_tokens"][0] for i in range(9)]
+
+
+def test_substring_dedup_hands_memory_back_and_takes_small_slices(monkeypatch):
+    freed, slices = _calls(monkeypatch, substring_dedup)
+    texts = ["some words " * 10_000] * 9
+    assert sum(b.num_rows for b in _task(lambda rows: substring_dedup._seeds(rows, 50, 16), [_texts(*texts)])) == 9
+    assert len(freed) == 1
+    assert sum(slices) == sum(map(len, texts)) and max(slices) <= 512 << 10
+    spans = pa.array([[{"start": 0, "end": 2}]], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+    cut = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array(["a b c"]), spans], ["id", "row", "text", "spans"])
+    assert _task(substring_dedup._cut, [cut])[0].column(2).to_pylist() == ["c"]
+    assert len(freed) == 2
+
+
+def test_substring_dedup_runs_no_two_python_steps_in_one_task(spark, monkeypatch):
+    plans = []
+    for name in ("_run_hashes", "_cut"):
+        def seen(df, *args, step=getattr(substring_dedup, name)):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return step(df, *args)
+        monkeypatch.setattr(substring_dedup, name, seen)
+    shared = " ".join(f"w{i}" for i in range(70))
+    docs = spark.createDataFrame([(1, "a b " + shared + " c"), (2, "d " + shared + " e f"), (3, "g h"), (4, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.substring_dedup(docs).collect()}
+    assert rows == {1: (73, 0), 2: (73, 70), 3: (2, 0), 4: (0, 0)}
+    assert len(plans) == 2
+    for plan in plans:
+        assert "ArrowEvalPython" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
